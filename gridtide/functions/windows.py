@@ -22,18 +22,28 @@ def device_window(df: DataFrame, cfg: TelemetryConfig):
     return Window.partitionBy(cfg.key).orderBy(*order_columns(df, cfg))
 
 
-def following(window):
-    """Frame from the current row to the end of the partition."""
-    return window.rowsBetween(Window.currentRow, Window.unboundedFollowing)
+def reverse_running(partition_by, order_by):
+    """Running frame over the *descending* order: the current row and every later one.
+
+    A running frame is evaluated incrementally (O(n) per partition), while a
+    ``currentRow .. unboundedFollowing`` frame is re-aggregated for every row
+    (O(n^2)); reversing the order turns the second into the first.
+    """
+    order = [F.col(c).desc_nulls_first() if isinstance(c, str) else c for c in order_by]
+    return (
+        Window.partitionBy(*partition_by)
+        .orderBy(*order)
+        .rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    )
 
 
-def bfill(col: str | Column, window) -> Column:
+def bfill(col: str | Column, partition_by, order_by) -> Column:
     """Backward fill: the first non-null value at or after the current row.
 
     Trailing NULLs stay NULL, as with a pandas ``bfill``.
     """
     col = F.col(col) if isinstance(col, str) else col
-    return F.first(col, ignorenulls=True).over(following(window))
+    return F.last(col, ignorenulls=True).over(reverse_running(partition_by, order_by))
 
 
 def previous_if(cond: Column, col: str, window) -> Column:

@@ -26,7 +26,7 @@ from pyspark.sql import functions as F
 
 from gridtide.config import TelemetryConfig
 from gridtide.functions.time import floor_to_step, minutes, ntz
-from gridtide.functions.windows import bfill, device_window
+from gridtide.functions.windows import bfill, order_columns
 
 DEFAULT = TelemetryConfig()
 
@@ -81,14 +81,24 @@ def keep_first_per_slot(df: DataFrame, cfg: TelemetryConfig = DEFAULT) -> DataFr
 
 
 # ---- F2 / J3 -------------------------------------------------------------------------------
-def complete_calendar(df: DataFrame, cfg: TelemetryConfig = DEFAULT, deduplicate: bool = True) -> DataFrame:
+def complete_calendar(
+    df: DataFrame, cfg: TelemetryConfig = DEFAULT, deduplicate: bool = True, partitions: int | None = None
+) -> DataFrame:
     """exactly one row per (device, calendar slot); missing slots are NULL rows.
 
     Readings outside ``[start, end]`` (and NULL times) are dropped, but their
     device still receives its calendar.
+
+    The rows are hash-partitioned by device into ``partitions`` (default
+    ``spark.sql.shuffle.partitions``) with an explicit repartition: the
+    expansion multiplies the rows *after* this exchange, so AQE's size-based
+    coalescing, which only sees the sparse readings, must not shrink it. Every
+    later per-device window reuses this partitioning.
     """
     if deduplicate:
         df = keep_first_per_slot(df, cfg)
+    n = partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    df = df.repartition(n, cfg.key)
     start, end, step = ntz(cfg.start.isoformat(sep=" ")), ntz(cfg.end.isoformat(sep=" ")), minutes(cfg.step_minutes)
     t = F.col(cfg.time)
     w = _by_device_time(cfg)
@@ -119,8 +129,7 @@ def fill_attributes(df: DataFrame, cfg: TelemetryConfig = DEFAULT) -> DataFrame:
     attrs = [a for a in cfg.attributes if a in df.columns]
     if not attrs:
         return df
-    w = _by_device_time(cfg)
-    return df.withColumns({a: bfill(a, w) for a in attrs})
+    return df.withColumns({a: bfill(a, [cfg.key], [cfg.time]) for a in attrs})
 
 
 # ---- A7 --------------------------------------------------------------------------------------
@@ -150,12 +159,14 @@ def seasonal_bfill(df: DataFrame, cfg: TelemetryConfig = DEFAULT, only_if_first_
     if not cols:
         return df
     t = F.col(cfg.time)
-    w = Window.partitionBy(cfg.key, F.weekday(t), F.hour(t), F.minute(t), _year_month(cfg)).orderBy(t)
+    group = [F.col(cfg.key), F.weekday(t), F.hour(t), F.minute(t), _year_month(cfg)]
     if only_if_first_null:
         flagged = df.withColumn("__first_null", _first_record_null_flag(df, cfg))
-        out = flagged.withColumns({c: F.when(F.col("__first_null"), bfill(c, w)).otherwise(F.col(c)) for c in cols})
+        out = flagged.withColumns(
+            {c: F.when(F.col("__first_null"), bfill(c, group, [cfg.time])).otherwise(F.col(c)) for c in cols}
+        )
         return out.drop("__first_null")
-    return df.withColumns({c: bfill(c, w) for c in cols})
+    return df.withColumns({c: bfill(c, group, [cfg.time]) for c in cols})
 
 
 # ---- A5 / F5 -----------------------------------------------------------------------------
@@ -210,14 +221,13 @@ def fill_gap_month(df: DataFrame, cfg: TelemetryConfig = DEFAULT) -> DataFrame:
 # ---- F7 / F9 -----------------------------------------------------------------------------
 def final_bfill(df: DataFrame, cfg: TelemetryConfig = DEFAULT) -> DataFrame:
     """backward-fill every value column except provenance, per device."""
-    w = _by_device_time(cfg)
-    return df.withColumns({c: bfill(c, w) for c in fillable_columns(df, cfg)})
+    return df.withColumns({c: bfill(c, [cfg.key], [cfg.time]) for c in fillable_columns(df, cfg)})
 
 
 def bfill_all(df: DataFrame, cfg: TelemetryConfig = DEFAULT) -> DataFrame:
     """backward-fill every column but key and time within each device."""
-    w = device_window(df, cfg)
-    return df.withColumns({c: bfill(c, w) for c in df.columns if c not in (cfg.key, cfg.time)})
+    order = order_columns(df, cfg)
+    return df.withColumns({c: bfill(c, [cfg.key], order) for c in df.columns if c not in (cfg.key, cfg.time)})
 
 
 # ---- F8 --------------------------------------------------------------------------------------
