@@ -1,8 +1,14 @@
 """Window helpers shared by calendar completion, derivation and cleansing.
 
-All per-device windows come from :func:`device_window` so that Catalyst sees a
-single (partition, order) spec: stacked lags then share one exchange and one
-sort instead of one per column.
+Every per-device window is ordered **newest first** (time descending, NULL
+times last -- the exact reverse of ascending order with NULLs first). One
+order for everything means one sort per partitioning for the whole chain:
+
+* "previous row" (``lag`` ascending) is ``lead`` over the descending order;
+* backward fill (first non-null at or after the row) is a *running*
+  ``last(ignorenulls)`` over the descending order, which Spark evaluates
+  incrementally in O(n), unlike a ``currentRow .. unboundedFollowing`` frame
+  that is re-aggregated per row (O(n^2)).
 """
 
 from __future__ import annotations
@@ -18,39 +24,49 @@ def order_columns(df: DataFrame, cfg: TelemetryConfig) -> list[str]:
     return [c for c in cfg.order if c in df.columns]
 
 
+def newest_first(partition_by, order_by):
+    order = [F.col(c).desc_nulls_last() if isinstance(c, str) else c for c in order_by]
+    return Window.partitionBy(*partition_by).orderBy(*order)
+
+
 def device_window(df: DataFrame, cfg: TelemetryConfig):
-    return Window.partitionBy(cfg.key).orderBy(*order_columns(df, cfg))
+    """Per device, newest first, on the configured (time, tie) order."""
+    return newest_first([cfg.key], order_columns(df, cfg))
 
 
-def reverse_running(partition_by, order_by):
-    """Running frame over the *descending* order: the current row and every later one.
+def running(window):
+    """Frame from the partition's first row (the newest) to the current row."""
+    return window.rowsBetween(Window.unboundedPreceding, Window.currentRow)
 
-    A running frame is evaluated incrementally (O(n) per partition), while a
-    ``currentRow .. unboundedFollowing`` frame is re-aggregated for every row
-    (O(n^2)); reversing the order turns the second into the first.
-    """
-    order = [F.col(c).desc_nulls_first() if isinstance(c, str) else c for c in order_by]
-    return (
-        Window.partitionBy(*partition_by)
-        .orderBy(*order)
-        .rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    )
+
+def whole(window):
+    return window.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+
+
+def previous(col: str | Column, window, offset: int = 1) -> Column:
+    """Value ``offset`` rows earlier in time (``window`` is newest first)."""
+    return F.lead(col, offset).over(window)
+
+
+def later(col: str | Column, window, offset: int = 1) -> Column:
+    """Value ``offset`` rows later in time (``window`` is newest first)."""
+    return F.lag(col, offset).over(window)
 
 
-def bfill(col: str | Column, partition_by, order_by) -> Column:
+def bfill(col: str | Column, window) -> Column:
     """Backward fill: the first non-null value at or after the current row.
 
     Trailing NULLs stay NULL, as with a pandas ``bfill``.
     """
     col = F.col(col) if isinstance(col, str) else col
-    return F.last(col, ignorenulls=True).over(reverse_running(partition_by, order_by))
+    return F.last(col, ignorenulls=True).over(running(window))
 
 
 def previous_if(cond: Column, col: str, window) -> Column:
     """Carry the previous row's value where ``cond`` holds (one step back only).
 
-    ``lag`` reads the column as it is before this step, so two flagged rows in a
-    row give the second one the first one's (unrepaired) value, and a flagged
-    first row becomes NULL.
+    The previous value is read as the column is before this step, so two
+    flagged rows in a row give the second one the first one's (unrepaired)
+    value, and a flagged first row becomes NULL.
     """
-    return F.when(cond, F.lag(col).over(window)).otherwise(F.col(col))
+    return F.when(cond, previous(col, window)).otherwise(F.col(col))

@@ -7,16 +7,17 @@ Plan shape, per device and without any join:
    copies are combined map-side before the shuffle and a hot group of copies
    never lands whole in one task. After it a device holds at most one row per
    slot, which bounds every later per-device window by the calendar length.
-2. ``complete_calendar`` shuffles once by device; each reading emits its own
-   slot plus the empty slots up to the next reading (``lead`` + ``explode`` of
-   ``sequence``), the first reading also the slots from the calendar start. A
-   device whose readings all fall outside the calendar still gets the full
-   (empty) calendar. No device x calendar cross join, no calendar-sized shuffle.
-3. Every fill step after that is a window partitioned by the device key (or a
-   finer key), so it reuses the same partitioning: only local sorts remain.
-4. The gap-month copy reads the value 14 days earlier / 21 days later. Because
-   the calendar is complete and regular, that is a fixed-offset ``lag``/``lead``
-   -- no self join.
+2. ``complete_calendar`` hash-partitions by device once; each reading emits
+   its own slot plus the empty slots up to the next reading (``lead`` +
+   ``explode`` of ``sequence``), the first reading also the slots from the
+   calendar start. A device whose readings all fall outside the calendar
+   still gets the full (empty) calendar. No device x calendar cross join and
+   no calendar-sized shuffle.
+3. Every fill step after that is a window on the same partitioning and the
+   same order (device, newest first), so the whole chain costs one sort.
+   Because the calendar is complete and regular, "the row 14 days earlier"
+   or "the same slot next week" is a fixed row offset: ``lead``/``lag``
+   instead of self joins or extra partitionings.
 """
 
 from __future__ import annotations
@@ -26,12 +27,13 @@ from pyspark.sql import functions as F
 
 from gridtide.config import TelemetryConfig
 from gridtide.functions.time import floor_to_step, minutes, ntz
-from gridtide.functions.windows import bfill, order_columns
+from gridtide.functions.windows import bfill, later, newest_first, order_columns, previous, running, whole
 
 DEFAULT = TelemetryConfig()
 
 GAP_HEAD_DAYS = 14  # days 1-14 of a gap month copy the value 14 days earlier
 GAP_TAIL_SHIFT_DAYS = 21  # days 15-end copy the value 21 days later
+WEEK_DAYS = 7
 
 
 # ---- column roles ------------------------------------------------------------------------
@@ -46,8 +48,7 @@ def fillable_columns(df: DataFrame, cfg: TelemetryConfig) -> list[str]:
     return [c for c in value_columns(df, cfg) if c != cfg.provenance]
 
 
-def _year_month(cfg: TelemetryConfig) -> Column:
-    t = F.col(cfg.time)
+def _year_month(t: Column) -> Column:
     return F.make_date(F.year(t), F.month(t), F.lit(1))
 
 
@@ -57,8 +58,9 @@ def _all_null(cols) -> Column:
     return F.coalesce(*[F.col(c) for c in cols]).isNull() if len(cols) > 1 else F.col(cols[0]).isNull()
 
 
-def _by_device_time(cfg: TelemetryConfig):
-    return Window.partitionBy(cfg.key).orderBy(cfg.time)
+def _w(cfg: TelemetryConfig):
+    """Device window, newest first; the one order of the whole chain."""
+    return newest_first([cfg.key], [cfg.time])
 
 
 # ---- F1 / A4 -------------------------------------------------------------------------------
@@ -101,18 +103,15 @@ def complete_calendar(
     df = df.repartition(n, cfg.key)
     start, end, step = ntz(cfg.start.isoformat(sep=" ")), ntz(cfg.end.isoformat(sep=" ")), minutes(cfg.step_minutes)
     t = F.col(cfg.time)
-    w = _by_device_time(cfg)
-    inside = t.between(start, end)
-    nxt, prv = F.lead(t).over(w), F.lag(t).over(w)
-    any_inside = F.max(F.coalesce(inside, F.lit(False))).over(Window.partitionBy(cfg.key))
-    first_row = F.row_number().over(w) == 1
+    w = _w(cfg)
+    inside = F.coalesce(t.between(start, end), F.lit(False))
+    nxt, prv = later(t, w), previous(t, w)
+    any_inside = F.max(inside).over(Window.partitionBy(cfg.key))
+    designated = F.row_number().over(w) == 1  # one row per device carries an all-outside device
 
     lo = F.when(prv >= start, t).otherwise(start)
     hi = F.when(nxt <= end, nxt - step).otherwise(end)
-    emit = (
-        F.when(F.coalesce(inside, F.lit(False)), F.sequence(lo, hi, step))
-        .when(~any_inside & first_row, F.sequence(start, end, step))
-    )
+    emit = F.when(inside, F.sequence(lo, hi, step)).when(~any_inside & designated, F.sequence(start, end, step))
     values = [c for c in df.columns if c not in (cfg.key, cfg.time)]
     staged = df.select(cfg.key, t.alias("__t"), *values, emit.alias("__slots"))
     slot = F.col("__slot")
@@ -129,7 +128,8 @@ def fill_attributes(df: DataFrame, cfg: TelemetryConfig = DEFAULT) -> DataFrame:
     attrs = [a for a in cfg.attributes if a in df.columns]
     if not attrs:
         return df
-    return df.withColumns({a: bfill(a, [cfg.key], [cfg.time]) for a in attrs})
+    w = _w(cfg)
+    return df.withColumns({a: bfill(a, w) for a in attrs})
 
 
 # ---- A7 --------------------------------------------------------------------------------------
@@ -137,36 +137,42 @@ def first_record_null(df: DataFrame, cfg: TelemetryConfig = DEFAULT) -> DataFram
     """A7 per device: ``(key, first_record_null)`` -- TRUE when every value column is
     NULL on the device's earliest row."""
     cols = value_columns(df, cfg)
-    return df.groupBy(cfg.key).agg(
-        F.min_by(_all_null(cols), F.col(cfg.time)).alias("first_record_null")
-    )
+    return df.groupBy(cfg.key).agg(F.min_by(_all_null(cols), F.col(cfg.time)).alias("first_record_null"))
 
 
 def _first_record_null_flag(df: DataFrame, cfg: TelemetryConfig) -> Column:
-    cols = value_columns(df, cfg)
-    w = _by_device_time(cfg).rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
-    return F.first(_all_null(cols)).over(w)
+    """Per row: is the device's earliest row all NULL (the last row, newest first)."""
+    return F.last(_all_null(value_columns(df, cfg))).over(whole(_w(cfg)))
 
 
 # ---- F4 --------------------------------------------------------------------------------------
 def seasonal_bfill(df: DataFrame, cfg: TelemetryConfig = DEFAULT, only_if_first_null: bool = True) -> DataFrame:
     """backward fill within (device, weekday, hour, minute, year-month).
 
-    Applied to the whole device series when its first record is all NULL (the
-    reference's trigger); ``only_if_first_null=False`` applies it always.
+    On a complete calendar the later rows of that group are exactly the same
+    slot 7, 14, 21 and 28 days later, while still in the same month, so the
+    fill is a ``coalesce`` of four fixed-offset reads in the device window (no
+    separate partitioning). Applied to the whole device series when its
+    first record is all NULL (the reference's trigger);
+    ``only_if_first_null=False`` applies it always.
     """
     cols = value_columns(df, cfg)
     if not cols:
         return df
     t = F.col(cfg.time)
-    group = [F.col(cfg.key), F.weekday(t), F.hour(t), F.minute(t), _year_month(cfg)]
+    w = _w(cfg)
+    days_left = F.dayofmonth(F.last_day(F.to_date(t))) - F.dayofmonth(t)
+    weeks = [k for k in range(1, 5)]
+
+    def filled(c: str) -> Column:
+        ahead = [F.when(days_left >= WEEK_DAYS * k, later(c, w, WEEK_DAYS * k * cfg.slots_per_day)) for k in weeks]
+        return F.coalesce(F.col(c), *ahead)
+
     if only_if_first_null:
         flagged = df.withColumn("__first_null", _first_record_null_flag(df, cfg))
-        out = flagged.withColumns(
-            {c: F.when(F.col("__first_null"), bfill(c, group, [cfg.time])).otherwise(F.col(c)) for c in cols}
-        )
+        out = flagged.withColumns({c: F.when(F.col("__first_null"), filled(c)).otherwise(F.col(c)) for c in cols})
         return out.drop("__first_null")
-    return df.withColumns({c: bfill(c, group, [cfg.time]) for c in cols})
+    return df.withColumns({c: filled(c) for c in cols})
 
 
 # ---- A5 / F5 -----------------------------------------------------------------------------
@@ -174,18 +180,32 @@ def first_gap_month(df: DataFrame, cfg: TelemetryConfig = DEFAULT) -> DataFrame:
     """A5 per device: ``(key, gap_month)`` -- the first month whose rows have every
     value column NULL, as the first day of that month; NULL when there is none."""
     cols = value_columns(df, cfg)
-    months = df.groupBy(cfg.key, _year_month(cfg).alias("__ym")).agg(
+    months = df.groupBy(cfg.key, _year_month(F.col(cfg.time)).alias("__ym")).agg(
         F.max(~_all_null(cols)).alias("__any")
     )
     return months.groupBy(cfg.key).agg(F.min(F.when(~F.col("__any"), F.col("__ym"))).alias("gap_month"))
 
 
-def _gap_month_flag(df: DataFrame, cfg: TelemetryConfig) -> Column:
-    """Per row: the device's first all-NULL month (windows, no join)."""
-    cols = value_columns(df, cfg)
-    ym = _year_month(cfg)
-    month_has_value = F.max(~_all_null(cols)).over(Window.partitionBy(cfg.key, ym))
-    return month_has_value, ym
+def _with_gap_month(df: DataFrame, cfg: TelemetryConfig) -> DataFrame:
+    """Adds ``__ym`` and ``__gap`` (the device's first all-NULL month) with
+    windows in the device order: a month is all NULL when, from its earliest
+    row, the next row holding any value lies in a later month."""
+    t = F.col(cfg.time)
+    w = _w(cfg)
+    ym = _year_month(t)
+    has_value = ~_all_null(value_columns(df, cfg))
+    staged = df.withColumn("__ym", ym).withColumns(
+        {
+            "__next_value_at": F.last(F.when(has_value, t), ignorenulls=True).over(running(w)),
+            "__month_start_row": F.coalesce(previous("__ym", w) != F.col("__ym"), F.lit(True)),
+        }
+    )
+    empty = staged["__month_start_row"] & (
+        staged["__next_value_at"].isNull() | (_year_month(staged["__next_value_at"]) > staged["__ym"])
+    )
+    return staged.withColumn("__gap", F.min(F.when(empty, F.col("__ym"))).over(Window.partitionBy(cfg.key))).drop(
+        "__next_value_at", "__month_start_row"
+    )
 
 
 # ---- F6 / J4 -----------------------------------------------------------------------------
@@ -195,39 +215,34 @@ def fill_gap_month(df: DataFrame, cfg: TelemetryConfig = DEFAULT) -> DataFrame:
     Days 1-14 take the row 14 days earlier, days 15-end the row 21 days later
     (both keep the weekday). Every column except key and time is copied. A
     source outside the calendar gives NULL (the final fill handles it). Only
-    the first gap month of a device is filled.
+    the first gap month of a device is filled. Expects a complete calendar.
     """
-    has_value, ym = _gap_month_flag(df, cfg)
-    staged = df.withColumn("__has", has_value).withColumn("__ym", ym)
-    staged = staged.withColumn(
-        "__gap", F.min(F.when(~F.col("__has"), F.col("__ym"))).over(Window.partitionBy(cfg.key))
-    )
-    w = _by_device_time(cfg)
+    staged = _with_gap_month(df, cfg)
+    w = _w(cfg)
     back, ahead = GAP_HEAD_DAYS * cfg.slots_per_day, GAP_TAIL_SHIFT_DAYS * cfg.slots_per_day
     in_gap = F.col("__ym") == F.col("__gap")
     head = F.dayofmonth(cfg.time) <= GAP_HEAD_DAYS
     copied = [c for c in df.columns if c not in (cfg.key, cfg.time)]
     out = staged.withColumns(
         {
-            c: F.when(in_gap & head, F.lag(c, back).over(w))
-            .when(in_gap, F.lead(c, ahead).over(w))
-            .otherwise(F.col(c))
+            c: F.when(in_gap & head, previous(c, w, back)).when(in_gap, later(c, w, ahead)).otherwise(F.col(c))
             for c in copied
         }
     )
-    return out.drop("__has", "__ym", "__gap")
+    return out.drop("__ym", "__gap")
 
 
 # ---- F7 / F9 -----------------------------------------------------------------------------
 def final_bfill(df: DataFrame, cfg: TelemetryConfig = DEFAULT) -> DataFrame:
     """backward-fill every value column except provenance, per device."""
-    return df.withColumns({c: bfill(c, [cfg.key], [cfg.time]) for c in fillable_columns(df, cfg)})
+    w = _w(cfg)
+    return df.withColumns({c: bfill(c, w) for c in fillable_columns(df, cfg)})
 
 
 def bfill_all(df: DataFrame, cfg: TelemetryConfig = DEFAULT) -> DataFrame:
     """backward-fill every column but key and time within each device."""
-    order = order_columns(df, cfg)
-    return df.withColumns({c: bfill(c, [cfg.key], order) for c in df.columns if c not in (cfg.key, cfg.time)})
+    w = newest_first([cfg.key], order_columns(df, cfg))
+    return df.withColumns({c: bfill(c, w) for c in df.columns if c not in (cfg.key, cfg.time)})
 
 
 # ---- F8 --------------------------------------------------------------------------------------

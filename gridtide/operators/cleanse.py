@@ -2,7 +2,8 @@
 
 Each step replaces a counter by its previous value within the device (one
 step back, reading the column as the previous step left it) and zeroes the
-matching delta. Steps are applied in the reference order; every ``lag`` uses
+matching delta. Steps are applied in the reference order; every read of the
+previous row uses
 the same device window, so the chain is one exchange and one sort.
 """
 
@@ -112,15 +113,11 @@ def clean_all(
 ) -> DataFrame:
     """C1 -> C7, then outlier replacement (C8) on the configured columns.
 
-    ``materialize`` checkpoints the repaired rows before the quantile pass so
-    that the fences and the replacement read stored data instead of
-    recomputing the lineage (the checkpoint goes to ``spark.checkpoint.dir``).
+    ``materialize`` writes the repaired rows once under ``spark.checkpoint.dir``
+    so that the fences and the replacement read stored data instead of
+    recomputing the lineage.
     """
     from gridtide.operators.outliers import replace_outliers
 
     out = repair_rule_failures(df, cfg)
-    if materialize:
-        from gridtide.session import reliable_checkpoint
-
-        out = reliable_checkpoint(out)
-    return replace_outliers(out, cfg, cfg.outlier_columns, cfg.iqr_multiplier, scope=scope)
+    return replace_outliers(out, cfg, cfg.outlier_columns, cfg.iqr_multiplier, scope=scope, materialize=materialize)

@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from gridtide import fixed
 from gridtide.config import TelemetryConfig
 from gridtide.functions import labels
-from gridtide.functions.windows import device_window
+from gridtide.functions.windows import device_window, previous
 
 DEFAULT = TelemetryConfig()
 
@@ -30,7 +30,7 @@ def counter_deltas(df: DataFrame, cfg: TelemetryConfig = DEFAULT, counters=None)
     """``Instantaneous_<c> = c - previous c`` within the device; NULL on the first row."""
     w = device_window(df, cfg)
     counters = counters or cfg.counters
-    return df.withColumns({cfg.delta(c): F.col(c) - F.lag(c).over(w) for c in counters})
+    return df.withColumns({cfg.delta(c): F.col(c) - previous(c, w) for c in counters})
 
 
 def fill_null_deltas(df: DataFrame, cfg: TelemetryConfig = DEFAULT) -> DataFrame:

@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 
 from gridtide import fixed
 from gridtide.config import TelemetryConfig
-from gridtide.functions.windows import device_window
+from gridtide.functions.windows import device_window, previous
 
 DEFAULT = TelemetryConfig()
 
@@ -113,6 +113,7 @@ def replace_outliers(
     accuracy: int | None = None,
     exact: bool = False,
     global_order: Sequence[str] | None = None,
+    materialize: bool = False,
 ) -> DataFrame:
     """A value outside ``[q1 - m*iqr, q3 + m*iqr]`` takes the previous value.
 
@@ -120,26 +121,37 @@ def replace_outliers(
     value within the device; ``scope='global'`` the previous row over all
     devices in (time, key, tie) order, as the reference's unpartitioned lag.
     Only the tested column changes.
+
+    The previous values are computed first (in the same window pass as any
+    upstream per-device step). With ``materialize`` the rows are then written
+    once as parquet under ``spark.checkpoint.dir`` and read back, so the
+    quantile pass scans two columns of stored data instead of recomputing the
+    lineage, and the replacement is a plain projection.
     """
     columns = _check_names(columns if columns is not None else cfg.outlier_columns)
     if not columns:
         return df
     accuracy = accuracy or cfg.quantile_accuracy
-    fences = _fence_subquery(df, columns, accuracy, exact)
+    prev_cols = {c: f"__prev_{c}" for c in columns}
+    if scope == "device":
+        w = device_window(df, cfg)
+        staged = df.withColumns({p: previous(c, w) for c, p in prev_cols.items()})
+    elif scope == "global":
+        order = list(global_order or [o for o in (cfg.time, cfg.key, cfg.tie) if o and o in df.columns])
+        staged = global_previous(df, columns, order)
+    else:
+        raise ValueError(f"unknown scope {scope!r}")
+    if materialize:
+        from gridtide.session import checkpoint_table
+
+        staged = checkpoint_table(staged, "outliers")
+    staged = staged.withColumn("__fences", _fence_subquery(staged, columns, accuracy, exact))
+    fences = F.col("__fences")
 
     def outlier(c: str) -> Column:
         q1, q3 = fences.getField(c)[0], fences.getField(c)[1]
         iqr = q3 - q1
         return (F.col(c) < q1 - F.lit(multiplier) * iqr) | (F.col(c) > q3 + F.lit(multiplier) * iqr)
 
-    if scope == "device":
-        w = device_window(df, cfg)
-        return df.withColumns({c: F.when(outlier(c), F.lag(c).over(w)).otherwise(F.col(c)) for c in columns})
-    if scope == "global":
-        order = list(global_order or [o for o in (cfg.time, cfg.key, cfg.tie) if o and o in df.columns])
-        prev = global_previous(df, columns, order)
-        out = prev.withColumns(
-            {c: F.when(outlier(c), F.col(f"__prev_{c}")).otherwise(F.col(c)) for c in columns}
-        )
-        return out.drop(*[f"__prev_{c}" for c in columns])
-    raise ValueError(f"unknown scope {scope!r}")
+    out = staged.withColumns({c: F.when(outlier(c), F.col(p)).otherwise(F.col(c)) for c, p in prev_cols.items()})
+    return out.drop("__fences", *prev_cols.values())

@@ -34,7 +34,7 @@ def run_chain(
     cfg: TelemetryConfig = TelemetryConfig(),
     scope: str = "device",
     accuracy: int | None = None,
-    materialize: bool = False,
+    materialize: bool = True,
 ) -> ChainResult:
     df = nan_to_null(raw)
     valid, failed = quality.generic_validation(df, cfg)
@@ -42,11 +42,9 @@ def run_chain(
     derived = derive.derive_all(full, cfg)
     checked = validate.validate_rows(derived, cfg)
     repaired = cleanse.repair_rule_failures(checked, cfg)
-    if materialize:
-        from gridtide.session import reliable_checkpoint
-
-        repaired = reliable_checkpoint(repaired)
-    cleaned = replace_outliers(repaired, cfg, cfg.outlier_columns, cfg.iqr_multiplier, scope=scope, accuracy=accuracy)
+    cleaned = replace_outliers(
+        repaired, cfg, cfg.outlier_columns, cfg.iqr_multiplier, scope=scope, accuracy=accuracy, materialize=materialize
+    )
     return ChainResult(cleaned=cleaned, failed=failed)
 
 

@@ -48,3 +48,18 @@ def reliable_checkpoint(df: DataFrame) -> DataFrame:
     """Cut lineage with a reliable (shared-storage) checkpoint, never a local one."""
     checkpoint_dir(df.sparkSession)
     return df.checkpoint(eager=True)
+
+
+def checkpoint_table(df: DataFrame, name: str = "stage") -> DataFrame:
+    """Write ``df`` once as parquet under the checkpoint folder and read it back.
+
+    A lineage cut that survives executor loss (the files live on the shared
+    checkpoint storage) and keeps columnar reads: later passes prune columns
+    and push filters into the stored table.
+    """
+    import uuid
+
+    spark = df.sparkSession
+    path = f"{checkpoint_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    df.write.mode("overwrite").parquet(path)
+    return spark.read.parquet(path)
