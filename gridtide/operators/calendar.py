@@ -162,17 +162,25 @@ def seasonal_bfill(df: DataFrame, cfg: TelemetryConfig = DEFAULT, only_if_first_
     t = F.col(cfg.time)
     w = _w(cfg)
     days_left = F.dayofmonth(F.last_day(F.to_date(t))) - F.dayofmonth(t)
-    weeks = [k for k in range(1, 5)]
+    weeks = range(1, 5)
+    # One struct per offset: four offset frames in total instead of four per column.
+    packed = F.struct(*[F.col(c) for c in cols])
+    staged = df.withColumns(
+        {
+            f"__week{k}": F.when(days_left >= WEEK_DAYS * k, later(packed, w, WEEK_DAYS * k * cfg.slots_per_day))
+            for k in weeks
+        }
+    )
 
     def filled(c: str) -> Column:
-        ahead = [F.when(days_left >= WEEK_DAYS * k, later(c, w, WEEK_DAYS * k * cfg.slots_per_day)) for k in weeks]
-        return F.coalesce(F.col(c), *ahead)
+        return F.coalesce(F.col(c), *[F.col(f"__week{k}").getField(c) for k in weeks])
 
+    helpers = [f"__week{k}" for k in weeks]
     if only_if_first_null:
-        flagged = df.withColumn("__first_null", _first_record_null_flag(df, cfg))
-        out = flagged.withColumns({c: F.when(F.col("__first_null"), filled(c)).otherwise(F.col(c)) for c in cols})
-        return out.drop("__first_null")
-    return df.withColumns({c: filled(c) for c in cols})
+        staged = staged.withColumn("__first_null", _first_record_null_flag(df, cfg))
+        out = staged.withColumns({c: F.when(F.col("__first_null"), filled(c)).otherwise(F.col(c)) for c in cols})
+        return out.drop("__first_null", *helpers)
+    return staged.withColumns({c: filled(c) for c in cols}).drop(*helpers)
 
 
 # ---- A5 / F5 -----------------------------------------------------------------------------
@@ -223,13 +231,17 @@ def fill_gap_month(df: DataFrame, cfg: TelemetryConfig = DEFAULT) -> DataFrame:
     in_gap = F.col("__ym") == F.col("__gap")
     head = F.dayofmonth(cfg.time) <= GAP_HEAD_DAYS
     copied = [c for c in df.columns if c not in (cfg.key, cfg.time)]
+    packed = F.struct(*[F.col(c) for c in copied])
+    staged = staged.withColumns({"__back": previous(packed, w, back), "__ahead": later(packed, w, ahead)})
     out = staged.withColumns(
         {
-            c: F.when(in_gap & head, previous(c, w, back)).when(in_gap, later(c, w, ahead)).otherwise(F.col(c))
+            c: F.when(in_gap & head, F.col("__back").getField(c))
+            .when(in_gap, F.col("__ahead").getField(c))
+            .otherwise(F.col(c))
             for c in copied
         }
     )
-    return out.drop("__ym", "__gap")
+    return out.drop("__ym", "__gap", "__back", "__ahead")
 
 
 # ---- F7 / F9 -----------------------------------------------------------------------------
@@ -246,10 +258,80 @@ def bfill_all(df: DataFrame, cfg: TelemetryConfig = DEFAULT) -> DataFrame:
 
 
 # ---- F8 --------------------------------------------------------------------------------------
-def complete_series(df: DataFrame, cfg: TelemetryConfig = DEFAULT) -> DataFrame:
-    """F8: F1 -> F2 -> F3 -> A7/F4 -> F5/F6 -> F7 as one lazy plan over all devices."""
+def complete_series_stepwise(df: DataFrame, cfg: TelemetryConfig = DEFAULT) -> DataFrame:
+    """F8 as the sequence of the individual operators (one window pass each)."""
     out = complete_calendar(df, cfg)
     out = fill_attributes(out, cfg)
     out = seasonal_bfill(out, cfg)
     out = fill_gap_month(out, cfg)
     return final_bfill(out, cfg)
+
+
+def complete_series(df: DataFrame, cfg: TelemetryConfig = DEFAULT) -> DataFrame:
+    """F8: F1 -> F2 -> F3 -> A7/F4 -> F5/F6 -> F7 as one lazy plan over all devices.
+
+    Same result as :func:`complete_series_stepwise`, with the independent
+    window work of consecutive steps fused into four passes over the sorted
+    device rows: (attribute fill, first-record flag, seasonal reads), (next
+    value, month start, gap-month sources), (gap month), (final fill).
+    """
+    cal = complete_calendar(df, cfg)
+    t = F.col(cfg.time)
+    w = _w(cfg)
+    attrs = [a for a in cfg.attributes if a in cal.columns]
+    values = value_columns(cal, cfg)
+    weeks = range(1, 5)
+    days_left = F.dayofmonth(F.last_day(F.to_date(t))) - F.dayofmonth(t)
+    packed = F.struct(*[F.col(c) for c in values])
+
+    # pass 1: F3, A7, F4 reads (all on the completed calendar as is)
+    p1 = cal.withColumns(
+        {
+            **{a: bfill(a, w) for a in attrs},
+            "__first_null": F.last(_all_null(values)).over(whole(w)),
+            **{
+                f"__week{k}": F.when(
+                    days_left >= WEEK_DAYS * k, later(packed, w, WEEK_DAYS * k * cfg.slots_per_day)
+                )
+                for k in weeks
+            },
+        }
+    )
+    p1 = p1.withColumns(
+        {
+            c: F.when(
+                F.col("__first_null"), F.coalesce(F.col(c), *[F.col(f"__week{k}").getField(c) for k in weeks])
+            ).otherwise(F.col(c))
+            for c in values
+        }
+    ).drop("__first_null", *[f"__week{k}" for k in weeks])
+
+    # pass 2: F5 inputs and F6 sources, on the seasonal result
+    copied = [c for c in p1.columns if c not in (cfg.key, cfg.time)]
+    src = F.struct(*[F.col(c) for c in copied])
+    back, ahead = GAP_HEAD_DAYS * cfg.slots_per_day, GAP_TAIL_SHIFT_DAYS * cfg.slots_per_day
+    p2 = p1.withColumn("__ym", _year_month(t)).withColumns(
+        {
+            "__next_value_at": F.last(F.when(~_all_null(values), t), ignorenulls=True).over(running(w)),
+            "__month_start_row": F.coalesce(previous("__ym", w) != F.col("__ym"), F.lit(True)),
+            "__back": previous(src, w, back),
+            "__ahead": later(src, w, ahead),
+        }
+    )
+    empty = F.col("__month_start_row") & (
+        F.col("__next_value_at").isNull() | (_year_month(F.col("__next_value_at")) > F.col("__ym"))
+    )
+    # pass 3: F5, the device's first all-NULL month
+    p3 = p2.withColumn("__gap", F.min(F.when(empty, F.col("__ym"))).over(whole(w)))
+    in_gap = F.col("__ym") == F.col("__gap")
+    head = F.dayofmonth(t) <= GAP_HEAD_DAYS
+    p3 = p3.withColumns(
+        {
+            c: F.when(in_gap & head, F.col("__back").getField(c))
+            .when(in_gap, F.col("__ahead").getField(c))
+            .otherwise(F.col(c))
+            for c in copied
+        }
+    ).drop("__ym", "__next_value_at", "__month_start_row", "__back", "__ahead", "__gap")
+    # pass 4: F7
+    return p3.withColumns({c: bfill(c, w) for c in fillable_columns(p3, cfg)})

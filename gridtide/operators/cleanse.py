@@ -98,13 +98,87 @@ RULE_REPAIRS = (
 )
 
 
-def repair_rule_failures(df: DataFrame, cfg: TelemetryConfig = DEFAULT) -> DataFrame:
-    """C1 -> C7 in order."""
+def repair_rule_failures_stepwise(df: DataFrame, cfg: TelemetryConfig = DEFAULT) -> DataFrame:
+    """C1 -> C7 applied one step (one window pass) after the other."""
     for step in RULE_REPAIRS:
         df = step(df, cfg)
     return df
 
 
+def _repair_plan(cfg: TelemetryConfig) -> tuple[dict[str, list], dict[str, list]]:
+    """Per counter, the ordered row conditions of the steps that carry its previous
+    value; per delta, the conditions that zero it. Conditions read only the
+    row's own original fields (deltas, error text, time of day)."""
+    d = cfg.delta
+    msg_night = has_error(fixed.MSG_CHARGE_AND_DISCHARGE) & (F.col(fixed.TIME_OF_DAY) == fixed.NIGHT)
+    msg_day = has_error(fixed.MSG_CHARGE_AND_DISCHARGE) & (F.col(fixed.TIME_OF_DAY) == fixed.DAY)
+    carry: dict[str, list] = {c: [F.col(d(c)) < 0] for c in cfg.counters}  # C1
+    zero: dict[str, list] = {d(c): [F.col(d(c)) < 0] for c in cfg.counters}  # C1
+    for col, cond in (
+        (PV, has_error(fixed.MSG_PV_AT_NIGHT)),  # C2
+        (FEED_IN, has_error(fixed.MSG_FEED_IN_AND_CONSUME)),  # C3
+        (cfg.capacity, has_error(fixed.MSG_CAPACITY_RANGE)),  # C4
+        (CHARGE, msg_night),  # C5
+        (DISCHARGE, msg_day),  # C5
+        (DISCHARGE, has_error(fixed.MSG_DISCHARGE_NO_USE)),  # C6
+        (CONSUME, has_error(fixed.MSG_GRID_NO_USE)),  # C7
+    ):
+        carry.setdefault(col, []).append(cond)
+        if col != cfg.capacity:
+            zero[d(col)].append(cond)
+    return carry, zero
+
+
+def repair_rule_failures(
+    df: DataFrame, cfg: TelemetryConfig = DEFAULT, previous_of: tuple[str, ...] = ()
+) -> DataFrame:
+    """C1 -> C7 in one window pass.
+
+    Every step replaces a value by the previous row's value *as the earlier
+    steps left it*. Unrolled, the value of column X after its m steps at row
+    i is the original X at row i - j, where j counts the steps whose
+    condition holds while walking back; so one pass reading the original
+    rows 1..m back (one struct per offset) gives exactly the stepwise result,
+    instead of one window pass per step. ``previous_of`` columns also get
+    ``__prev_<c>``, the repaired value of the previous row (used by C8).
+    """
+    carry, zero = _repair_plan(cfg)
+    conds = [(col, k) for col, cs in carry.items() for k in range(len(cs))]
+    flag = {(col, k): f"__c_{i}" for i, (col, k) in enumerate(conds)}
+    staged = df.withColumns({flag[(col, k)]: F.coalesce(carry[col][k], F.lit(False)) for col, k in conds})
+    depth = max(len(cs) for cs in carry.values()) + (1 if previous_of else 0)
+    fields = list(carry) + list(flag.values())
+    packed = F.struct(*[F.col(f) for f in fields])
+    w = device_window(df, cfg)
+    back = {j: f"__back{j}" for j in range(1, depth + 1)}
+    staged = staged.withColumns({back[j]: F.lead(packed, j).over(w) for j in back})
+
+    def at(name: str, j: int):
+        return F.col(name) if j == 0 else F.col(back[j]).getField(name)
+
+    def value(col: str, steps: int, j: int):
+        # value of col after its first `steps` steps, at row i - j
+        if steps == 0:
+            return at(col, j)
+        cond = at(flag[(col, steps - 1)], j)
+        return F.when(cond, value(col, steps - 1, j + 1)).otherwise(value(col, steps - 1, j))
+
+    out = staged.withColumns({f"__prev_{c}": value(c, len(carry[c]), 1) for c in previous_of})
+    out = out.withColumns({col: value(col, len(cs), 0) for col, cs in carry.items()})
+    out = out.withColumns(
+        {dc: F.when(_any(cs), F.lit(0)).otherwise(F.col(dc)) for dc, cs in zero.items() if dc in df.columns}
+    )
+    return out.drop(*flag.values(), *back.values())
+
+
+def _any(conds):
+    out = None
+    for c in conds:
+        c = F.coalesce(c, F.lit(False))
+        out = c if out is None else (out | c)
+    return out
+
+
 def clean_all(
     df: DataFrame,
     cfg: TelemetryConfig = DEFAULT,

@@ -29,8 +29,11 @@ def project_analysis_columns(df: DataFrame, cfg: TelemetryConfig = DEFAULT, keep
 def counter_deltas(df: DataFrame, cfg: TelemetryConfig = DEFAULT, counters=None) -> DataFrame:
     """``Instantaneous_<c> = c - previous c`` within the device; NULL on the first row."""
     w = device_window(df, cfg)
-    counters = counters or cfg.counters
-    return df.withColumns({cfg.delta(c): F.col(c) - previous(c, w) for c in counters})
+    counters = list(counters or cfg.counters)
+    # one struct read of the previous row instead of one offset frame per counter
+    prev = df.withColumn("__prev", previous(F.struct(*[F.col(c) for c in counters]), w))
+    out = prev.withColumns({cfg.delta(c): F.col(c) - F.col("__prev").getField(c) for c in counters})
+    return out.drop("__prev")
 
 
 def fill_null_deltas(df: DataFrame, cfg: TelemetryConfig = DEFAULT) -> DataFrame:

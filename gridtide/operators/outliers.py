@@ -114,13 +114,15 @@ def replace_outliers(
     exact: bool = False,
     global_order: Sequence[str] | None = None,
     materialize: bool = False,
+    previous_ready: bool = False,
 ) -> DataFrame:
     """A value outside ``[q1 - m*iqr, q3 + m*iqr]`` takes the previous value.
 
     Fences are global (all devices). ``scope='device'`` takes the previous
     value within the device; ``scope='global'`` the previous row over all
     devices in (time, key, tie) order, as the reference's unpartitioned lag.
-    Only the tested column changes.
+    Only the tested column changes. ``previous_ready`` means the input already
+    carries ``__prev_<c>`` columns (e.g. from the fused repair pass).
 
     The previous values are computed first (in the same window pass as any
     upstream per-device step). With ``materialize`` the rows are then written
@@ -133,7 +135,9 @@ def replace_outliers(
         return df
     accuracy = accuracy or cfg.quantile_accuracy
     prev_cols = {c: f"__prev_{c}" for c in columns}
-    if scope == "device":
+    if previous_ready:
+        staged = df
+    elif scope == "device":
         w = device_window(df, cfg)
         staged = df.withColumns({p: previous(c, w) for c, p in prev_cols.items()})
     elif scope == "global":

@@ -41,9 +41,17 @@ def run_chain(
     full = calendar.complete_series(valid, cfg)
     derived = derive.derive_all(full, cfg)
     checked = validate.validate_rows(derived, cfg)
-    repaired = cleanse.repair_rule_failures(checked, cfg)
+    fused_previous = cfg.outlier_columns if scope == "device" else ()
+    repaired = cleanse.repair_rule_failures(checked, cfg, previous_of=fused_previous)
     cleaned = replace_outliers(
-        repaired, cfg, cfg.outlier_columns, cfg.iqr_multiplier, scope=scope, accuracy=accuracy, materialize=materialize
+        repaired,
+        cfg,
+        cfg.outlier_columns,
+        cfg.iqr_multiplier,
+        scope=scope,
+        accuracy=accuracy,
+        materialize=materialize,
+        previous_ready=bool(fused_previous),
     )
     return ChainResult(cleaned=cleaned, failed=failed)
 
