@@ -1,17 +1,22 @@
 """IQR outliers (A6, C8) and the all-device previous row.
 
-Fences come from one ``percentile_approx`` aggregate over all target columns,
-attached to the rows as a scalar subquery: the quantile pass shares the
-upstream exchange with the main plan (exchange reuse), needs no join, and
-keeps a bounded sketch in memory whatever the data size. ``accuracy`` 100 is
-the reference's relative error of 0.01; with accuracy >= row count the
-result is the exact lower quantile (``percentile_disc``), which ``exact=True``
-also computes directly.
+Approximate fences (the reference's behaviour) come from one
+``percentile_approx`` aggregate over all target columns, attached to the rows
+as a scalar subquery: no join, a bounded sketch whatever the data size, and
+the quantile pass shares the upstream exchange with the main plan.
+``accuracy`` 100 is the reference's relative error of 0.01.
+
+Exact fences (``exact=True``, the lower quantile of ``percentile_disc``) use
+:func:`exact_quantiles`: an approximate bracket, counts, then an exact
+aggregate over the few rows inside the bracket -- bounded memory at any
+scale, a few small aggregate rows to the driver.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
+from dataclasses import dataclass
+from fractions import Fraction
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -30,16 +35,100 @@ def _check_names(columns) -> list[str]:
     return columns
 
 
-def _quartiles(col: str, accuracy: int, exact: bool) -> Column:
+def _quartiles(col: str, accuracy: int) -> Column:
     lo_q, hi_q = fixed.IQR_QUANTILES
-    if exact:
-        return F.array(
-            F.expr(f"percentile_disc({lo_q}) WITHIN GROUP (ORDER BY `{col}`)"),
-            F.expr(f"percentile_disc({hi_q}) WITHIN GROUP (ORDER BY `{col}`)"),
-        )
     return F.percentile_approx(col, F.array(F.lit(lo_q), F.lit(hi_q)), F.lit(accuracy))
 
 
+@dataclass
+class _Target:
+    col: str
+    p: float
+    k: int | None  # 1-based rank of the wanted order statistic among non-null values
+    frac: float = 0.0  # fraction of the wanted rank inside the current domain
+    lo: float | None = None
+    hi: float | None = None
+    rank: int | None = None  # rank inside [lo, hi]
+    inside: int | None = None
+
+
+def exact_quantiles(
+    df: DataFrame,
+    columns: Sequence[str],
+    probs: Sequence[float] = fixed.IQR_QUANTILES,
+    accuracy: int = 10_000,
+    band_limit: int = 1_000_000,
+    max_rounds: int = 8,
+) -> dict[str, list]:
+    """Exact lower quantiles (``percentile_disc``: the value at rank
+    ceil(p * N)) with bounded memory at any scale.
+
+    1. One aggregate: non-null counts, then an approximate bracket per quantile
+       (``percentile_approx`` at p -/+ 2/accuracy; its rank error is at most
+       N/accuracy, so the exact order statistic lies inside the bracket).
+    2. One aggregate: rows below and inside each bracket, giving the rank
+       inside it; while a bracket holds more than ``band_limit`` rows it is
+       narrowed by another approximate pass restricted to the bracket.
+    3. One exact ``percentile_disc`` restricted to the bracket (its memory is
+       the number of distinct values inside the bracket).
+
+    Each pass returns one small row to the driver; the data is only scanned.
+    """
+    from math import ceil
+
+    columns = _check_names(columns)
+    delta = 2.0 / accuracy
+    counts = df.select(*[F.count(c).alias(c) for c in columns]).first()
+    targets = []
+    for c in columns:
+        n = counts[c]
+        for p in probs:
+            k = max(1, ceil(Fraction(str(p)) * n)) if n else None
+            targets.append(_Target(c, p, k, frac=float(p)))
+    live = [t for t in targets if t.k is not None]
+
+    def bracket(ts, within_band: bool):
+        exprs = []
+        for i, t in enumerate(ts):
+            src = F.when(F.col(t.col).between(t.lo, t.hi), F.col(t.col)) if within_band else F.col(t.col)
+            fr = F.array(F.lit(max(0.0, t.frac - delta)), F.lit(min(1.0, t.frac + delta)))
+            exprs.append(F.percentile_approx(src, fr, F.lit(accuracy)).alias(f"b{i}"))
+        row = df.select(*exprs).first()
+        for i, t in enumerate(ts):
+            t.lo, t.hi = row[f"b{i}"][0], row[f"b{i}"][1]
+
+    if live:
+        bracket(live, within_band=False)
+    for _ in range(max_rounds):
+        if not live:
+            break
+        row = df.select(
+            *[F.count_if(F.col(t.col) < F.lit(t.lo)).alias(f"lt{i}") for i, t in enumerate(live)],
+            *[F.count_if(F.col(t.col).between(t.lo, t.hi)).alias(f"in{i}") for i, t in enumerate(live)],
+        ).first()
+        for i, t in enumerate(live):
+            t.rank, t.inside = t.k - row[f"lt{i}"], row[f"in{i}"]
+        wide = [t for t in live if t.inside > band_limit and t.lo != t.hi]
+        if not wide:
+            break
+        for t in wide:
+            t.frac = (t.rank - 0.5) / t.inside
+        bracket(wide, within_band=True)
+    result: dict[tuple[str, float], object] = {(t.col, t.p): None for t in targets}
+    if live:
+        exprs = [
+            F.expr(
+                f"percentile_disc({(t.rank - 0.5) / t.inside!r}) WITHIN GROUP (ORDER BY `{t.col}`) "
+                f"FILTER (WHERE `{t.col}` BETWEEN {t.lo!r} AND {t.hi!r})"
+            ).alias(f"q{i}")
+            for i, t in enumerate(live)
+        ]
+        row = df.select(*exprs).first()
+        for i, t in enumerate(live):
+            result[(t.col, t.p)] = row[f"q{i}"]
+    return {c: [result[(c, p)] for p in probs] for c in columns}
+
+
 def iqr_fences(
     df: DataFrame,
     columns: Sequence[str],
@@ -47,12 +136,22 @@ def iqr_fences(
     accuracy: int = 100,
     exact: bool = False,
 ) -> DataFrame:
-    """One row per column: ``column, q1, q3, lower, upper`` (one aggregate pass).
+    """One row per column: ``column, q1, q3, lower, upper``.
 
-    NULL and NaN are ignored; an all-NULL or empty column gives NULL fences.
+    Approximate (one aggregate pass, bounded sketch) by default; ``exact``
+    uses :func:`exact_quantiles`. NULL and NaN are ignored; an all-NULL or
+    empty column gives NULL fences.
     """
     columns = _check_names(columns)
-    quart = df.select(*[_quartiles(c, accuracy, exact).alias(c) for c in columns])
+    spark = df.sparkSession
+    if exact:
+        qs = exact_quantiles(df, columns)
+        quart = spark.createDataFrame(
+            [tuple([qs[c][0], qs[c][1]] for c in columns)],
+            ", ".join(f"`{c}` array<double>" for c in columns),
+        )
+    else:
+        quart = df.select(*[_quartiles(c, accuracy).alias(c) for c in columns])
     rows = quart.select(
         F.explode(F.array(*[F.struct(F.lit(c).alias("column"), F.col(c).alias("q")) for c in columns])).alias("r")
     )
@@ -66,12 +165,23 @@ def iqr_fences(
     )
 
 
-def _fence_subquery(df: DataFrame, columns, accuracy, exact) -> Column:
+def _fence_subquery(df: DataFrame, columns, accuracy) -> Column:
     """A scalar subquery: struct of [q1, q3] arrays, one field per column."""
-    quart = df.select(F.struct(*[_quartiles(c, accuracy, exact).alias(c) for c in columns]).alias("q"))
+    quart = df.select(F.struct(*[_quartiles(c, accuracy).alias(c) for c in columns]).alias("q"))
     return quart.scalar()
 
 
+def _fence_literals(df: DataFrame, columns) -> Column:
+    """Exact quartiles as a literal struct (computed by :func:`exact_quantiles`)."""
+    qs = exact_quantiles(df, columns)
+    return F.struct(
+        *[
+            F.array(F.lit(qs[c][0]).cast("double"), F.lit(qs[c][1]).cast("double")).alias(c)
+            for c in columns
+        ]
+    )
+
+
 def global_previous(df: DataFrame, columns: Sequence[str], order: Sequence[str], partitions: int | None = None) -> DataFrame:
     """``__prev_<c>`` = value of ``c`` on the previous row of the total order
     over *all* rows (any device), without a single-partition window.
@@ -149,7 +259,8 @@ def replace_outliers(
         from gridtide.session import checkpoint_table
 
         staged = checkpoint_table(staged, "outliers")
-    staged = staged.withColumn("__fences", _fence_subquery(staged, columns, accuracy, exact))
+    fences_value = _fence_literals(staged, columns) if exact else _fence_subquery(staged, columns, accuracy)
+    staged = staged.withColumn("__fences", fences_value)
     fences = F.col("__fences")
 
     def outlier(c: str) -> Column:

@@ -22,10 +22,8 @@ from gridtide.plans import chain, fixtures
 from gridtide.sources import csv as csv_source
 from gridtide.sources import frames
 
-# Accuracy of percentile_approx in the registered queries: rank error below one
-# row for up to a million values, so the fences equal the exact lower quantiles
-# the SQL computes, with a bounded sketch.
-QUERY_ACCURACY = 1_000_000
+# Registered queries use exact fences (the lower quantile the SQL computes);
+# the pipeline default stays approximate as in the reference.
 
 EVENTS = TelemetryConfig(key="user_id", time="ts", tie="event_id", counters=(), attributes=(), provenance=None)
 EVENTS_MONTH = EVENTS.with_(calendar_start="2024-01-01 00:00:00", calendar_days=30, step_minutes=30)
@@ -224,22 +222,22 @@ def _repair(step):
 
 
 def q_iqr_fences(spark, sf):
-    return iqr_fences(_events(spark, sf), ["value"], accuracy=QUERY_ACCURACY)
+    return iqr_fences(_events(spark, sf), ["value"], exact=True)
 
 
 def q_outlier_previous(spark, sf):
-    out = replace_outliers(_events(spark, sf), EVENTS, ["value"], accuracy=QUERY_ACCURACY)
+    out = replace_outliers(_events(spark, sf), EVENTS, ["value"], exact=True)
     return out.select("event_id", "user_id", "ts", "value")
 
 
 def q_outlier_previous_global(spark, sf):
-    out = replace_outliers(_events(spark, sf), EVENTS, ["value"], scope="global", accuracy=QUERY_ACCURACY)
+    out = replace_outliers(_events(spark, sf), EVENTS, ["value"], scope="global", exact=True)
     return out.select("event_id", "user_id", "ts", "value")
 
 
 def q_clean_all(spark, sf):
     repaired = cleanse.repair_rule_failures(_validated(spark, sf), TELEMETRY)
-    out = replace_outliers(repaired, TELEMETRY, TELEMETRY.outlier_columns, accuracy=QUERY_ACCURACY)
+    out = replace_outliers(repaired, TELEMETRY, TELEMETRY.outlier_columns, exact=True)
     return _flat(out)
 
 
@@ -247,7 +245,7 @@ def q_clean_all(spark, sf):
 def q_season_rule_report(spark, sf):
     """Flagship: readings -> generic checks -> one-year calendar -> derive ->
     rules -> repairs -> outliers -> per-season rule report."""
-    res = chain.run_chain(_telemetry(spark, sf), FLAGSHIP, accuracy=QUERY_ACCURACY)
+    res = chain.run_chain(_telemetry(spark, sf), FLAGSHIP, exact=True)
     return chain.season_rule_report(res.cleaned, FLAGSHIP)
 
 

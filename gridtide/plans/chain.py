@@ -35,6 +35,7 @@ def run_chain(
     scope: str = "device",
     accuracy: int | None = None,
     materialize: bool = True,
+    exact: bool = False,
 ) -> ChainResult:
     df = nan_to_null(raw)
     valid, failed = quality.generic_validation(df, cfg)
@@ -50,6 +51,7 @@ def run_chain(
         cfg.iqr_multiplier,
         scope=scope,
         accuracy=accuracy,
+        exact=exact,
         materialize=materialize,
         previous_ready=bool(fused_previous),
     )

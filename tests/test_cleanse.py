@@ -94,3 +94,14 @@ def test_outlier_edge_cases(spark):
         replace_outliers(_series(spark, [1]), OUT_CFG, [1])
     fences = iqr_fences(_series(spark, [1, 2, 3, 4]), ["x"], accuracy=10_000).first()
     assert (fences.q1, fences.q3, fences.lower, fences.upper) == (1.0, 3.0, -2.0, 6.0)
+
+
+def test_exact_quantiles_equal_percentile_disc_with_narrowing(spark):
+    from gridtide.operators.outliers import exact_quantiles
+
+    rows = [(float((i * 7919) % 3001),) for i in range(20000)] + [(5.0,)] * 3000
+    df = spark.createDataFrame(rows, "x double")
+    probs = [0.01, 0.25, 0.5, 0.75, 0.99]
+    want = list(df.select(*[F.expr(f"percentile_disc({p}) WITHIN GROUP (ORDER BY x)") for p in probs]).first())
+    assert exact_quantiles(df, ["x"], probs, accuracy=100, band_limit=50)["x"] == want
+    assert exact_quantiles(df.limit(0), ["x"], probs)["x"] == [None] * len(probs)
