@@ -97,6 +97,10 @@ def complete_calendar(
     coalescing, which only sees the sparse readings, must not shrink it. Every
     later per-device window reuses this partitioning.
     """
+    return _expand(df, cfg, deduplicate, partitions, device_flags=False)
+
+
+def _expand(df, cfg, deduplicate=True, partitions=None, device_flags=False) -> DataFrame:
     if deduplicate:
         df = keep_first_per_slot(df, cfg)
     n = partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
@@ -104,21 +108,51 @@ def complete_calendar(
     start, end, step = ntz(cfg.start.isoformat(sep=" ")), ntz(cfg.end.isoformat(sep=" ")), minutes(cfg.step_minutes)
     t = F.col(cfg.time)
     w = _w(cfg)
+    device = Window.partitionBy(cfg.key)
     inside = F.coalesce(t.between(start, end), F.lit(False))
     nxt, prv = later(t, w), previous(t, w)
-    any_inside = F.max(inside).over(Window.partitionBy(cfg.key))
+    any_inside = F.max(inside).over(device)
     designated = F.row_number().over(w) == 1  # one row per device carries an all-outside device
 
     lo = F.when(prv >= start, t).otherwise(start)
     hi = F.when(nxt <= end, nxt - step).otherwise(end)
     emit = F.when(inside, F.sequence(lo, hi, step)).when(~any_inside & designated, F.sequence(start, end, step))
     values = [c for c in df.columns if c not in (cfg.key, cfg.time)]
-    staged = df.select(cfg.key, t.alias("__t"), *values, emit.alias("__slots"))
+    flags = []
+    if device_flags:
+        # Per-device facts of the completed calendar, read off the sparse readings:
+        # - the first record (the start slot) is all NULL unless a reading with a
+        #   value sits exactly on it;
+        # - a calendar month is all NULL (also after the seasonal fill, which never
+        #   crosses months) unless a reading with a value falls in it, so the first
+        #   gap month follows from the months of those readings.
+        valued = inside & ~_all_null(value_columns(df, cfg))
+        ym = _year_month(t)
+        first_month, last_month = _year_month(start), _year_month(end)
+        later_valued_month = F.last(F.when(valued, ym), ignorenulls=True).over(
+            w.rowsBetween(Window.unboundedPreceding, -1)
+        )
+        after = F.add_months(ym, 1)
+        gap_after = F.when(
+            valued & (after <= last_month) & (later_valued_month.isNull() | (later_valued_month > after)), after
+        )
+        earliest = F.min(F.when(valued, ym)).over(device)
+        gap_first = F.when(earliest.isNull() | (earliest > first_month), first_month)
+        df = df.withColumns(
+            {
+                "__first_null": ~F.max(valued & (t == start)).over(device),
+                "__gap_r": gap_after,
+                "__gap0": gap_first,
+            }
+        ).withColumn("__gap", F.least(F.min("__gap_r").over(device), F.col("__gap0")))
+        flags = ["__first_null", "__gap"]
+    staged = df.select(cfg.key, t.alias("__t"), *values, *flags, emit.alias("__slots"))
     slot = F.col("__slot")
-    return staged.select(cfg.key, "__t", *values, F.explode("__slots").alias("__slot")).select(
+    return staged.select(cfg.key, "__t", *values, *flags, F.explode("__slots").alias("__slot")).select(
         cfg.key,
         slot.alias(cfg.time),
         *[F.when(slot == F.col("__t"), F.col(c)).alias(c) for c in values],
+        *flags,
     )
 
 
@@ -270,25 +304,24 @@ def complete_series_stepwise(df: DataFrame, cfg: TelemetryConfig = DEFAULT) -> D
 def complete_series(df: DataFrame, cfg: TelemetryConfig = DEFAULT) -> DataFrame:
     """F8: F1 -> F2 -> F3 -> A7/F4 -> F5/F6 -> F7 as one lazy plan over all devices.
 
-    Same result as :func:`complete_series_stepwise`, with the independent
-    window work of consecutive steps fused into four passes over the sorted
-    device rows: (attribute fill, first-record flag, seasonal reads), (next
-    value, month start, gap-month sources), (gap month), (final fill).
+    Same result as :func:`complete_series_stepwise`. The first-record test
+    (A7) and the first gap month (F5) are read off the sparse readings before
+    the expansion; the rest runs in three passes over the sorted device rows:
+    (attribute fill, seasonal reads), (gap-month sources), (final fill).
     """
-    cal = complete_calendar(df, cfg)
+    cal = _expand(df, cfg, device_flags=True)
     t = F.col(cfg.time)
     w = _w(cfg)
     attrs = [a for a in cfg.attributes if a in cal.columns]
-    values = value_columns(cal, cfg)
+    values = [c for c in value_columns(cal, cfg) if c not in ("__first_null", "__gap")]
     weeks = range(1, 5)
     days_left = F.dayofmonth(F.last_day(F.to_date(t))) - F.dayofmonth(t)
     packed = F.struct(*[F.col(c) for c in values])
 
-    # pass 1: F3, A7, F4 reads (all on the completed calendar as is)
+    # pass 1: F3 and the F4 reads (on the completed calendar as is)
     p1 = cal.withColumns(
         {
             **{a: bfill(a, w) for a in attrs},
-            "__first_null": F.last(_all_null(values)).over(whole(w)),
             **{
                 f"__week{k}": F.when(
                     days_left >= WEEK_DAYS * k, later(packed, w, WEEK_DAYS * k * cfg.slots_per_day)
@@ -306,32 +339,20 @@ def complete_series(df: DataFrame, cfg: TelemetryConfig = DEFAULT) -> DataFrame:
         }
     ).drop("__first_null", *[f"__week{k}" for k in weeks])
 
-    # pass 2: F5 inputs and F6 sources, on the seasonal result
-    copied = [c for c in p1.columns if c not in (cfg.key, cfg.time)]
+    # pass 2: F6 sources on the seasonal result
+    copied = [c for c in p1.columns if c not in (cfg.key, cfg.time, "__gap")]
     src = F.struct(*[F.col(c) for c in copied])
     back, ahead = GAP_HEAD_DAYS * cfg.slots_per_day, GAP_TAIL_SHIFT_DAYS * cfg.slots_per_day
-    p2 = p1.withColumn("__ym", _year_month(t)).withColumns(
-        {
-            "__next_value_at": F.last(F.when(~_all_null(values), t), ignorenulls=True).over(running(w)),
-            "__month_start_row": F.coalesce(previous("__ym", w) != F.col("__ym"), F.lit(True)),
-            "__back": previous(src, w, back),
-            "__ahead": later(src, w, ahead),
-        }
-    )
-    empty = F.col("__month_start_row") & (
-        F.col("__next_value_at").isNull() | (_year_month(F.col("__next_value_at")) > F.col("__ym"))
-    )
-    # pass 3: F5, the device's first all-NULL month
-    p3 = p2.withColumn("__gap", F.min(F.when(empty, F.col("__ym"))).over(whole(w)))
-    in_gap = F.col("__ym") == F.col("__gap")
+    p2 = p1.withColumns({"__back": previous(src, w, back), "__ahead": later(src, w, ahead)})
+    in_gap = _year_month(t) == F.col("__gap")
     head = F.dayofmonth(t) <= GAP_HEAD_DAYS
-    p3 = p3.withColumns(
+    p2 = p2.withColumns(
         {
             c: F.when(in_gap & head, F.col("__back").getField(c))
             .when(in_gap, F.col("__ahead").getField(c))
             .otherwise(F.col(c))
             for c in copied
         }
-    ).drop("__ym", "__next_value_at", "__month_start_row", "__back", "__ahead", "__gap")
-    # pass 4: F7
-    return p3.withColumns({c: bfill(c, w) for c in fillable_columns(p3, cfg)})
+    ).drop("__gap", "__back", "__ahead")
+    # pass 3: F7
+    return p2.withColumns({c: bfill(c, w) for c in fillable_columns(p2, cfg)})

@@ -146,12 +146,31 @@ def repair_rule_failures(
     conds = [(col, k) for col, cs in carry.items() for k in range(len(cs))]
     flag = {(col, k): f"__c_{i}" for i, (col, k) in enumerate(conds)}
     staged = df.withColumns({flag[(col, k)]: F.coalesce(carry[col][k], F.lit(False)) for col, k in conds})
-    depth = max(len(cs) for cs in carry.values()) + (1 if previous_of else 0)
-    fields = list(carry) + list(flag.values())
-    packed = F.struct(*[F.col(f) for f in fields])
+    # Which (field, offset) pairs the unrolled expressions read: each offset's
+    # struct carries only those fields.
+    needed: set[tuple[str, int]] = set()
+
+    def walk(col: str, steps: int, j: int):
+        if steps == 0:
+            needed.add((col, j))
+            return
+        needed.add((flag[(col, steps - 1)], j))
+        walk(col, steps - 1, j + 1)
+        walk(col, steps - 1, j)
+
+    for col, cs in carry.items():
+        walk(col, len(cs), 0)
+    for c in previous_of:
+        walk(c, len(carry[c]), 1)
+    depth = max(j for _, j in needed)
     w = device_window(df, cfg)
     back = {j: f"__back{j}" for j in range(1, depth + 1)}
-    staged = staged.withColumns({back[j]: F.lead(packed, j).over(w) for j in back})
+    staged = staged.withColumns(
+        {
+            back[j]: F.lead(F.struct(*[F.col(f) for f, jj in sorted(needed) if jj == j]), j).over(w)
+            for j in back
+        }
+    )
 
     def at(name: str, j: int):
         return F.col(name) if j == 0 else F.col(back[j]).getField(name)

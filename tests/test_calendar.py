@@ -126,3 +126,20 @@ def test_bfill_all_within_device(spark):
     assert out[("A", datetime(2022, 7, 1, 0, 0))] == ("x", 2.0)
     assert out[("B", datetime(2022, 7, 1, 0, 0))] == (None, None)  # never bleeds across devices
     assert F
+
+
+def test_fused_series_equals_stepwise_on_edge_cases(spark):
+    cases = [
+        [(d, d + 1) for d in range(119) if not (31 <= d < 59)],  # February empty
+        [(d, d + 1) for d in range(119) if not (d < 31 or 59 <= d < 90)],  # January and March empty
+        [(0, 1.0), (7, 5.0), (100, 2.0)],  # first record present, sparse
+        [(7, 5.0), (1, 7.0), (33, 1.0)],  # first record empty
+        [(-30, 1.0), (200, 2.0)],  # only readings outside the calendar
+        [(d, d + 1) for d in range(60)],  # trailing months empty
+    ]
+    for vals in cases:
+        src = _daily(spark, vals)
+        a = calendar.complete_series(src, DAILY)
+        b = calendar.complete_series_stepwise(src, DAILY)
+        assert a.count() == DAILY.slots
+        assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0, vals
