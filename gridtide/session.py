@@ -32,13 +32,20 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str
 
 
 def checkpoint_dir(spark: SparkSession) -> str:
-    """The session's ``spark.checkpoint.dir``; a fresh local folder only when unset."""
+    """The session's ``spark.checkpoint.dir`` (shared storage on a cluster).
+
+    Only a local-mode session without one (tests, benchmarks) gets a fresh
+    local folder; on a cluster a missing setting is an error, because a
+    machine-local folder is not visible to other executors.
+    """
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
     if current:
         return current
     configured = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir", None)
     if not configured:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (needed to cut lineage)")
         configured = tempfile.mkdtemp(prefix="gridtide-ckpt-")
     sc.setCheckpointDir(configured)
     return sc.getCheckpointDir() or configured
