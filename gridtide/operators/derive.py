@@ -26,10 +26,23 @@ def project_analysis_columns(df: DataFrame, cfg: TelemetryConfig = DEFAULT, keep
     return df.select(*cols)
 
 
-def counter_deltas(df: DataFrame, cfg: TelemetryConfig = DEFAULT, counters=None) -> DataFrame:
-    """``Instantaneous_<c> = c - previous c`` within the device; NULL on the first row."""
-    w = device_window(df, cfg)
+def counter_deltas(df: DataFrame, cfg: TelemetryConfig = DEFAULT, counters=None, skew_safe: bool = False) -> DataFrame:
+    """``Instantaneous_<c> = c - previous c`` within the device; NULL on the first row.
+
+    ``skew_safe`` reads the previous row through range partitions (see
+    :func:`gridtide.operators.outliers.keyed_previous`) so that a device
+    holding a large share of raw readings is split over many tasks; the
+    default device window is right for calendar-bounded series.
+    """
     counters = list(counters or cfg.counters)
+    if skew_safe:
+        from gridtide.operators.outliers import keyed_previous
+        from gridtide.functions.windows import order_columns
+
+        prev = keyed_previous(df, counters, [cfg.key], order_columns(df, cfg), prefix="__p_")
+        out = prev.withColumns({cfg.delta(c): F.col(c) - F.col(f"__p_{c}") for c in counters})
+        return out.drop(*[f"__p_{c}" for c in counters])
+    w = device_window(df, cfg)
     # one struct read of the previous row instead of one offset frame per counter
     prev = df.withColumn("__prev", previous(F.struct(*[F.col(c) for c in counters]), w))
     out = prev.withColumns({cfg.delta(c): F.col(c) - F.col("__prev").getField(c) for c in counters})

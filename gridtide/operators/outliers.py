@@ -182,36 +182,55 @@ def _fence_literals(df: DataFrame, columns) -> Column:
     )
 
 
-def global_previous(df: DataFrame, columns: Sequence[str], order: Sequence[str], partitions: int | None = None) -> DataFrame:
-    """``__prev_<c>`` = value of ``c`` on the previous row of the total order
-    over *all* rows (any device), without a single-partition window.
-
-    Rows are range-partitioned on the order (sampled bounds split even a hot
-    timestamp), lagged within each range, and the first row of each range
-    takes the last row of the previous non-empty range. The carry table has
-    one row per range partition, a size fixed by ``partitions``, so it is
-    broadcast.
+def keyed_previous(
+    df: DataFrame,
+    columns: Sequence[str],
+    keys: Sequence[str],
+    order: Sequence[str],
+    partitions: int | None = None,
+    prefix: str = "__prev_",
+) -> DataFrame:
+    """``<prefix><c>`` = value of ``c`` on the previous row of the same ``keys``
+    group in ``order`` (all rows when ``keys`` is empty), with no task holding
+    a whole group.
+
+    Rows are range-partitioned on (keys, order): the sampled bounds split even
+    a group holding a third of the data, or a hot timestamp, over many tasks.
+    The partition ids are written once under the checkpoint folder.
+    The previous row is read within each range; the first row of a range takes
+    the last row of the previous non-empty range when it belongs to the same
+    group. The carry table has one row per range partition -- a size fixed by
+    ``partitions`` -- so it is broadcast.
     """
     spark = df.sparkSession
     n = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    order = list(order)
-    ranged = df.repartitionByRange(n, *order).withColumn("__pid", F.spark_partition_id())
-    w = Window.partitionBy("__pid").orderBy(*order)
-    lagged = ranged.withColumns({f"__prev_{c}": F.lag(c).over(w) for c in columns}).withColumn(
-        "__first", F.row_number().over(w) == 1
-    )
-    last = ranged.groupBy("__pid").agg(
-        F.max_by(F.struct(*[F.col(c) for c in columns]), F.struct(*order)).alias("__last")
-    )
+    keys, order, columns = list(keys), list(order), list(columns)
+    ranged = df.repartitionByRange(n, *keys, *order).withColumn("__pid", F.spark_partition_id())
+    # The range bounds come from sampling; two evaluations of the exchange over
+    # an input whose row order is not fixed (any shuffled input) may sample
+    # differently. Storing the partition ids once makes the in-range reads and
+    # the carry table agree by construction.
+    from gridtide.session import checkpoint_table
+
+    ranged = checkpoint_table(ranged, "ranges")
+    w = Window.partitionBy("__pid").orderBy(*keys, *order)
+    rec = F.struct(*[F.col(k).alias(f"k{i}") for i, k in enumerate(keys)], *[F.col(c) for c in columns])
+    lagged = ranged.withColumn("__lag", F.lag(rec).over(w)).withColumn("__first", F.row_number().over(w) == 1)
+    last = ranged.groupBy("__pid").agg(F.max_by(rec, F.struct(*keys, *order)).alias("__last"))
     carry = last.select("__pid", F.lag("__last").over(Window.orderBy("__pid")).alias("__carry"))
     out = lagged.join(F.broadcast(carry), "__pid", "left")
-    out = out.withColumns(
-        {
-            f"__prev_{c}": F.when(F.col("__first"), F.col("__carry").getField(c)).otherwise(F.col(f"__prev_{c}"))
-            for c in columns
-        }
-    )
-    return out.drop("__pid", "__first", "__carry")
+    src = F.when(F.col("__first"), F.col("__carry")).otherwise(F.col("__lag"))
+    same = F.lit(True)
+    for i, k in enumerate(keys):
+        same = same & src.getField(f"k{i}").eqNullSafe(F.col(k))
+    out = out.withColumns({f"{prefix}{c}": F.when(src.isNotNull() & same, src.getField(c)) for c in columns})
+    return out.drop("__pid", "__first", "__carry", "__lag")
+
+
+def global_previous(df: DataFrame, columns: Sequence[str], order: Sequence[str], partitions: int | None = None) -> DataFrame:
+    """``__prev_<c>`` from the previous row over *all* rows (any device) in
+    ``order``, without a single-partition window (see :func:`keyed_previous`)."""
+    return keyed_previous(df, columns, [], order, partitions)
 
 
 def replace_outliers(
@@ -225,6 +244,7 @@ def replace_outliers(
     global_order: Sequence[str] | None = None,
     materialize: bool = False,
     previous_ready: bool = False,
+    skew_safe: bool = False,
 ) -> DataFrame:
     """A value outside ``[q1 - m*iqr, q3 + m*iqr]`` takes the previous value.
 
@@ -232,7 +252,10 @@ def replace_outliers(
     value within the device; ``scope='global'`` the previous row over all
     devices in (time, key, tie) order, as the reference's unpartitioned lag.
     Only the tested column changes. ``previous_ready`` means the input already
-    carries ``__prev_<c>`` columns (e.g. from the fused repair pass).
+    carries ``__prev_<c>`` columns (e.g. from the fused repair pass);
+    ``skew_safe`` reads the device's previous value with
+    :func:`keyed_previous` instead of a device window (for raw readings where
+    one device may hold a large share of the rows).
 
     The previous values are computed first (in the same window pass as any
     upstream per-device step). With ``materialize`` the rows are then written
@@ -247,6 +270,9 @@ def replace_outliers(
     prev_cols = {c: f"__prev_{c}" for c in columns}
     if previous_ready:
         staged = df
+    elif scope == "device" and skew_safe:
+        order = [o for o in (cfg.time, cfg.tie) if o and o in df.columns]
+        staged = keyed_previous(df, columns, [cfg.key], order)
     elif scope == "device":
         w = device_window(df, cfg)
         staged = df.withColumns({p: previous(c, w) for c, p in prev_cols.items()})
