@@ -1,6 +1,5 @@
 from datetime import datetime, timedelta
 
-from pyspark.sql import functions as F
 
 from gridtide.config import TelemetryConfig
 from gridtide.operators import calendar, quality
@@ -125,7 +124,6 @@ def test_bfill_all_within_device(spark):
     out = {(r.k, r.t): (r.site, r.v) for r in calendar.bfill_all(spark.createDataFrame(rows, SCHEMA), HH).collect()}
     assert out[("A", datetime(2022, 7, 1, 0, 0))] == ("x", 2.0)
     assert out[("B", datetime(2022, 7, 1, 0, 0))] == (None, None)  # never bleeds across devices
-    assert F
 
 
 def test_fused_series_equals_stepwise_on_edge_cases(spark):

@@ -1,6 +1,5 @@
 from datetime import datetime
 
-from pyspark.sql import functions as F
 
 from gridtide import fixed
 from gridtide.config import TelemetryConfig
@@ -92,4 +91,3 @@ def test_calendar_parts_monday_zero(spark):
 def test_projection_keeps_nine_columns(spark):
     df = spark.createDataFrame([reading("A", "2022-07-01 00:00:00", 1)], READING_SCHEMA)
     assert len(derive.project_analysis_columns(df, CFG).columns) == 9
-    assert F  # keep import used
