@@ -237,7 +237,7 @@ def q_outlier_previous_global(spark, sf):
 
 def q_clean_all(spark, sf):
     repaired = cleanse.repair_rule_failures(_validated(spark, sf), TELEMETRY)
-    out = replace_outliers(repaired, TELEMETRY, TELEMETRY.outlier_columns, exact=True)
+    out = replace_outliers(repaired, TELEMETRY, TELEMETRY.outlier_columns, exact=True, materialize=True)
     return _flat(out)
 
 
