@@ -78,27 +78,31 @@ def exact_quantiles(
 
     columns = _check_names(columns)
     delta = 2.0 / accuracy
-    counts = df.select(*[F.count(c).alias(c) for c in columns]).first()
-    targets = []
-    for c in columns:
-        n = counts[c]
-        for p in probs:
-            k = max(1, ceil(Fraction(str(p)) * n)) if n else None
-            targets.append(_Target(c, p, k, frac=float(p)))
-    live = [t for t in targets if t.k is not None]
+    targets = [_Target(c, p, None, frac=float(p)) for c in columns for p in probs]
 
-    def bracket(ts, within_band: bool):
+    def bracket_exprs(ts, within_band: bool):
         exprs = []
         for i, t in enumerate(ts):
             src = F.when(F.col(t.col).between(t.lo, t.hi), F.col(t.col)) if within_band else F.col(t.col)
             fr = F.array(F.lit(max(0.0, t.frac - delta)), F.lit(min(1.0, t.frac + delta)))
             exprs.append(F.percentile_approx(src, fr, F.lit(accuracy)).alias(f"b{i}"))
-        row = df.select(*exprs).first()
+        return exprs
+
+    def take(ts, row):
         for i, t in enumerate(ts):
-            t.lo, t.hi = row[f"b{i}"][0], row[f"b{i}"][1]
+            b = row[f"b{i}"]
+            t.lo, t.hi = (b[0], b[1]) if b is not None else (None, None)
+
+    # pass 1: counts and the first brackets in one aggregate
+    first = df.select(*[F.count(c).alias(f"n_{c}") for c in columns], *bracket_exprs(targets, False)).first()
+    take(targets, first)
+    for t in targets:
+        n = first[f"n_{t.col}"]
+        t.k = max(1, ceil(Fraction(str(t.p)) * n)) if n else None
+    live = [t for t in targets if t.k is not None]
 
-    if live:
-        bracket(live, within_band=False)
+    def bracket(ts, within_band: bool):
+        take(ts, df.select(*bracket_exprs(ts, within_band)).first())
     for _ in range(max_rounds):
         if not live:
             break
