@@ -13,6 +13,16 @@ import tempfile
 from pyspark.sql import DataFrame, SparkSession
 
 
+def _default_driver_memory() -> str:
+    """60% of physical memory, between 1 and 16 GiB (local mode: the driver is the executor)."""
+    try:
+        total = os.sysconf("SC_PHYS_PAGES") * os.sysconf("SC_PAGE_SIZE")
+    except (ValueError, OSError, AttributeError):
+        return "4g"
+    gib = int(total * 0.6 / 2**30)
+    return f"{max(1, min(16, gib))}g"
+
+
 def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str = "gridtide") -> SparkSession:
     spark = (
         SparkSession.builder.master(f"local[{cores}]")
@@ -24,7 +34,7 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
-        .config("spark.driver.memory", os.environ.get("GRIDTIDE_DRIVER_MEMORY", "8g"))
+        .config("spark.driver.memory", os.environ.get("GRIDTIDE_DRIVER_MEMORY") or _default_driver_memory())
         .getOrCreate()
     )
     spark.sparkContext.setLogLevel("ERROR")
