@@ -150,8 +150,9 @@ def iqr_fences(
     spark = df.sparkSession
     if exact:
         qs = exact_quantiles(df, columns)
+        as_double = lambda v: None if v is None else float(v)
         quart = spark.createDataFrame(
-            [tuple([qs[c][0], qs[c][1]] for c in columns)],
+            [tuple([as_double(qs[c][0]), as_double(qs[c][1])] for c in columns)],
             ", ".join(f"`{c}` array<double>" for c in columns),
         )
     else:
