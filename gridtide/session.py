@@ -1,14 +1,12 @@
 """Session helpers: a local session for tests/bench and reliable checkpoints.
 
-On a cluster the checkpoint folder is the shared one named by
-``spark.checkpoint.dir``; it is only set here when the session has none
-(local tests).
+The checkpoint folder is the shared one named by ``spark.checkpoint.dir``; it is
+only set here when the session has none (tests, benchmarks).
 """
 
 from __future__ import annotations
 
 import os
-import tempfile
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -44,9 +42,9 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str
 def checkpoint_dir(spark: SparkSession) -> str:
     """The session's ``spark.checkpoint.dir`` (shared storage on a cluster).
 
-    Only a local-mode session without one (tests, benchmarks) gets a fresh
-    local folder; on a cluster a missing setting is an error, because a
-    machine-local folder is not visible to other executors.
+    A session without one (tests, benchmarks) gets a folder beside its tables,
+    under ``spark.sql.warehouse.dir``, which the driver and all executors see;
+    a machine-local temporary folder is never used.
     """
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
@@ -54,9 +52,7 @@ def checkpoint_dir(spark: SparkSession) -> str:
         return current
     configured = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir", None)
     if not configured:
-        if not sc.master.startswith("local"):
-            raise RuntimeError("set spark.checkpoint.dir to a shared folder (needed to cut lineage)")
-        configured = tempfile.mkdtemp(prefix="gridtide-ckpt-")
+        configured = spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/_checkpoints"
     sc.setCheckpointDir(configured)
     return sc.getCheckpointDir() or configured
 
