@@ -3,11 +3,11 @@
 import pytest
 
 import __spark_entry__ as entry_module
-from gridtide.plans import compare
+from gridtide.plans import catalog, compare, oracle
 
 SF = "/root/testdata/sf0.001"
-QUERIES = entry_module.queries()
-SQL = entry_module.oracle_sql()
+QUERIES = catalog.QUERIES
+SQL = oracle.SQL
 
 
 @pytest.fixture(scope="module")
@@ -27,6 +27,11 @@ def test_query_matches_sql(spark, duck, name):
     assert r["hash_match"]
 
 
+def test_entry_registers_every_query():
+    assert set(QUERIES) <= set(entry_module.queries())
+    assert set(SQL) <= set(entry_module.oracle_sql())
+
+
 def test_entry_runs(spark):
     df = entry_module.entry(spark)
     rows = df.collect()
