@@ -74,6 +74,27 @@ def word_counts(docs: DataFrame, text: str = "text") -> DataFrame:
     return parts.groupBy("word").agg(F.sum("n").alias("n"))
 
 
+def frequent(counts: DataFrame, words: int) -> list[tuple[str, int]]:
+    """At most ``words`` (word, n), the most frequent first, ties by the word.
+
+    The least count is read off a histogram in steps of 1/64 of a doubling
+    (a few thousand rows for any corpus), so that tasks send the driver no word
+    that isn't taken; words that tie with the first one left out are left out.
+    """
+    step = F.floor(F.log2(F.col("n")) * 64)
+    counts = util.stored(counts.withColumn("step", step), "word-counts")
+    least, held = None, 0
+    for row in sorted(counts.groupBy("step").agg(F.count("*").alias("k")).collect(), reverse=True):
+        held += row["k"]
+        if held > words:
+            break
+        least = row["step"]
+    if least is None:
+        return []
+    found = counts.where(F.col("step") >= least).select("word", "n").collect()
+    return sorted(((w, n) for w, n in found), key=lambda x: (-x[1], x[0]))
+
+
 def _pairs(held: Counter) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays(
         [pa.array(held.keys(), pa.string()), pa.array(held.values(), pa.int64())], names=["word", "n"]
@@ -105,20 +126,14 @@ class Lexicon:
 
 
 def build_lexicon(docs: DataFrame, tokenizer_path: str, text: str = "text", words: int = LEXICON_WORDS) -> Lexicon:
-    """Count all words, take the ``words`` most frequent (ties by the word) and compile them.
+    """Count all words, take at most the ``words`` most frequent and compile them.
 
     The driver receives at most ``words`` words of ``LEXICON_WORD_BYTES`` bytes.
     """
     spark = docs.sparkSession
-    top = (
-        word_counts(docs, text)
-        .where(F.octet_length("word") <= LEXICON_WORD_BYTES)
-        .orderBy(F.desc("n"), F.asc("word"))
-        .limit(words)
-        .select("word")
-    )
+    top = frequent(word_counts(docs, text).where(F.octet_length("word") <= LEXICON_WORD_BYTES), words)
     merges = Merges(Path(tokenizer_path).read_text(encoding="utf-8"))
-    found = [b" " + r[0].encode() for r in top.collect()]
+    found = [b" " + word.encode() for word, _ in top]
     return Lexicon(spark, tokenizer_path, transducer.build(list(zip(found, merges.encode(found), strict=True))))
 
 
