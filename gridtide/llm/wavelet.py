@@ -16,6 +16,7 @@ empty table writes no shard and reads back no row; extra columns are ignored.
 from __future__ import annotations
 
 import gc
+import unicodedata
 import uuid
 from collections.abc import Iterator
 from pathlib import Path
@@ -35,7 +36,8 @@ SHARD_TOKENS = 1 << 20
 #: Bits between two entries of a rank directory.
 STEP = 512
 #: Words held by each of the two generations of a worker's cache.
-CACHE = 250_000
+CACHE = 300_000
+_CLOSING = ".,;:!?"
 _MAGIC = 0x574D5831
 
 
@@ -183,23 +185,68 @@ class WordEncoder:
         self.library.no_padding()
         mark = next(iter(self.library.get_added_tokens_decoder().items()))
         self.mark_id, self.mark = mark[0], mark[1].content
+        vocabulary = self.library.get_vocab(with_added_tokens=True)
+        self.ends_word = np.zeros(max(vocabulary.values()) + 1, bool)
+        self.ends_word[[i for token, i in vocabulary.items() if token.endswith("</w>")]] = True
         self.young: dict[str, bytes] = {}
         self.old: dict[str, bytes] = {}
 
     def learn(self, pieces: list[str]) -> None:
+        """Put the ids of the pieces into the cache.
+
+        The ids of "word," are those of "word" and of ",": letters and closing
+        punctuation are never merged. Words go to the library in lower case
+        (where they are ASCII: its normalizer does no more), many at a time.
+        """
+        plan, words, rest = [], set(), set()
+        for p in pieces:
+            word = p.rstrip(_CLOSING)
+            plain = word.isascii()
+            # other letters may be taken apart by the normalizer, and a mark joins the punctuation
+            if word.isalpha() and (plain or unicodedata.normalize("NFC", word.lower()).isalpha()):
+                low = word.lower() if plain else word
+                tail = p[len(word) :]
+                plan.append((p, low, tail))
+                if low not in self.young:
+                    words.add(low)
+                if tail not in self.young:
+                    rest.add(tail)
+            else:
+                rest.add(p)
+        self._words(list(words))
+        self._marked(list(rest))
+        young = self.young
+        for p, low, tail in plan:
+            young[p] = young[low] + young[tail]
+
+    def _words(self, words: list[str]) -> None:
+        """Words of letters: each ends with the only token of it that ends a word."""
+        runs = [words[i : i + 64] for i in range(0, len(words), 64)]
+        encoded = self.library.encode_batch_fast([" ".join(run) for run in runs], add_special_tokens=False)
+        for run, e in zip(runs, encoded, strict=True):
+            ids = np.array(e.ids, "<u4")
+            ends = ((np.flatnonzero(self.ends_word[ids]) + 1) * 4).tolist()
+            if len(ends) != len(run):  # a letter that the normalizer takes apart
+                self._marked(run)
+                continue
+            data = ids.tobytes()
+            self.young.update((w, data[a:b]) for w, a, b in zip(run, [0, *ends], ends, strict=False))
+
+    def _marked(self, pieces: list[str]) -> None:
+        """Any pieces, with a special token between them; those that hold it themselves go one by one."""
         alone = [p for p in pieces if self.mark in p]
         pieces = [p for p in pieces if self.mark not in p]
-        for p, e in zip(alone, self.library.encode_batch(alone, add_special_tokens=False), strict=True):
+        for p, e in zip(alone, self.library.encode_batch_fast(alone, add_special_tokens=False), strict=True):
             self.young[p] = np.array(e.ids, "<u4").tobytes()
-        for i in range(0, len(pieces), 512):
-            part = pieces[i : i + 512]
-            ids = np.array(self.library.encode(self.mark.join(part), add_special_tokens=False).ids, "<u4")
+        runs = [pieces[i : i + 64] for i in range(0, len(pieces), 64)]
+        encoded = self.library.encode_batch_fast([self.mark.join(run) for run in runs], add_special_tokens=False)
+        for run, e in zip(runs, encoded, strict=True):
+            ids = np.array(e.ids, "<u4")
             cuts = np.flatnonzero(ids == self.mark_id)
             data = ids.tobytes()
             low = [0, *((cuts + 1) * 4).tolist()]
             high = [*(cuts * 4).tolist(), len(data)]
-            for p, a, b in zip(part, low, high, strict=True):
-                self.young[p] = data[a:b]
+            self.young.update((p, data[a:b]) for p, a, b in zip(run, low, high, strict=True))
 
     def __call__(self, texts: list[str | None]) -> list[bytes]:
         split = [(t or "").replace("\n", " ").split(" ") for t in texts]
