@@ -35,8 +35,8 @@ from gridtide.session import checkpoint_dir
 SHARD_TOKENS = 1 << 20
 #: Bits between two entries of a rank directory.
 STEP = 512
-#: Words held by each of the two generations of a worker's cache.
-CACHE = 300_000
+#: Words after which a worker's cache starts anew (bounds its memory).
+CACHE = 350_000
 _CLOSING = ".,;:!?"
 _MAGIC = 0x574D5831
 
@@ -188,8 +188,7 @@ class WordEncoder:
         vocabulary = self.library.get_vocab(with_added_tokens=True)
         self.ends_word = np.zeros(max(vocabulary.values()) + 1, bool)
         self.ends_word[[i for token, i in vocabulary.items() if token.endswith("</w>")]] = True
-        self.young: dict[str, bytes] = {}
-        self.old: dict[str, bytes] = {}
+        self.cache: dict[str, bytes] = {}
 
     def learn(self, pieces: list[str]) -> None:
         """Put the ids of the pieces into the cache.
@@ -207,17 +206,17 @@ class WordEncoder:
                 low = word.lower() if plain else word
                 tail = p[len(word) :]
                 plan.append((p, low, tail))
-                if low not in self.young:
+                if low not in self.cache:
                     words.add(low)
-                if tail not in self.young:
+                if tail not in self.cache:
                     rest.add(tail)
             else:
                 rest.add(p)
         self._words(list(words))
         self._marked(list(rest))
-        young = self.young
+        cache = self.cache
         for p, low, tail in plan:
-            young[p] = young[low] + young[tail]
+            cache[p] = cache[low] + cache[tail]
 
     def _words(self, words: list[str]) -> None:
         """Words of letters: each ends with the only token of it that ends a word."""
@@ -230,14 +229,14 @@ class WordEncoder:
                 self._marked(run)
                 continue
             data = ids.tobytes()
-            self.young.update((w, data[a:b]) for w, a, b in zip(run, [0, *ends], ends, strict=False))
+            self.cache.update((w, data[a:b]) for w, a, b in zip(run, [0, *ends], ends, strict=False))
 
     def _marked(self, pieces: list[str]) -> None:
         """Any pieces, with a special token between them; those that hold it themselves go one by one."""
         alone = [p for p in pieces if self.mark in p]
         pieces = [p for p in pieces if self.mark not in p]
         for p, e in zip(alone, self.library.encode_batch_fast(alone, add_special_tokens=False), strict=True):
-            self.young[p] = np.array(e.ids, "<u4").tobytes()
+            self.cache[p] = np.array(e.ids, "<u4").tobytes()
         runs = [pieces[i : i + 64] for i in range(0, len(pieces), 64)]
         encoded = self.library.encode_batch_fast([self.mark.join(run) for run in runs], add_special_tokens=False)
         for run, e in zip(runs, encoded, strict=True):
@@ -246,18 +245,14 @@ class WordEncoder:
             data = ids.tobytes()
             low = [0, *((cuts + 1) * 4).tolist()]
             high = [*(cuts * 4).tolist(), len(data)]
-            self.young.update((p, data[a:b]) for p, a, b in zip(run, low, high, strict=True))
+            self.cache.update((p, data[a:b]) for p, a, b in zip(run, low, high, strict=True))
 
     def __call__(self, texts: list[str | None]) -> list[bytes]:
+        if len(self.cache) > CACHE:
+            self.cache = {}
         split = [(t or "").replace("\n", " ").split(" ") for t in texts]
-        missing = set().union(*split) - self.young.keys()
-        for p in missing & self.old.keys():
-            self.young[p] = self.old[p]
-        self.learn(list(missing - self.young.keys()))
-        out = [b"".join(map(self.young.__getitem__, ps)) for ps in split]
-        if len(self.young) > CACHE:
-            self.old, self.young = self.young, {}
-        return out
+        self.learn([p for p in set().union(*split) if p not in self.cache])
+        return [b"".join(map(self.cache.__getitem__, ps)) for ps in split]
 
 
 _workers: dict[int, WordEncoder] = {}
