@@ -27,6 +27,7 @@ from __future__ import annotations
 import math
 import re
 from collections import Counter, defaultdict
+from itertools import repeat
 
 import numpy as np
 from pyspark.sql import DataFrame, SparkSession
@@ -37,16 +38,19 @@ from gridtide.llm import util
 
 PASSAGE = 128
 SEGMENT = 48
-THRESHOLD = 0.5
+#: Share of a segment's own score. A contained item (OVERLAP of its shingles) lacks few words: one lost word costs five shingles.
+THRESHOLD = 0.7
 OVERLAP = 0.8
 SHINGLE = 5
 #: Segments in a block of the index.
-BLOCK = 16
+BLOCK = 4
 K1, B = 1.2, 0.75
 #: Words of items in one broadcast shard of the index.
 SHARD_WORDS = 2_000_000
 
-_word = re.compile(r"[^\W_]+").findall
+# Words are runs of ASCII letters and digits and of other characters but general punctuation and blanks.
+_split_at = bytes(32 if not chr(b).isalnum() else b for b in range(128)) + bytes(range(128, 256))
+_other_gaps = re.compile("[\x80-\xa9\xab-\xb4\xb6-\xb9\xbb-\xbf\u2000-\u206f\u3000-\u303f]")
 _sentence = re.compile(r"(?<=[.?!])\s+|\n+")
 
 HITS = T.ArrayType(
@@ -61,11 +65,14 @@ HITS = T.ArrayType(
 )
 
 
-def words(text: str | None) -> list[str]:
-    return _word((text or "").lower())
+def words(text: str | None) -> list[bytes]:
+    low = (text or "").lower()
+    if not low.isascii():
+        low = _other_gaps.sub(" ", low)
+    return low.encode().translate(_split_at).split()
 
 
-def question_answer(text: str | None) -> tuple[list[str], list[str]]:
+def question_answer(text: str | None) -> tuple[list[bytes], list[bytes]]:
     """The words before the last sentence or line, and its words; a single sentence is both."""
     parts = [w for p in _sentence.split(text or "") if (w := words(p))]
     if len(parts) < 2:
@@ -73,7 +80,7 @@ def question_answer(text: str | None) -> tuple[list[str], list[str]]:
     return [w for p in parts[:-1] for w in p], parts[-1]
 
 
-def shingles(ws: list[str], size: int = SHINGLE) -> set[tuple]:
+def shingles(ws: list[bytes], size: int = SHINGLE) -> set[tuple]:
     return {tuple(ws[i : i + size]) for i in range(max(1, len(ws) - size + 1))} if ws else set()
 
 
@@ -152,9 +159,8 @@ class Index:
         if not ws:
             return []
         none = len(self.term)
-        get = self.term.get
-        ids = np.array([get(w, none) for w in ws], np.int64)
-        n = len(ids)
+        n = len(ws)
+        ids = np.fromiter(map(self.term.get, ws, repeat(none)), np.int64, n)
         half = PASSAGE // 2
         width = max(1, -(-n // half))
         grid = np.full((width + 1) * half, none, np.int64)
@@ -164,7 +170,9 @@ class Index:
         # a passage is two neighbouring halves; passages go through in runs, so memory stays bounded
         for low in range(0, max(1, width - 1), 4096):
             halves = grid[low : low + 4097]
-            passages = np.sort(np.concatenate((halves[:-1], halves[1:]), axis=1), axis=1)
+            rough = self.bound[halves].sum(axis=1)
+            able = np.flatnonzero(rough[:-1] + rough[1:] >= THRESHOLD)
+            passages = np.sort(np.concatenate((halves[able], halves[able + 1]), axis=1), axis=1)
             value = self.bound[passages]
             value[:, 1:][passages[:, 1:] == passages[:, :-1]] = 0  # a word counts once
             for row in np.flatnonzero(value.sum(axis=1) >= THRESHOLD):
