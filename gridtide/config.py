@@ -7,7 +7,7 @@ derived from the driver's TPC-H-like data).
 
 from __future__ import annotations
 
-from dataclasses import dataclass, field, replace
+from dataclasses import dataclass, replace
 from datetime import datetime, timedelta
 
 from gridtide import fixed
@@ -41,11 +41,12 @@ class TelemetryConfig:
     iqr_multiplier: float = fixed.IQR_MULTIPLIER
     # Relative accuracy of percentile_approx (1/0.01 = 100, as approxQuantile(0.01)).
     quantile_accuracy: int = 100
-    extra: dict = field(default_factory=dict, compare=False, hash=False)
 
     def __post_init__(self):
         if self.step_minutes <= 0 or (24 * 60) % self.step_minutes:
             raise ValueError("step_minutes must divide one day")
+        if (self.start - self.start.replace(hour=0, minute=0, second=0, microsecond=0)) % timedelta(minutes=self.step_minutes):
+            raise ValueError("calendar_start must lie on a slot of step_minutes")
         if self.calendar_days < 0:
             raise ValueError("calendar_days must be >= 0")
 

@@ -20,16 +20,7 @@ COUNTERS = (
     "total_battery_charge_kwh",
     "total_battery_discharge_kwh",
 )
-GAUGES = (
-    "grid_power_incl_house_load_w",
-    "on_grid_daily_solar_generation_yield_kwh",
-    "battery_voltage_v",
-    "battery_current_a",
-    "battery_power_w",
-    "bms_internal_temperature_c",
-    "battery_capacity_percentage",
-    "inverter_temperature",
-)
+
 DELTA_PREFIX = "Instantaneous_"
 TIME_FORMAT = "dd/MM/yyyy HH:mm"
 

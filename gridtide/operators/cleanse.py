@@ -202,7 +202,8 @@ def clean_all(
     df: DataFrame,
     cfg: TelemetryConfig = DEFAULT,
     scope: str = "device",
-    materialize: bool = False,
+    materialize: bool = True,
+    exact: bool = False,
 ) -> DataFrame:
     """C1 -> C7, then outlier replacement (C8) on the configured columns.
 
@@ -213,4 +214,4 @@ def clean_all(
     from gridtide.operators.outliers import replace_outliers
 
     out = repair_rule_failures(df, cfg)
-    return replace_outliers(out, cfg, cfg.outlier_columns, cfg.iqr_multiplier, scope=scope, materialize=materialize)
+    return replace_outliers(out, cfg, cfg.outlier_columns, cfg.iqr_multiplier, scope=scope, exact=exact, materialize=materialize)

@@ -26,6 +26,11 @@ def project_analysis_columns(df: DataFrame, cfg: TelemetryConfig = DEFAULT, keep
     return df.select(*cols)
 
 
+def sort_output(df: DataFrame, cfg: TelemetryConfig = DEFAULT) -> DataFrame:
+    """O1: rows by device and time (range-partitioned; ties by the tie column where it is kept)."""
+    return df.orderBy(cfg.key, cfg.time, *[c for c in (cfg.tie,) if c in df.columns])
+
+
 def counter_deltas(df: DataFrame, cfg: TelemetryConfig = DEFAULT, counters=None, skew_safe: bool = False) -> DataFrame:
     """``Instantaneous_<c> = c - previous c`` within the device; NULL on the first row.
 
@@ -94,11 +99,14 @@ def add_time_of_day(df: DataFrame, cfg: TelemetryConfig = DEFAULT) -> DataFrame:
 def derive_all(df: DataFrame, cfg: TelemetryConfig = DEFAULT, keep_tie: bool = False) -> DataFrame:
     """P1 -> W1 -> P8 -> D1 -> D2 -> D3 -> D4 -> D5.
 
-    ``keep_tie`` keeps the tie column through the projection so that later
-    windows stay deterministic on readings that share a timestamp.
+    The deltas follow (time, tie); ``keep_tie`` keeps the tie column in the
+    result, so that later windows stay deterministic too on readings that share
+    a timestamp.
     """
-    out = project_analysis_columns(df, cfg, keep_tie=keep_tie)
+    out = project_analysis_columns(df, cfg, keep_tie=True)
     out = fill_null_deltas(counter_deltas(out, cfg), cfg)
+    if not keep_tie and cfg.tie not in (cfg.key, cfg.time, *cfg.counters, cfg.capacity, None):
+        out = out.drop(cfg.tie)
     for step in (add_battery_behaviour, add_house_power, add_month, add_season, add_time_of_day):
         out = step(out, cfg)
     return out

@@ -15,11 +15,13 @@ scale, a few small aggregate rows to the driver.
 from __future__ import annotations
 
 from collections.abc import Sequence
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 from fractions import Fraction
+from math import ceil
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import DoubleType, FloatType
 
 from gridtide import fixed
 from gridtide.config import TelemetryConfig
@@ -35,21 +37,28 @@ def _check_names(columns) -> list[str]:
     return columns
 
 
-def _quartiles(col: str, accuracy: int) -> Column:
+def _quartiles(df: DataFrame, col: str, accuracy: int) -> Column:
     lo_q, hi_q = fixed.IQR_QUANTILES
-    return F.percentile_approx(col, F.array(F.lit(lo_q), F.lit(hi_q)), F.lit(accuracy))
+    return F.percentile_approx(_usable(df, col), F.array(F.lit(lo_q), F.lit(hi_q)), F.lit(accuracy))
 
 
 @dataclass
 class _Target:
     col: str
     p: float
-    k: int | None  # 1-based rank of the wanted order statistic among non-null values
-    frac: float = 0.0  # fraction of the wanted rank inside the current domain
-    lo: float | None = None
-    hi: float | None = None
-    rank: int | None = None  # rank inside [lo, hi]
-    inside: int | None = None
+    k: int  # 1-based rank of the wanted order statistic among the usable values
+    lo: object
+    hi: object
+    rank: int = 0  # rank inside [lo, hi]
+    inside: int = 0
+    done: bool = False
+
+
+def _usable(df: DataFrame, col: str) -> Column:
+    """The column with NaN as NULL (quantiles ignore both)."""
+    if df.schema[col].dataType in (DoubleType(), FloatType()):
+        return F.nanvl(F.col(col), F.lit(None))
+    return F.col(col)
 
 
 def exact_quantiles(
@@ -58,76 +67,75 @@ def exact_quantiles(
     probs: Sequence[float] = fixed.IQR_QUANTILES,
     accuracy: int = 10_000,
     band_limit: int = 1_000_000,
-    max_rounds: int = 8,
 ) -> dict[str, list]:
     """Exact lower quantiles (``percentile_disc``: the value at rank
-    ceil(p * N)) with bounded memory at any scale.
+    ceil(p * N)) of the values that are neither NULL nor NaN.
 
-    1. One aggregate: non-null counts, then an approximate bracket per quantile
-       (``percentile_approx`` at p -/+ 2/accuracy; its rank error is at most
-       N/accuracy, so the exact order statistic lies inside the bracket).
-    2. One aggregate: rows below and inside each bracket, giving the rank
-       inside it; while a bracket holds more than ``band_limit`` rows it is
-       narrowed by another approximate pass restricted to the bracket.
-    3. One exact ``percentile_disc`` restricted to the bracket (its memory is
-       the number of distinct values inside the bracket).
+    1. One aggregate: counts, and an approximate bracket per quantile
+       (``percentile_approx`` at p -/+ 2/accuracy).
+    2. One aggregate: rows below and inside each bracket, which give the rank
+       inside it. A bracket of more than ``band_limit`` rows is narrowed by an
+       approximate pass over its rows and counted again, until it fits or stops
+       shrinking (many equal values). ``band_limit`` bounds memory only: the
+       result is the same for any value of it.
+    3. One exact ``percentile_disc`` restricted to the bracket.
 
     Each pass returns one small row to the driver; the data is only scanned.
     """
-    from math import ceil
-
     columns = _check_names(columns)
     delta = 2.0 / accuracy
-    targets = [_Target(c, p, None, frac=float(p)) for c in columns for p in probs]
-
-    def bracket_exprs(ts, within_band: bool):
-        exprs = []
-        for i, t in enumerate(ts):
-            src = F.when(F.col(t.col).between(t.lo, t.hi), F.col(t.col)) if within_band else F.col(t.col)
-            fr = F.array(F.lit(max(0.0, t.frac - delta)), F.lit(min(1.0, t.frac + delta)))
-            exprs.append(F.percentile_approx(src, fr, F.lit(accuracy)).alias(f"b{i}"))
-        return exprs
-
-    def take(ts, row):
-        for i, t in enumerate(ts):
-            b = row[f"b{i}"]
-            t.lo, t.hi = (b[0], b[1]) if b is not None else (None, None)
-
-    # pass 1: counts and the first brackets in one aggregate
-    first = df.select(*[F.count(c).alias(f"n_{c}") for c in columns], *bracket_exprs(targets, False)).first()
-    take(targets, first)
-    for t in targets:
-        n = first[f"n_{t.col}"]
-        t.k = max(1, ceil(Fraction(str(t.p)) * n)) if n else None
-    live = [t for t in targets if t.k is not None]
-
-    def bracket(ts, within_band: bool):
-        take(ts, df.select(*bracket_exprs(ts, within_band)).first())
-    for _ in range(max_rounds):
-        if not live:
-            break
+    usable = {c: _usable(df, c) for c in columns}
+
+    def around(src: Column, p: float) -> Column:
+        ends = F.array(F.lit(max(0.0, p - delta)), F.lit(min(1.0, p + delta)))
+        return F.percentile_approx(src, ends, F.lit(accuracy))
+
+    def inside(t: _Target) -> Column:
+        x = usable[t.col]
+        return F.when(x.between(F.lit(t.lo), F.lit(t.hi)), x)
+
+    wanted = [(c, p) for c in columns for p in probs]
+    first = df.select(
+        *[F.count(usable[c]).alias(f"n{i}") for i, c in enumerate(columns)],
+        *[around(usable[c], float(p)).alias(f"b{i}") for i, (c, p) in enumerate(wanted)],
+    ).first()
+    n = {c: first[f"n{i}"] for i, c in enumerate(columns)}
+    live = [
+        _Target(c, p, max(1, ceil(Fraction(str(p)) * n[c])), *first[f"b{i}"]) for i, (c, p) in enumerate(wanted) if n[c]
+    ]
+
+    def count(ts: list[_Target]) -> list[tuple[int, int]]:
         row = df.select(
-            *[F.count_if(F.col(t.col) < F.lit(t.lo)).alias(f"lt{i}") for i, t in enumerate(live)],
-            *[F.count_if(F.col(t.col).between(t.lo, t.hi)).alias(f"in{i}") for i, t in enumerate(live)],
+            *[F.count_if(usable[t.col] < F.lit(t.lo)).alias(f"lt{i}") for i, t in enumerate(ts)],
+            *[F.count(inside(t)).alias(f"in{i}") for i, t in enumerate(ts)],
         ).first()
-        for i, t in enumerate(live):
-            t.rank, t.inside = t.k - row[f"lt{i}"], row[f"in{i}"]
-        wide = [t for t in live if t.inside > band_limit and t.lo != t.hi]
-        if not wide:
-            break
-        for t in wide:
-            t.frac = (t.rank - 0.5) / t.inside
-        bracket(wide, within_band=True)
-    result: dict[tuple[str, float], object] = {(t.col, t.p): None for t in targets}
+        return [(t.k - row[f"lt{i}"], row[f"in{i}"]) for i, t in enumerate(ts)]
+
+    # the first brackets; one that misses its rank (a sketch may) is opened to all values
+    for t, (rank, size) in zip(live, count(live) if live else [], strict=True):
+        t.rank, t.inside = rank, size
+    missed = [t for t in live if not 1 <= t.rank <= t.inside]
+    if missed:
+        ends = df.select(*[F.struct(F.min(usable[t.col]), F.max(usable[t.col])).alias(f"e{i}") for i, t in enumerate(missed)]).first()
+        for i, t in enumerate(missed):
+            t.lo, t.hi, t.rank, t.inside = *ends[f"e{i}"], t.k, n[t.col]
+    while wide := [t for t in live if t.inside > band_limit and t.lo != t.hi and not t.done]:
+        row = df.select(*[around(inside(t), (t.rank - 0.5) / t.inside).alias(f"b{i}") for i, t in enumerate(wide)]).first()
+        tried = [replace(t, lo=row[f"b{i}"][0], hi=row[f"b{i}"][1]) for i, t in enumerate(wide)]
+        for t, new, (rank, size) in zip(wide, tried, count(tried), strict=True):
+            if 1 <= rank <= size < t.inside:
+                t.lo, t.hi, t.rank, t.inside = new.lo, new.hi, rank, size
+            else:
+                t.done = True  # it can't be narrowed further; the last counted bracket stands
+    result: dict[tuple[str, float], object] = dict.fromkeys(wanted)
     if live:
-        exprs = [
-            F.expr(
-                f"percentile_disc({(t.rank - 0.5) / t.inside!r}) WITHIN GROUP (ORDER BY `{t.col}`) "
-                f"FILTER (WHERE `{t.col}` BETWEEN {t.lo!r} AND {t.hi!r})"
-            ).alias(f"q{i}")
-            for i, t in enumerate(live)
-        ]
-        row = df.select(*exprs).first()
+        banded = df.select(*[inside(t).alias(f"x{i}") for i, t in enumerate(live)])
+        row = banded.select(
+            *[
+                F.expr(f"percentile_disc({(t.rank - 0.5) / t.inside!r}) WITHIN GROUP (ORDER BY x{i})").alias(f"q{i}")
+                for i, t in enumerate(live)
+            ]
+        ).first()
         for i, t in enumerate(live):
             result[(t.col, t.p)] = row[f"q{i}"]
     return {c: [result[(c, p)] for p in probs] for c in columns}
@@ -156,7 +164,7 @@ def iqr_fences(
             ", ".join(f"`{c}` array<double>" for c in columns),
         )
     else:
-        quart = df.select(*[_quartiles(c, accuracy).alias(c) for c in columns])
+        quart = df.select(*[_quartiles(df, c, accuracy).alias(c) for c in columns])
     rows = quart.select(
         F.explode(F.array(*[F.struct(F.lit(c).alias("column"), F.col(c).alias("q")) for c in columns])).alias("r")
     )
@@ -172,7 +180,7 @@ def iqr_fences(
 
 def _fence_subquery(df: DataFrame, columns, accuracy) -> Column:
     """A scalar subquery: struct of [q1, q3] arrays, one field per column."""
-    quart = df.select(F.struct(*[_quartiles(c, accuracy).alias(c) for c in columns]).alias("q"))
+    quart = df.select(F.struct(*[_quartiles(df, c, accuracy).alias(c) for c in columns]).alias("q"))
     return quart.scalar()
 
 

@@ -56,23 +56,18 @@ def flag_duplicate_times(df: DataFrame, cfg: TelemetryConfig = DEFAULT) -> DataF
 
 
 def flag_generic(df: DataFrame, cfg: TelemetryConfig = DEFAULT) -> DataFrame:
-    """A1 and A2 with a single join back to the readings.
+    """A1 and A2 together.
 
-    Per (key, time) counts are aggregated map-side; device totals are summed
-    from those counts, not from the rows. The readings are shuffled once, on
-    (key, time), instead of once per check.
+    Both counts are aggregated map-side from the readings and only the thin
+    devices and the repeated times are joined back, so the joined sides are
+    small (AQE broadcasts them when their size allows) and clean readings need
+    not be shuffled.
     """
     k, t = cfg.key, cfg.time
-    per_time = df.groupBy(k, t).agg(F.count(F.lit(1)).alias("__n"))
-    per_device = per_time.groupBy(k).agg(F.sum("__n").alias("__dev"))
-    stats = per_time.join(per_device, on=k, how="inner").select(
-        F.col(k).alias("__k"),
-        F.col(t).alias("__t"),
-        F.when(F.col("__dev") < F.lit(cfg.rejection_threshold), F.col("__dev")).alias(DEVICE_ROW_COUNT),
-        F.when(F.col(t).isNotNull() & (F.col("__n") > 1), F.col("__n")).alias(DUPLICATE_COUNT),
-    )
-    cond = (F.col(k) == F.col("__k")) & F.col(t).eqNullSafe(F.col("__t"))
-    out = df.join(stats, on=cond, how="left")
+    n = F.count(F.lit(1))
+    thin = df.groupBy(k).agg(n.alias(DEVICE_ROW_COUNT)).filter(F.col(DEVICE_ROW_COUNT) < F.lit(cfg.rejection_threshold))
+    dups = df.groupBy(k, t).agg(n.alias(DUPLICATE_COUNT)).filter(F.col(DUPLICATE_COUNT) > 1)
+    out = df.join(thin, on=k, how="left").join(dups, on=[k, t], how="left")
     return out.select(
         *df.columns,
         DEVICE_ROW_COUNT,
@@ -82,6 +77,17 @@ def flag_generic(df: DataFrame, cfg: TelemetryConfig = DEFAULT) -> DataFrame:
     )
 
 
+QUARANTINE_REASON = "quarantine_reason"
+
+
+def quarantine(df: DataFrame, cfg: TelemetryConfig = DEFAULT) -> tuple[DataFrame, DataFrame]:
+    """(usable, quarantined): readings without a key or a time can be placed on no
+    device's calendar; they leave the chain here, with the reason."""
+    no_key, no_time = F.col(cfg.key).isNull(), F.col(cfg.time).isNull()
+    reason = F.concat_ws(", ", F.when(no_key, F.lit(f"no {cfg.key}")), F.when(no_time, F.lit(f"no {cfg.time}")))
+    return df.filter(~no_key & ~no_time), df.filter(no_key | no_time).withColumn(QUARANTINE_REASON, reason)
+
+
 def split_valid_failed(flagged: DataFrame) -> tuple[DataFrame, DataFrame]:
     """(valid, failed). Valid rows have both flags 0 and lose the flag and
     count columns; failed rows (either flag 1) keep them."""

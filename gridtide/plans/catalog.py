@@ -75,13 +75,23 @@ def q_csv_load(spark, sf):
 
     path = f"{checkpoint_dir(spark).rstrip('/')}/csv-load-{uuid.uuid4().hex}"
     src = _events(spark, sf).select(
-        "event_id", "ts", "user_id", "event_type", "value", F.col("ts").cast("string").alias(fixed.DROPPED_AT_LOAD)
+        "event_id", "ts", "user_id", "event_type", "value", "props", F.col("ts").cast("string").alias(fixed.DROPPED_AT_LOAD)
     )
     csv_source.write_readings_csv(src, path, EVENTS)
-    schema = "event_id bigint, ts string, user_id bigint, event_type string, value double, date_time_simulated string"
+    schema = "event_id bigint, ts string, user_id bigint, event_type string, value double, props string, date_time_simulated string"
     return csv_source.load_readings(spark, path, EVENTS, schema=schema)
 
 
+def q_csv_any(spark, sf):
+    """Events written as header CSV (quoted text included) and read with a schema."""
+    from gridtide.session import checkpoint_dir
+
+    path = f"{checkpoint_dir(spark).rstrip('/')}/csv-any-{uuid.uuid4().hex}"
+    _events(spark, sf).withColumn("ts", F.date_format("ts", "yyyy-MM-dd HH:mm:ss.SSSSSS")).write.option("header", True).csv(path)
+    schema = "event_id bigint, ts string, user_id bigint, event_type string, value double, props string"
+    return csv_source.load_csv(spark, path, schema)
+
+
 def q_preview_head(spark, sf):
     return frames.preview(_events(spark, sf), 5, order_by=["event_id"])
 
@@ -93,12 +103,33 @@ def q_empty_like(spark, sf):
 def q_append(spark, sf):
     ev = _events(spark, sf)
     first = F.coalesce(F.col("event_type").isin("view", "click"), F.lit(False))
-    return frames.append(ev.filter(first), ev.filter(~first).drop("props"))
+    return frames.append(ev.filter(first).withColumn("batch", F.lit("first")), ev.filter(~first))
 
 
 # ---- projections ----------------------------------------------------------------------------
 def q_project_sorted(spark, sf):
-    return derive.project_analysis_columns(_telemetry(spark, sf), TELEMETRY)
+    return derive.sort_output(derive.project_analysis_columns(_telemetry(spark, sf), TELEMETRY), TELEMETRY)
+
+
+def q_calendar_parts_dropped(spark, sf):
+    """The helper columns are added and removed again."""
+    ev = _events(spark, sf).select("event_id", "ts")
+    return derive.drop_calendar_parts(derive.add_calendar_parts(ev, EVENTS))
+
+
+def q_bfill_device(spark, sf):
+    """values of error events are missing and filled from the device's next event."""
+    ev = _events(spark, sf)
+    value = F.when(F.col("event_type") != "error", F.col("value")).alias("value")
+    return calendar.bfill_all(ev.select("event_id", "user_id", "ts", value), EVENTS)
+
+
+def q_quarantine(spark, sf):
+    """Readings without a user or a time, made from events of two types, leave the chain with the reason."""
+    ev = _events(spark, sf)
+    user = F.when(F.col("event_type") != "signup", F.col("user_id")).alias("user_id")
+    ts = F.when(F.col("value") < 400, F.col("ts")).alias("ts")
+    return quality.quarantine(ev.select("event_id", user, ts, "value"), EVENTS)[1]
 
 
 def q_calendar_parts(spark, sf):
@@ -108,7 +139,7 @@ def q_calendar_parts(spark, sf):
 
 # ---- generic validation --------------------------------------------------------------------
 def q_thin_devices(spark, sf):
-    return quality.flag_thin_devices(_events(spark, sf).drop("props"), EVENTS_THIN)
+    return quality.flag_thin_devices(_events(spark, sf), EVENTS_THIN)
 
 
 def q_duplicate_keys(spark, sf):
@@ -236,9 +267,7 @@ def q_outlier_previous_global(spark, sf):
 
 
 def q_clean_all(spark, sf):
-    repaired = cleanse.repair_rule_failures(_validated(spark, sf), TELEMETRY)
-    out = replace_outliers(repaired, TELEMETRY, TELEMETRY.outlier_columns, exact=True, materialize=True)
-    return _flat(out)
+    return _flat(cleanse.clean_all(_validated(spark, sf), TELEMETRY, materialize=True, exact=True))
 
 
 # ---- whole chain ----------------------------------------------------------------------------
@@ -256,6 +285,10 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "append": q_append,
     "project_sorted": q_project_sorted,
     "calendar_parts": q_calendar_parts,
+    "calendar_parts_dropped": q_calendar_parts_dropped,
+    "bfill_device": q_bfill_device,
+    "quarantine": q_quarantine,
+    "csv_any": q_csv_any,
     "thin_devices": q_thin_devices,
     "duplicate_keys": q_duplicate_keys,
     "generic_flags": q_generic_flags,

@@ -27,6 +27,7 @@ from gridtide.operators.outliers import replace_outliers
 class ChainResult:
     cleaned: DataFrame
     failed: DataFrame
+    quarantined: DataFrame
 
 
 def run_chain(
@@ -37,7 +38,7 @@ def run_chain(
     materialize: bool = True,
     exact: bool = False,
 ) -> ChainResult:
-    df = nan_to_null(raw)
+    df, quarantined = quality.quarantine(nan_to_null(raw), cfg)
     valid, failed = quality.generic_validation(df, cfg)
     full = calendar.complete_series(valid, cfg)
     derived = derive.derive_all(full, cfg)
@@ -55,7 +56,7 @@ def run_chain(
         materialize=materialize,
         previous_ready=bool(fused_previous),
     )
-    return ChainResult(cleaned=cleaned, failed=failed)
+    return ChainResult(cleaned=cleaned, failed=failed, quarantined=quarantined)
 
 
 def rule_columns() -> list[tuple[str, str]]:

@@ -342,13 +342,13 @@ def _sql_all() -> dict[str, str]:
     s: dict[str, str] = {}
     tel = telemetry_ctes()
     sup = supply_ctes()
-    s["csv_load"] = "SELECT event_id, date_trunc('minute', ts) AS ts, user_id, event_type, value FROM events"
+    s["csv_load"] = "SELECT event_id, date_trunc('minute', ts) AS ts, user_id, event_type, value, props FROM events"
     s["preview_head"] = "SELECT * FROM events ORDER BY event_id LIMIT 5"
     s["empty_like"] = "SELECT * FROM events WHERE false"
     s["append"] = (
-        "SELECT * FROM events WHERE coalesce(event_type IN ('view', 'click'), false)\n"
+        "SELECT *, 'first' AS batch FROM events WHERE coalesce(event_type IN ('view', 'click'), false)\n"
         "UNION ALL BY NAME\n"
-        "SELECT event_id, ts, user_id, event_type, value FROM events WHERE NOT coalesce(event_type IN ('view', 'click'), false)"
+        "SELECT * FROM events WHERE NOT coalesce(event_type IN ('view', 'click'), false)"
     )
     s["project_sorted"] = with_(*tel) + f"\nSELECT {KEY}, {TIME}, {', '.join(COUNTERS)}, {CAP} FROM telemetry"
     s["calendar_parts"] = (
@@ -356,9 +356,24 @@ def _sql_all() -> dict[str, str]:
         "  CAST(minute(ts) AS INTEGER) AS minute, CAST(weekofyear(ts) AS INTEGER) AS weekOfYear,\n"
         "  CAST(date_trunc('month', ts) AS DATE) AS yearMonth, CAST(month(ts) AS INTEGER) AS month FROM events"
     )
+    s["calendar_parts_dropped"] = "SELECT event_id, ts FROM events"
+    s["csv_any"] = (
+        "SELECT event_id, strftime(ts, '%Y-%m-%d %H:%M:%S.%f') AS ts, user_id, event_type, value, props FROM events"
+    )
+    s["bfill_device"] = (
+        "SELECT event_id, user_id, ts, first_value(CASE WHEN event_type <> 'error' THEN value END IGNORE NULLS) OVER (\n"
+        "  PARTITION BY user_id ORDER BY ts, event_id ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS value\n"
+        "FROM events"
+    )
+    s["quarantine"] = (
+        "WITH e AS (SELECT event_id, CASE WHEN event_type <> 'signup' THEN user_id END AS user_id,\n"
+        "  CASE WHEN value < 400 THEN ts END AS ts, value FROM events)\n"
+        "SELECT *, concat_ws(', ', CASE WHEN user_id IS NULL THEN 'no user_id' END, CASE WHEN ts IS NULL THEN 'no ts' END)\n"
+        "  AS quarantine_reason FROM e WHERE user_id IS NULL OR ts IS NULL"
+    )
     s["thin_devices"] = (
         "WITH c AS (SELECT user_id, count(*) AS n FROM events GROUP BY user_id HAVING count(*) < 66)\n"
-        "SELECT e.event_id, e.ts, e.user_id, e.event_type, e.value, c.n AS device_row_count,\n"
+        "SELECT e.*, c.n AS device_row_count,\n"
         "  CAST(CASE WHEN c.n > 0 THEN 1 ELSE 0 END AS BIGINT) AS Is_Rejected\n"
         "FROM events e LEFT JOIN c ON e.user_id = c.user_id"
     )

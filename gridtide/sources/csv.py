@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import DateType, StructType, TimestampNTZType, TimestampType
 
 from gridtide import fixed
 from gridtide.config import TelemetryConfig
@@ -40,7 +40,11 @@ def load_readings(
     reader = spark.read.option("header", True)
     reader = reader.schema(schema) if schema is not None else reader.option("inferSchema", True)
     df = reader.csv(path)
-    df = df.withColumn(cfg.time, parse_wall_clock(F.col(cfg.time).cast("string"), time_format or cfg.time_format))
+    kind = df.schema[cfg.time].dataType
+    if isinstance(kind, TimestampType | TimestampNTZType | DateType):  # inference has read the times already
+        df = df.withColumn(cfg.time, F.col(cfg.time).cast("timestamp_ntz"))
+    else:
+        df = df.withColumn(cfg.time, parse_wall_clock(F.col(cfg.time).cast("string"), time_format or cfg.time_format))
     return df.drop(*drop)
 
 

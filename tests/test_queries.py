@@ -3,7 +3,8 @@
 import pytest
 
 import __spark_entry__ as entry_module
-from gridtide.plans import catalog, compare, oracle
+from gridtide.plans import catalog, oracle
+from tests import compare
 
 SF = "/root/testdata/sf0.001"
 QUERIES = catalog.QUERIES
