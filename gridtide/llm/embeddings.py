@@ -155,10 +155,8 @@ def near(found: DataFrame, cosine: float = COSINE) -> DataFrame:
     parted = found.select("rep", "n", "unit", "cells", "label", F.posexplode("cells").alias("t", "cell"))
     parted = parted.select("rep", "n", "unit", "cells", "t", F.xxhash64("label", "t", "cell").alias("key"), "label")
     # a hash of label, table and cell: other labels or cells under the same key are told apart in the task
-    dealt = links.blocks(parted, "key", "rep", BLOCK)
-    groups = dealt.groupBy("key", "gi", "gj").agg(
-        F.collect_list(F.struct("rep", "n", "unit", "cells", "t", "label", "block")).alias("members")
-    )
+    value = F.struct("rep", "n", "unit", "cells", "t", "label", "block")
+    groups = links.groups(parted, "key", "rep", BLOCK, value)
 
     def run(batches):
         for batch in batches:

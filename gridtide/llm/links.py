@@ -1,14 +1,14 @@
-"""Links to components, and bounded blocks of equal keys.
+"""Links to components, and bounded lists of equal keys.
 
 ``components`` turns links into the smallest id reachable, by alternating
-large-star and small-star steps over the links as a table. ``blocks`` deals the
-members of each key into groups of bounded size such that any two members of a
-key meet in some group.
+large-star and small-star steps over the links as a table. ``groups`` deals the
+members of each key into lists of bounded size such that any two members of a
+key meet in some list.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from gridtide.llm import util
@@ -62,23 +62,27 @@ def components(links: DataFrame) -> DataFrame:
     )
 
 
-def blocks(members: DataFrame, key: str, member: str, size: int) -> DataFrame:
-    """``members`` of keys with two or more members, with group columns ``gi`` and ``gj`` and the member's ``block``.
+def groups(members: DataFrame, key: str, member: str, size: int, value: Column) -> DataFrame:
+    """(key, gi, gj, members): lists of ``value`` in which any two members of a key meet; lists of one are left out.
 
-    A key of up to ``size`` members is one group. The members of a larger key
-    are dealt over blocks of about ``size``; every pair of blocks is a group,
-    so any two members meet and no group exceeds about twice ``size``.
+    A key of up to ``size`` members is one list. The members of a larger key
+    are dealt over blocks of about ``size`` (column ``block``, which ``value``
+    may hold); every pair of blocks is a list of at most about twice ``size``.
+    Only the crowded keys are looked up, so nothing is made for each chance
+    meeting of two members.
     """
-    counts = members.groupBy(key).agg(F.count("*").alias("__n")).where("__n > 1")
+    n = members.groupBy(key).agg(F.count("*").alias("__n"))
+    crowded = util.stored(n.where(F.col("__n") > size), "crowded-keys")
+    zero = F.lit(0)
+    plain = members.join(crowded, key, "left_anti").withColumns({"block": zero, "gi": zero, "gj": zero})
     dealt = (
-        members.join(counts, key)
+        members.join(crowded, key)
         .withColumn("__nb", F.ceil(F.col("__n") / size).cast("int"))
-        .withColumn("__b", F.pmod(F.xxhash64(member, F.lit(7)), F.col("__nb")).cast("int"))
-        .withColumn("__o", F.explode(F.sequence(F.lit(0), F.col("__nb") - 1)))
-    )
-    return (
-        dealt.withColumn("gi", F.least("__b", "__o"))
-        .withColumn("gj", F.greatest("__b", "__o"))
-        .withColumnRenamed("__b", "block")
-        .drop("__n", "__nb", "__o")
+        .withColumn("block", F.pmod(F.xxhash64(member, F.lit(7)), F.col("__nb")).cast("int"))
+        .withColumn("__o", F.explode(F.sequence(zero, F.col("__nb") - 1)))
+        .withColumns({"gi": F.least("block", "__o"), "gj": F.greatest("block", "__o")})
     )
+    listed = F.collect_list(value).alias("members")
+    small = plain.groupBy(key).agg(listed).select(key, zero.alias("gi"), zero.alias("gj"), "members")
+    large = dealt.groupBy(key, "gi", "gj").agg(listed)
+    return small.union(large).where(F.size("members") > 1)

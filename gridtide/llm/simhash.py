@@ -97,18 +97,20 @@ def near_links(fps: DataFrame, max_bits: int = MAX_BITS) -> DataFrame:
     """Links (a, b) between distinct fingerprints (column ``fp``) that connect all pairs within ``max_bits``."""
     util.ship(fps.sparkSession)
     signed = fps.select("fp", F.explode(variants(F.col("fp"), max_bits)).alias("sig"))
-    dealt = links.blocks(signed, "sig", "fp", BLOCK)
-    groups = dealt.groupBy("sig", "gi", "gj").agg(F.collect_list("fp").alias("fps")).select("fps")
+    found = links.groups(signed, "sig", "fp", BLOCK, F.col("fp"))
+    # two by chance under one signature: their distance is taken before anything goes to Python
+    two = F.bit_count(F.col("members")[0].bitwiseXOR(F.col("members")[1])) <= max_bits
+    found = found.where(F.when(F.size("members") == 2, two).otherwise(True)).select(F.col("members").alias("fps"))
 
     def run(batches):
         for batch in batches:
-            found = set()
+            pairs = set()
             for values in batch.column("fps").to_pylist():
-                found.update(_forest(values, max_bits))
-            a, b = zip(*found, strict=True) if found else ((), ())
+                pairs.update(_forest(values, max_bits))
+            a, b = zip(*pairs, strict=True) if pairs else ((), ())
             yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], names=["a", "b"])
 
-    return groups.mapInArrow(run, "a long, b long").distinct()
+    return found.mapInArrow(run, "a long, b long").distinct()
 
 
 def classes(

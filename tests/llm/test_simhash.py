@@ -2,6 +2,7 @@ import random
 import re
 
 import xxhash
+from pyspark.sql import functions as F
 
 from gridtide.llm import links, simhash
 from tests.llm.conftest import DOCS
@@ -40,13 +41,12 @@ def test_components_equal_brute_force(spark):
     assert {r["node"]: r["component"] for r in got.collect()} == want
 
 
-def test_blocks_let_all_members_meet(spark):
+def test_groups_let_all_members_meet(spark):
     members = spark.createDataFrame([(1, i) for i in range(50)] + [(2, 1)] + [(3, 1), (3, 2)], "k int, m long")
-    groups = {}
-    for r in links.blocks(members, "k", "m", 8).collect():
-        groups.setdefault((r["k"], r["gi"], r["gj"]), set()).add(r["m"])
-    assert {k[0] for k in groups} == {1, 3} and max(map(len, groups.values())) < 50
-    met = {(a, b) for g in groups.values() for a in g for b in g}
+    found = links.groups(members, "k", "m", 8, F.col("m")).collect()
+    lists = {(r["k"], r["gi"], r["gj"]): set(r["members"]) for r in found}
+    assert {k[0] for k in lists} == {1, 3} and max(map(len, lists.values())) < 50
+    met = {(a, b) for g in lists.values() for a in g for b in g}
     assert all((a, b) in met for a in range(50) for b in range(50))
 
 
