@@ -43,7 +43,7 @@ PATTERNS = {
 }
 #: What a text must contain to be searched for a kind (a quick test).
 HINTS = {"email": "@", "ip": ".", "phone": "+"}
-_IP_PART = r"0*+(?:25[0-5]|2[0-4][0-9]|1?[0-9]?[0-9])"
+_IP_PART = r"0*(?:25[0-5]|2[0-4][0-9]|1?[0-9]?[0-9])"
 
 CANDIDATE = (
     r"(?<![A-Za-z0-9+.-])\(?[0-9](?:[0-9]|[\x20().-](?=[0-9(\x20]))*+(?![A-Za-z0-9@-])"
