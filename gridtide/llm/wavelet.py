@@ -16,6 +16,7 @@ empty table writes no shard and reads back no row; extra columns are ignored.
 from __future__ import annotations
 
 import gc
+import os
 import unicodedata
 import uuid
 from collections.abc import Iterator
@@ -37,6 +38,8 @@ SHARD_TOKENS = 1 << 20
 STEP = 512
 #: Words after which a worker's cache starts anew (bounds its memory).
 CACHE = 350_000
+#: Texts that Spark hands a worker at once while shards are written.
+BATCH_ROWS = 1000
 _CLOSING = ".,;:!?"
 _MAGIC = 0x574D5831
 
@@ -178,6 +181,8 @@ class WordEncoder:
     """
 
     def __init__(self, tokenizer_json: str):
+        # a task has one core: the library's threads would each hold memory of their own
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
         self.library = Tokenizer.from_str(tokenizer_json)
@@ -275,8 +280,6 @@ def write_shards(
     end = np.array([end_id], "<u4").tobytes()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        import os
-
         encode = _workers.get(os.getpid()) or _workers.setdefault(os.getpid(), WordEncoder(vocabulary.value))
         part, seq, before = TaskContext.get().partitionId(), 0, 0
         held, ids, tokens = [], [], 0
@@ -308,7 +311,13 @@ def write_shards(
         if held:
             yield close()
 
-    rows.mapInArrow(run, _SHARD).write.parquet(path)
+    setting = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(setting)
+    spark.conf.set(setting, str(BATCH_ROWS))
+    try:
+        rows.mapInArrow(run, _SHARD).write.parquet(path)
+    finally:
+        spark.conf.set(setting, before)
 
 
 def read_documents(spark: SparkSession, path: str) -> DataFrame:
