@@ -89,9 +89,9 @@ class Shard:
             whole[: len(packed)] = packed
             ones = np.bitwise_count(whole.view(np.uint64)).reshape(-1, STEP // 64).sum(axis=1, dtype=np.int64)
             parts += [np.concatenate(([0], np.cumsum(ones)[:-1])).astype("<u4").tobytes(), packed.tobytes()]
-            low = x[~one]
+            low = np.compress(~one, x)
             zeros.append(len(low))
-            x = np.concatenate((low, x[one]))
+            x = np.concatenate((low, np.compress(one, x)))
         head = np.array([_MAGIC, n, levels, distinct], "<u4").tobytes()
         return head + alphabet.astype("<u4").tobytes() + np.array(zeros, "<u4").tobytes() + b"".join(parts)
 
@@ -102,8 +102,8 @@ class Shard:
             one = np.unpackbits(self.planes[level], count=self.n, bitorder="little").astype(bool)
             z = int(self.zeros[level])
             back = np.empty_like(x)
-            back[~one] = x[:z]
-            back[one] = x[z:] | x.dtype.type(1 << (self.levels - 1 - level))
+            back[np.flatnonzero(~one)] = x[:z]
+            back[np.flatnonzero(one)] = x[z:] | x.dtype.type(1 << (self.levels - 1 - level))
             x = back
         return self.alphabet[x] if self.n else np.zeros(0, np.uint32)
 
