@@ -37,9 +37,10 @@ def token_count(text: Column, version: str) -> Column:
     return F.coalesce(F.regexp_count(text, F.lit(VERSIONS[version])), F.lit(0)).cast("long")
 
 
-def change(rows: DataFrame, version: str, sign: int, text: str = "text") -> DataFrame:
-    """One signed change per row: +1 adds the document at this tokenizer version, -1 takes it away."""
+def change(rows: DataFrame, version: str, sign: int, text: str = "text", keep: tuple[str, ...] = ()) -> DataFrame:
+    """One signed change per row: +1 adds the document at this tokenizer version, -1 takes it away; ``keep`` stays."""
     return rows.select(
+        *keep,
         F.col("source").cast("string").alias("source"),
         F.col("lang").cast("string").alias("lang"),
         F.lit(version).alias("version"),
@@ -85,13 +86,18 @@ def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents arrive; those labelled toxic are deleted, those of low quality counted anew; two batches come twice."""
     docs = util.table(spark, sf_dir, "documents").select("doc_id", "text", "source", "lang")
     labels = util.table(spark, sf_dir, "labels").groupBy("doc_id").agg(F.max("toxic").alias("toxic"), F.min("quality").alias("quality"))
-    toxic = docs.join(labels.where("toxic = 1"), "doc_id", "left_semi")
-    revised = docs.join(labels.where("toxic = 0 and quality = 0"), "doc_id", "left_semi")
+
+    def of(which: str, version: str, sign: int) -> DataFrame:
+        # texts are counted before the join, so that it shuffles counts only; a semi join would move below the counting
+        counted = change(docs, version, sign, keep=("doc_id",))
+        return counted.join(labels.where(which).select("doc_id"), "doc_id").drop("doc_id")
+
+    toxic, revised = "toxic = 1", "toxic = 0 and quality = 0"
     rollup = Rollup(spark, f"{checkpoint_dir(spark).rstrip('/')}/rollup-{uuid.uuid4().hex}")
     rollup.commit(1, change(docs, "blank-1", 1))
-    rollup.commit(2, change(toxic, "blank-1", -1))
-    rollup.commit(3, change(revised, "blank-1", -1).union(change(revised, "word-2", 1)))
-    rollup.commit(2, change(toxic, "blank-1", -1))
+    rollup.commit(2, of(toxic, "blank-1", -1))
+    rollup.commit(3, of(revised, "blank-1", -1).union(of(revised, "word-2", 1)))
+    rollup.commit(2, of(toxic, "blank-1", -1))
     rollup.commit(1, change(docs, "blank-1", 1))
     return rollup.totals()
 
