@@ -12,8 +12,9 @@ Equal fingerprints (all copies) are one entry of the index.
 Defined results: null and empty texts have no word and the zero fingerprint,
 linked like any other; a text of fewer words than a shingle is one shingle;
 ties of a bit (exactly half) give 0; repeated rows are classed alike; a null
-``doc_id`` is never a component's id unless it has no other; an empty table
-gives no row. Extra columns are ignored by the index and kept by ``keep_one``.
+``doc_id`` is never a component's id unless it has no other; ``keep_one`` keeps a
+row of every class, also of those that share a null or repeated id; an empty
+table gives no row. Extra columns are ignored by the index and kept by ``keep_one``.
 """
 
 from __future__ import annotations
@@ -113,14 +114,24 @@ def near_links(fps: DataFrame, max_bits: int = MAX_BITS) -> DataFrame:
     return found.mapInArrow(run, "a long, b long").distinct()
 
 
+def _rooted(distinct: DataFrame, max_bits: int) -> DataFrame:
+    """``distinct`` (one row of each ``fp``) with ``root``: the same value for all fingerprints of a class."""
+    of = links.components(near_links(distinct, max_bits)).withColumnRenamed("node", "fp")
+    return distinct.join(of, "fp", "left").withColumn("root", F.coalesce("component", "fp")).drop("component")
+
+
+def _text_key(text: str):
+    """Column: what tells the rows of one id apart, equal for equal texts."""
+    return F.unhex(F.sha2(F.coalesce(F.col(text), F.lit("")).cast("binary"), 256))
+
+
 def classes(
     docs: DataFrame, text: str = "text", doc_id: str = "doc_id", words: int = WORDS, max_bits: int = MAX_BITS
 ) -> DataFrame:
     """(doc_id, fp, component_id) of every row; component_id is the smallest doc_id reachable over links."""
     base = util.stored(fingerprints(docs.select(doc_id, text), text, words).select(doc_id, "fp"), "simhash")
     least = util.stored(base.groupBy("fp").agg(F.min(doc_id).alias("least")), "simhash-distinct")
-    of = links.components(near_links(least, max_bits)).withColumnRenamed("node", "fp")
-    joined = least.join(of, "fp", "left").select("fp", F.coalesce("component", "fp").alias("root"), "least")
+    joined = _rooted(least, max_bits)
     roots = joined.groupBy("root").agg(F.min("least").alias("component_id"))
     ids = util.stored(joined.join(roots, "root").select("fp", "component_id"), "simhash-classes")
     return base.join(ids, "fp").select(doc_id, "fp", "component_id")
@@ -129,18 +140,24 @@ def classes(
 def keep_one(
     docs: DataFrame, text: str = "text", doc_id: str = "doc_id", words: int = WORDS, max_bits: int = MAX_BITS
 ) -> DataFrame:
-    """``docs`` with one row of each component: the one of its smallest id (of repeated ids, one row)."""
-    of = classes(docs, text, doc_id, words, max_bits)
-    kept = (
-        of.where(F.col(doc_id).eqNullSafe(F.col("component_id")))
-        .groupBy(F.col(doc_id).alias("__id"))
-        .agg(F.count("*").alias("__n"))
-    )
-    kept = util.stored(kept, "simhash-kept")
-    same = docs[doc_id].eqNullSafe(F.col("__id"))
-    once = docs.join(kept.where("__n = 1"), same, "left_semi")
-    again = docs.join(kept.where("__n > 1"), same, "left_semi").dropDuplicates([doc_id])
-    return once.union(again)
+    """``docs`` with one row of each class: of its rows with the smallest id (null if it has no other) one.
+
+    The row is chosen per class, not per id: a null or repeated id may stand for
+    unrelated texts. It is named by id and text, so texts aren't grouped.
+    """
+    made = fingerprints(docs.select(doc_id, text), text, words)
+    base = util.stored(made.select(F.col(doc_id).alias("id"), "fp", _text_key(text).alias("key")), "simhash")
+    rows = base.groupBy("fp", "id", "key").agg(F.count("*").alias("n"))
+    first = F.min(F.struct(F.col("id").isNull().alias("none"), "id", "key", "n")).alias("row")
+    least = util.stored(rows.groupBy("fp").agg(first), "simhash-distinct")
+    chosen = _rooted(least, max_bits).groupBy("root").agg(F.min("row").alias("row"))
+    kept = util.stored(chosen.select("row.id", "row.key", "row.n").toDF("__id", "__key", "__n"), "simhash-kept")
+    key = util.fresh(docs, "text_key")
+    keyed = docs.withColumn(key, _text_key(text))
+    same = keyed[doc_id].eqNullSafe(F.col("__id")) & (keyed[key] == F.col("__key"))
+    once = keyed.join(kept.where("__n = 1"), same, "left_semi")
+    again = keyed.join(kept.where("__n > 1"), same, "left_semi").dropDuplicates([doc_id, key])
+    return once.union(again).drop(key)
 
 
 def op3(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -86,3 +86,23 @@ def test_keep_one_keeps_columns_and_one_row_of_each_class(spark):
         map(str, docs.where("doc_id = 9 or doc_id is null").union(docs.where("doc_id = 1").limit(1)).collect())
     )
     assert simhash.keep_one(docs.limit(0)).count() == 0
+
+
+def test_keep_one_keeps_a_row_of_every_class_of_a_null_or_repeated_id(spark):
+    rows = [
+        (None, "a b c d e", 1), (None, "q r s t u v", 2), (None, "q r s t u v", 3), (None, None, 4), (None, "", 5),
+        (7, "one two three four five six", 6), (7, "eleven twelve thirteen fourteen", 7),
+        (8, "eleven twelve thirteen fourteen", 8), (8, "red green blue white black", 9), (None, "red green blue white black", 10),
+        (9, "one two three four five six", 11), (9, "k l m n o p", 12),
+    ]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, row int")
+    kept = [(r["doc_id"], r["text"] or None) for r in simhash.keep_one(docs).collect()]
+    assert sorted(map(str, kept)) == sorted(
+        map(
+            str,
+            [
+                (None, "a b c d e"), (None, "q r s t u v"), (None, None), (7, "one two three four five six"),
+                (7, "eleven twelve thirteen fourteen"), (8, "red green blue white black"), (9, "k l m n o p"),
+            ],
+        )
+    )
