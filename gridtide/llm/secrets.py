@@ -20,6 +20,7 @@ from __future__ import annotations
 
 import math
 import re
+from collections.abc import Iterator
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -37,9 +38,17 @@ _access = re.compile(r"AKIA[A-Z0-9]+")
 _hex = re.compile(r"[0-9a-f]{16,}")  # the runs of [0-9a-f]+ that have 16 or more
 ASSIGN_LEAST, ACCESS_LEAST = 12, 18
 
-_context = re.compile(
-    r"""(?:pass(?:word|wd|phrase|code)|pwd|secret|token|api[_\x20-]?key|credential|private[_\x20-]?key)s?["']?"""
-    r"""\x20{0,3}(?:[:=]|=>|\bis\b)\x20{0,3}["']?([^\x20\x09-\x0D"'<>]{6,})""",
+# A credential context: a keyword with the rest of its name, a sign and a value. Blanks and tabs are free around the
+# sign, and one line break; a next line that is an assignment of its own is no value. All repeats are possessive.
+_name = re.compile(
+    r"""(?:pass(?:word|wd|phrase|code)|pwd|secret|token|api[_\x20-]?key|credential|private[_\x20-]?key)[A-Za-z0-9_-]*+"""
+    r"""(?:(?:(?<=api)|(?<=private))\x20key[A-Za-z0-9_-]*+)*+""",
+    re.IGNORECASE | re.ASCII,
+)
+_sign, _gap, _line = r"(?:=>|[:=]|\bis\b)", r"[\x20\t]*+", r"(?:\r\n?|\n)"
+_own = rf"""(?![A-Za-z_][A-Za-z0-9_.-]*+{_gap}(?::|=(?!=?(?:\s|$))))"""
+_value = re.compile(
+    rf"""["']?{_gap}(?:{_sign}{_gap}(?:{_line}{_gap}(?=["']|{_own}))?|{_line}{_gap}{_sign}{_gap})["']?([^\x20\x09-\x0D"'<>]{{6,}})""",
     re.IGNORECASE | re.ASCII,
 )
 _hints = ("passw", "secret", "token", "api", "pwd", "passphrase", "passcode", "credential", "private")
@@ -106,6 +115,16 @@ def guess_bits(value: str, ranks: dict[str, int]) -> float:
     return best[n]
 
 
+def context_values(text: str) -> Iterator[tuple[int, int]]:
+    """The spans of the values in credential contexts; a name or value is read once, so the time is linear."""
+    at = 0
+    while name := _name.search(text, at):
+        value = _value.match(text, name.end())
+        if value:
+            yield value.span(1)
+        at = value.end() if value else name.end()
+
+
 def scan(text: str | None, ranks: dict[str, int]) -> list[tuple[str, int, int]]:
     """All spans (kind, start, end) of a text, by start, then kind in order; code points, end exclusive."""
     if not text:
@@ -114,7 +133,7 @@ def scan(text: str | None, ranks: dict[str, int]) -> list[tuple[str, int, int]]:
     low = text.lower()
     if any(h in low for h in _hints):
         out += [("assign", *m.span()) for m in _assign.finditer(text) if len(m[2]) >= ASSIGN_LEAST]
-        out += [("guess", *m.span(1)) for m in _context.finditer(text) if guess_bits(m[1], ranks) >= GUESS_BITS]
+        out += [("guess", a, b) for a, b in context_values(text) if guess_bits(text[a:b], ranks) >= GUESS_BITS]
     if "AKIA" in text:
         out += [("access", *m.span()) for m in _access.finditer(text) if m.end() - m.start() >= ACCESS_LEAST]
     return sorted(out, key=lambda s: (s[1], KINDS.index(s[0]), s[2]))

@@ -49,6 +49,29 @@ def test_guess_costs_order_values():
     assert max(secrets.guess_bits(v, ranks) for v in cheap) < secrets.GUESS_BITS < secrets.guess_bits("Xk9$Lq2!vB7z", ranks)
 
 
+@pytest.mark.parametrize(
+    "before, after",
+    [
+        ('password          = "', '"'), ("pwd:     ", ""), ("pwd:\t", ""), ("pwd\t\t=\t", "\n"), ('{"password":\n    "', '"}'),
+        ("secret_key = ", " x"), ("DB_PASSWORD_PROD=", ""), ("api_key-v2 => ", ""), ("passphrase:\r\n\t", ""),
+        ("secret_api key: ", ""), ("the passwords is ", " now"), ("token\n  = ", ""),
+    ],
+)
+def test_values_in_credential_contexts(before, after):
+    text = f"é {before}Xk9$Lq2!vB7z{after}"
+    at = len(before) + 2
+    assert secrets.scan(text, {}) == [("guess", at, at + 12)] and secrets.masked(text, {}, "*") == f"é {before}*{after}"
+
+
+def test_credential_contexts_end():
+    for text in ("DB_PASSWORD=\nDB_HOST=Xk9$Lq2!vB7z", "pwd:\n\nXk9$Lq2!vB7z", "pwd Xk9$Lq2!vB7z", "pwd\n:\nXk9$Lq2!vB7z"):
+        assert secrets.scan(text, {}) == []
+    assert len(secrets.scan("pwd:\n c2VjcmV0IGtleSBvZg==", {})) == 1
+    n = 200_000
+    for text in ("token" * n, "token:" * n, "pwd" + " " * n, "pwd:" + "\t" * n, "api key" * n, "pwd =\n" * n, "pwd:\n" + "a" * n + " =" * n):
+        list(secrets.context_values(text))
+
+
 def test_benchmark_items_are_found(spark, sf):
     got = [(r["doc_id"], r["item_id"]) for r in decontaminate.op4(spark, sf).collect()]
     assert got == [(503, 1)]
