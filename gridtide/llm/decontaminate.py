@@ -9,9 +9,10 @@ to less than the threshold has no hit; else only blocks whose bounds reach it
 are scored, exactly, and all segments at or above the threshold are retrieved.
 A retrieved item counts as contained if its question's and its answer's words
 overlap with the document: shares of the question's five-word shingles, and of
-the answer's words, of at least ``OVERLAP`` each, and of the whole item's
-shingles likewise. The answer is an item's last sentence or line (the whole, if
-it has one only).
+the answer's words, of at least ``OVERLAP`` each, and likewise of the shingles
+of question and answer together, with or without those that cross from one to
+the other (a label or line between them breaks these). The answer is an item's
+last sentence or line (the whole, if it has one only).
 
 The index is broadcast in shards of at most ``SHARD_WORDS`` words of items, one
 pass over the documents for each, so its size is bounded for any benchmark.
@@ -95,7 +96,7 @@ class Index:
             all_words = words(text)
             if not all_words:
                 continue
-            self.items.append((item_id, shingles(q), set(a), shingles(all_words)))
+            self.items.append((item_id, shingles(q), set(a), shingles(a), shingles(all_words)))
             pieces = max(1, math.ceil(len(all_words) / SEGMENT))
             step = math.ceil(len(all_words) / pieces)
             for i in range(0, len(all_words), step):
@@ -186,16 +187,17 @@ class Index:
         by_size = {SHINGLE: own}
         out = []
         for item, score in sorted(best.items()):
-            item_id, question, answer, whole = self.items[item]
-            shares = []
-            for part in (question, whole):
+            item_id, question, answer, ending, whole = self.items[item]
+            found = []
+            for part in (question, ending, whole):
                 size = len(next(iter(part)))
                 if size not in by_size:
                     by_size[size] = shingles(ws, size)
-                shares.append(len(part & by_size[size]) / len(part))
-            a = len(answer & seen) / len(answer)
-            if min(*shares, a) >= OVERLAP:
-                out.append((item_id, score, shares[0], a))
+                found.append(len(part & by_size[size]))
+            q, a = found[0] / len(question), len(answer & seen) / len(answer)
+            parts = (found[0] + found[1]) / (len(question) + len(ending))
+            if min(q, a, max(parts, found[2] / len(whole))) >= OVERLAP:
+                out.append((item_id, score, q, a))
         return out
 
 

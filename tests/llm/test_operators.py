@@ -80,6 +80,20 @@ def test_benchmark_items_are_found(spark, sf):
     assert decontaminate.clean(docs, bench).count() == 0 and decontaminate.clean(docs, bench.limit(0)).columns == docs.columns
 
 
+Q3 = decontaminate.Index([(3, "name two towns on the river\nDeep red blue old bar")])
+
+
+def test_items_with_something_between_question_and_answer():
+    index = decontaminate.Index([(1, ITEM), (2, "Name a colour of the old flag\nDeep red with a blue bar")])
+    question, answer = ITEM.split("? ")
+    for text in (f"{question}? Answer: {answer}", f"{question}?\nthis line stands between the two\n{answer}", f"Q: {question}? (2 points) A: {answer}"):
+        assert [(h[0], h[2], h[3]) for h in index.hits(EN + text + " " + EN)] == [(1, 1.0, 1.0)]
+    assert [h[0] for h in index.hits("Name a colour of the old flag. Answer: deep red with a blue bar")] == [2]
+    # still found by the whole item's shingles: the answer lacks its last word, which is a fifth of its own
+    assert [h[0] for h in Q3.hits("name two towns on the river Deep red blue old green")] == [3]
+    assert index.hits(EN + question + "? " + EN) == []
+
+
 PII = {
     "email": r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+", "ip": r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)",
     "card": r"[0-9]([\x20-]?[0-9])+", "phone": r"\+[0-9][\x20().0-9-]+[0-9]",
