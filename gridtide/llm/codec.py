@@ -1,9 +1,9 @@
 """BPE encoding and decoding of whole texts (operator 9).
 
-Method: the most frequent words of the corpus, counted over every document, are
-compiled with their ids into a minimal acyclic transducer; its file is placed
-on every executor and mapped into memory by the workers. A word that the
-lexicon lacks is merged exactly. Results are those of the tokenizer file's own
+Method: the most frequent words of the corpus (pieces of the split pattern),
+counted over every document, are compiled with their ids into a minimal acyclic
+transducer; its file is placed on every executor and mapped into memory by the
+workers. A word that the lexicon lacks is merged exactly. Results are those of the tokenizer file's own
 library with ``add_special_tokens=False`` and ``skip_special_tokens=False``.
 
 Defined results: a null text is an empty text (no ids, empty decoded text); an
@@ -41,6 +41,7 @@ LEXICON_WORD_BYTES = 48
 #: Entries of each of the two generations of a worker's word cache (bounds its memory).
 CACHE = 150_000
 _FLUSH = 300_000
+_FLUSH_CHARS = 16_000_000
 
 _loaded: dict[str, object] = {}
 
@@ -54,19 +55,74 @@ def _once(key: str, make):
     return _loaded[key]
 
 
+_letters = regex.compile(r"\p{L}+").findall
+_split = regex.compile(SPLIT).findall
+#: The white space that SPLIT makes pieces of: a run without its last character (at the end all of it), and a last one that is no blank.
+_gaps = regex.compile(r"\s+(?!\S)|[^\S ]").findall
+_all_gap = regex.compile(r"\s+").fullmatch
+
+
 def word_counts(docs: DataFrame, text: str = "text") -> DataFrame:
-    """(word, n): how often each run of letters between blanks occurs, over all texts."""
+    """(word, n): how often each run of letters occurs, over all texts."""
+
+    def read(t, raw, held):
+        raw.update(t.split())
+
+    def spread(raw, held):
+        for part, n in raw.items():
+            if part.isalpha():
+                held[part] += n
+            else:
+                for word in _letters(part):
+                    held[word] += n
+
+    return _counts(docs, text, read, spread)
+
+
+def piece_counts(docs: DataFrame, text: str = "text") -> DataFrame:
+    """(word, n): how often each piece of the split pattern occurs, with its blank, over all texts."""
+
+    def add(parts, n, held):
+        for piece in parts:
+            if not (piece.isspace() and _all_gap(piece)):
+                held[piece] += n
+
+    def read(t, raw, held):
+        # a blank before other characters belongs to their piece; white space is counted by itself
+        first, *rest = t.split(" ")
+        raw.update(rest)
+        add(_split(first), 1, held)
+        held.update(_gaps(t))
+
+    def spread(raw, held):
+        for part, n in raw.items():
+            if part.isalpha():
+                held[" " + part] += n
+            elif part:
+                add(_split(" " + part), n, held)
+
+    return _counts(docs, text, read, spread)
+
+
+def _counts(docs: DataFrame, text: str, read, spread) -> DataFrame:
+    """Counts per task: ``read`` takes a text's parts between blanks, ``spread`` cuts each distinct one into words."""
 
     def count(batches):
-        held: Counter = Counter()
+        raw, held, size = Counter(), Counter(), 0
         for batch in batches:
             for part in util.slices(batch, text):
                 for t in part.column(text).to_pylist():
                     if t:
-                        held.update(filter(str.isalpha, t.split(" ")))
+                        read(t, raw, held)
+                        size += len(t)
+                if len(raw) + len(held) > _FLUSH or size > _FLUSH_CHARS:
+                    spread(raw, held)
+                    raw.clear()
+                    size = 0
                 if len(held) > _FLUSH:
                     yield _pairs(held)
                     held.clear()
+        spread(raw, held)
         if held:
             yield _pairs(held)
 
@@ -126,14 +182,15 @@ class Lexicon:
 
 
 def build_lexicon(docs: DataFrame, tokenizer_path: str, text: str = "text", words: int = LEXICON_WORDS) -> Lexicon:
-    """Count all words, take at most the ``words`` most frequent and compile them.
+    """Count all pieces, take at most the ``words`` most frequent and compile them.
 
     The driver receives at most ``words`` words of ``LEXICON_WORD_BYTES`` bytes.
     """
     spark = docs.sparkSession
-    top = frequent(word_counts(docs, text).where(F.octet_length("word") <= LEXICON_WORD_BYTES), words)
+    # a piece may have its blank besides
+    top = frequent(piece_counts(docs, text).where(F.octet_length("word") <= LEXICON_WORD_BYTES + 1), words)
     merges = Merges(Path(tokenizer_path).read_text(encoding="utf-8"))
-    found = [b" " + word.encode() for word, _ in top]
+    found = [word.encode() for word, _ in top]
     return Lexicon(spark, tokenizer_path, transducer.build(list(zip(found, merges.encode(found), strict=True))))
 
 

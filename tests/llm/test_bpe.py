@@ -57,6 +57,20 @@ def test_encoder_equals_the_library_on_random_texts(merges):
     assert [np.frombuffer(x, "<u4").tolist() for x in encoder(texts)] == want
 
 
+def test_all_words_and_pieces_are_counted(spark):
+    from collections import Counter
+
+    import regex
+
+    rnd = random.Random(4)
+    parts = [*"ab Z09 .,'\"\n\té中-_", "  ", " \n", "the", " the", "'s", "　", "\x85", "\x1c", "one\ntwo\tthree", "end."]
+    texts = ["".join(rnd.choices(parts, k=rnd.randint(0, 40))) for _ in range(800)] + [t for _, t, *_ in ODD]
+    docs = spark.createDataFrame([(t,) for t in texts], "text string")
+    for counts, pattern in ((codec.word_counts, r"\p{L}+"), (codec.piece_counts, codec.SPLIT)):
+        want = Counter(w for t in texts if t for w in regex.findall(pattern, t))
+        assert {r["word"]: r["n"] for r in counts(docs).collect()} == want
+
+
 def test_op9_equals_the_library(spark, folder):
     sf = folder("documents", ODD, DOCS)
     got = {r["doc_id"]: r for r in codec.op9(spark, sf).collect()}
