@@ -131,26 +131,42 @@ def _counts(docs: DataFrame, text: str, read, spread) -> DataFrame:
 
 
 def frequent(counts: DataFrame, words: int) -> list[tuple[str, int]]:
-    """At most ``words`` (word, n), the most frequent first, ties by the word.
+    """The ``words`` most frequent (word, n), the most frequent first, ties by the word; all, if there are fewer.
 
     The least count is read off a histogram in steps of 1/64 of a doubling
     (a few thousand rows for any corpus), so that tasks send the driver no word
-    that isn't taken; words that tie with the first one left out are left out.
+    that isn't taken; of the step in which the limit falls the first are taken.
     """
     step = F.floor(F.log2(F.col("n")) * 64)
     counts = util.stored(counts.withColumn("step", step), "word-counts")
-    least, held = None, 0
+    least = edge = None
+    held = 0
     for row in sorted(counts.groupBy("step").agg(F.count("*").alias("k")).collect(), reverse=True):
-        held += row["k"]
-        if held > words:
+        if held + row["k"] > words:
+            edge = row["step"]
             break
+        held += row["k"]
         least = row["step"]
-    if least is None:
-        return []
-    found = counts.where(F.col("step") >= least).select("word", "n").collect()
+    found = [] if least is None else counts.where(F.col("step") >= least).select("word", "n").collect()
+    if edge is not None and held < words:
+        found += _first(counts.where(F.col("step") == edge).select("word", "n"), words - held)
     return sorted(((w, n) for w, n in found), key=lambda x: (-x[1], x[0]))
 
 
+def _first(counts: DataFrame, words: int) -> list:
+    """The first ``words`` of more rows, by count and word: whole ranges of a stored sort, and the first of the next range."""
+    order = F.desc("n"), F.col("word")
+    ranges = util.stored(counts.orderBy(*order).withColumn("range", F.spark_partition_id()), "word-order")
+    held, found = 0, []
+    for row in sorted(ranges.groupBy("range").agg(F.count("*").alias("k")).collect()):
+        if held + row["k"] > words:
+            found = ranges.where(F.col("range") == row["range"]).orderBy(*order).limit(words - held).collect() if held < words else []
+            found += ranges.where(F.col("range") < row["range"]).collect()
+            break
+        held += row["k"]
+    return [(r["word"], r["n"]) for r in found]
+
+
 def _pairs(held: Counter) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays(
         [pa.array(held.keys(), pa.string()), pa.array(held.values(), pa.int64())], names=["word", "n"]

@@ -71,6 +71,18 @@ def test_all_words_and_pieces_are_counted(spark):
         assert {r["word"]: r["n"] for r in counts(docs).collect()} == want
 
 
+def test_frequent_fills_the_limit(spark):
+    rnd = random.Random(5)
+    rows = [(f"w{i:04d}", 7) for i in range(500)] + [(f"é{i}", rnd.choice([1, 2, 1000, 1001, 1005, 1006])) for i in range(300)]
+    rnd.shuffle(rows)
+    counts = spark.createDataFrame(rows, "word string, n long").repartition(5)
+    want = sorted(rows, key=lambda x: (-x[1], x[0]))
+    for words in (0, 1, 150, 400, 799, 800, 900):
+        assert codec.frequent(counts, words) == want[:words]
+    assert codec.frequent(counts.where("n = 7"), 20) == [(f"w{i:04d}", 7) for i in range(20)]
+    assert codec.frequent(counts.limit(0), 20) == []
+
+
 def test_op9_equals_the_library(spark, folder):
     sf = folder("documents", ODD, DOCS)
     got = {r["doc_id"]: r for r in codec.op9(spark, sf).collect()}
