@@ -45,11 +45,29 @@ PATTERNS = {
 HINTS = {"email": "@", "ip": ".", "phone": "+"}
 _IP_PART = r"0*(?:25[0-5]|2[0-4][0-9]|1?[0-9]?[0-9])"
 
+LEAST_DIGITS, MOST_DIGITS = 7, 19
+
+# Candidates of digits. One separator joins two digits: a point, a dash (with a blank on both sides or none), a blank, or
+# the bracket of a short group. A phone or identity number that stands by itself between blanks is a candidate, whatever
+# numbers stand beside it; else a run of LEAST_DIGITS to MOST_DIGITS digits is one, and of a longer run its blank-free
+# parts, or the shapes that a longer blank-free run begins with. A match ends at its last digit.
+_OPEN, _CLOSE = r"(?:\((?=[0-9]{1,6}\)))", r"(?:(?<=\([0-9]{1,6})\))"
+_JOIN = rf"{_CLOSE}?(?:\x20-\x20|[\x20.-])?{_OPEN}?"
+_TIGHT = rf"{_CLOSE}?[.-]?{_OPEN}?"
+_SHAPE = r"(?:(?:\([0-9]{3}\)|[0-9]{3})[\x20.-]?[0-9]{3}[\x20.-][0-9]{4}|[0-9]{3}-[0-9]{2}-[0-9]{4})"
+_STOP = r"(?![A-Za-z0-9@]|[.-][0-9]|-[A-Za-z])"
+_START = r"(?<![A-Za-z0-9+.-])"
+_MORE = LEAST_DIGITS - 1, MOST_DIGITS - 1
+_APART = rf"(?!{_CLOSE}?\x20{_SHAPE}{_STOP})"  # the next number is a shape by itself
+_FIRST = r"(?:(?<![0-9]\x20)|(?<=\G\x20)(?<=[0-9]{3}[\x20.-][0-9]{4}\x20|-[0-9]{2}-[0-9]{4}\x20))"  # of its run, or after a shape
 CANDIDATE = (
-    r"(?<![A-Za-z0-9+.-])\(?[0-9](?:[0-9]|[\x20().-](?=[0-9(\x20]))*+(?![A-Za-z0-9@-])"
+    rf"{_START}{_SHAPE}{_STOP}"
+    rf"|{_START}{_FIRST}{_OPEN}?[0-9](?:{_APART}{_JOIN}[0-9]){{{_MORE[0]},{_MORE[1]}}}+{_STOP}(?!{_APART}{_JOIN}[0-9])"
+    rf"|{_START}{_OPEN}?[0-9](?:{_TIGHT}[0-9]){{{_MORE[0]},{_MORE[1]}}}+{_STOP}"
+    rf"|{_START}(?={_OPEN}?[0-9](?:{_TIGHT}[0-9]){{{MOST_DIGITS}}}){_SHAPE}(?=[.-][0-9])"
+    rf"|(?<=\G[.-])(?<=[0-9]{{4}}[.-]){_SHAPE}(?:(?=[.-][0-9])|{_STOP})"
     r"|\b(?:Mr|Mrs|Ms|Dr|Herr|Frau|Mme|Sr|Sra)\.?\x20\p{Lu}\p{Ll}++(?:\x20\p{Lu}\p{Ll}++)?"
 )
-LEAST_DIGITS, MOST_DIGITS = 7, 19
 CUES = ("phone", "tel", "call", "mobile", "fax", "ssn", "passport", "account", "iban", "dob", "born", "id", "name")
 NOT_CUES = ("version", "page", "section", "chapter", "license", "licence", "isbn", "commit", "line", "item", "total")
 EM_ROUNDS = 30

@@ -124,6 +124,28 @@ def test_pii_base_spans(spark, sf, folder):
         assert got[i]["base_sha256"] == hashlib.sha256(want.encode()).hexdigest(), (t, got[i]["spans"])
 
 
+def test_pii_candidates(spark):
+    shaped = "555-123-4567", "555-765-4321", "123-45-6780", "(555) 123-4567", "555.123.4567", "555 123 4567"
+    cases = [(f"{b}{x}{a}", [x]) for x in shaped for b, a in (("", ". Then"), ("at 2025 ", " (home)"), ("12 ", "  "), ("(", ")"), ("", "."), ("", "\n"))]
+    cases += [(f"{x} {y}", [x, y]) for x in shaped for y in shaped] + [(f"{x}, {x}. {x}  {x}\n{x}", [x] * 5) for x in shaped]
+    cases += [
+        ("1234567 7654321 1111111 ", ["1234567", "7654321", "1111111"]), ("12345678 555-123-4567", ["12345678", "555-123-4567"]),
+        ("555-123-4567 1234 5678 9012.", ["555-123-4567", "1234 5678 9012"]), ("4111 1111 1111 1112.", ["4111 1111 1111 1112"]),
+        ("555-123-4567-555-765-4321", ["555-123-4567", "555-765-4321"]), ("1-555-123-4567 x", ["1-555-123-4567"]),
+        ("555 - 123 - 4567", ["555 - 123 - 4567"]), ("(020) 7946 0958 ", ["(020) 7946 0958"]), ("(see 1234567) 89", ["1234567"]),
+        ("12 34 56", []), ("555-123-4567a 1.5", []), ("555-123-4567-x", []), ("v555-123-4567", []), ("Dr. Smith 5551234567. ", ["Dr. Smith", "5551234567"]),
+        ("1 " * 3000, []), ("1" * 30000, []), ("12-" * 3000, []), ("555-123-4567 " * 300, ["555-123-4567"] * 300),
+    ]
+    docs = spark.createDataFrame([(i, t) for i, (t, _) in enumerate(cases)], "doc_id long, text string")
+    got = {r["doc_id"]: r["candidates"] for r in pii.located(docs).collect()}
+    assert [(t, w, h) for i, (t, w) in enumerate(cases) if (h := [s["hit"] for s in got[i]]) != w] == []
+    for i, (text, _) in enumerate(cases):
+        assert all(text[s["start"] : s["end"]] == s["hit"] for s in got[i])
+    shape = spark.createDataFrame([(x,) for x in shaped], "hit string").selectExpr("struct(hit, '' as before) as s")
+    described = [r for r in shape.select(*[c.alias(n) for n, c in pii.features(shape["s"]).items()]).collect()]
+    assert all(r["phone_shape"] + r["id_shape"] == 1 for r in described)
+
+
 def test_rollup_equals_sql_and_batches_are_idempotent(spark, sf):
     con = duckdb.connect()
     for t in ("documents", "labels"):
