@@ -140,10 +140,11 @@ def scan(text: str | None, ranks: dict[str, int]) -> list[tuple[str, int, int]]:
 
 
 def word_ranks(docs: DataFrame, text: str = "text", words: int = WORDS) -> dict[str, int]:
-    """Word -> rank (from 1) of the most frequent words of 3 to LONGEST_WORD letters, over all texts; at most ``words``."""
+    """Word -> rank (from 1) of the most frequent words of 3 to LONGEST_WORD letters that occur twice, over all texts; at most ``words``."""
     low = codec.word_counts(docs, text).select(F.lower("word").alias("word"), "n")
     counts = low.where(F.length("word").between(3, LONGEST_WORD)).groupBy("word").agg(F.sum("n").alias("n"))
-    return {word: i for i, (word, _) in enumerate(codec.frequent(counts, words), 1)}
+    # letters seen once may be a secret's own
+    return {word: i for i, (word, _) in enumerate(codec.frequent(counts.where("n > 1"), words), 1)}
 
 
 def find(docs: DataFrame, ranks: dict[str, int], text: str = "text", spans: str = "spans") -> DataFrame:
