@@ -2,7 +2,21 @@
 
 from __future__ import annotations
 
-from gridtide.llm import codec, decontaminate, embeddings, language, pii, rollup, secrets, simhash, urls, wavelet
+from gridtide.llm import (
+    align,
+    codec,
+    decontaminate,
+    embeddings,
+    language,
+    pii,
+    resample,
+    rollup,
+    secrets,
+    simhash,
+    urls,
+    wavelet,
+    wordwise,
+)
 
 QUERIES = {
     "op1_embedding_links": embeddings.op1,
@@ -15,6 +29,9 @@ QUERIES = {
     "op8_language": language.op8,
     "op9_bpe": codec.op9,
     "op10_wavelet": wavelet.op10,
+    "op11_align": align.op11,
+    "op12_wordwise_bpe": wordwise.op12,
+    "op13_resample": resample.op13,
 }
 
 SQL = {"op6_token_rollup": rollup.OP6_SQL}
