@@ -41,6 +41,8 @@ class TelemetryConfig:
     iqr_multiplier: float = fixed.IQR_MULTIPLIER
     # Relative accuracy of percentile_approx (1/0.01 = 100, as approxQuantile(0.01)).
     quantile_accuracy: int = 100
+    # Rows of one device that a task may hold; a longer device is read in chunks of its time order.
+    group_rows: int = 1_000_000
 
     def __post_init__(self):
         if self.step_minutes <= 0 or (24 * 60) % self.step_minutes:

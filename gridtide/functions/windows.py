@@ -60,13 +60,3 @@ def bfill(col: str | Column, window) -> Column:
     """
     col = F.col(col) if isinstance(col, str) else col
     return F.last(col, ignorenulls=True).over(running(window))
-
-
-def previous_if(cond: Column, col: str, window) -> Column:
-    """Carry the previous row's value where ``cond`` holds (one step back only).
-
-    The previous value is read as the column is before this step, so two
-    flagged rows in a row give the second one the first one's (unrepaired)
-    value, and a flagged first row becomes NULL.
-    """
-    return F.when(cond, previous(col, window)).otherwise(F.col(col))

@@ -28,6 +28,7 @@ from pyspark.sql import functions as F
 from gridtide.config import TelemetryConfig
 from gridtide.functions.time import floor_to_step, minutes, ntz
 from gridtide.functions.windows import bfill, later, newest_first, order_columns, previous, running, whole
+from gridtide.operators import chunks
 
 DEFAULT = TelemetryConfig()
 
@@ -285,10 +286,11 @@ def final_bfill(df: DataFrame, cfg: TelemetryConfig = DEFAULT) -> DataFrame:
     return df.withColumns({c: bfill(c, w) for c in fillable_columns(df, cfg)})
 
 
-def bfill_all(df: DataFrame, cfg: TelemetryConfig = DEFAULT) -> DataFrame:
-    """backward-fill every column but key and time within each device."""
-    w = newest_first([cfg.key], order_columns(df, cfg))
-    return df.withColumns({c: bfill(c, w) for c in df.columns if c not in (cfg.key, cfg.time)})
+def bfill_all(df: DataFrame, cfg: TelemetryConfig = DEFAULT, bounded: bool = False) -> DataFrame:
+    """backward-fill every column but key and time within each device; one too long for
+    a task is filled on two levels (:mod:`gridtide.operators.chunks`)."""
+    columns = [c for c in df.columns if c not in (cfg.key, cfg.time)]
+    return chunks.backward_fill(df, [cfg.key], order_columns(df, cfg), columns, chunks.device_bounds(df, cfg, bounded))
 
 
 # ---- F8 --------------------------------------------------------------------------------------

@@ -2,9 +2,11 @@
 
 Each step replaces a counter by its previous value within the device (one
 step back, reading the column as the previous step left it) and zeroes the
-matching delta. Steps are applied in the reference order; every read of the
-previous row uses
-the same device window, so the chain is one exchange and one sort.
+matching delta. Steps are applied in a fixed order; every read of the previous
+row uses the same device order, so the chain is one exchange and one sort. A
+device that is too long for one task is read in chunks, each with a halo of the
+rows before it (:mod:`gridtide.operators.chunks`); ``bounded`` says that the
+series are calendar-completed, so that no device can be.
 """
 
 from __future__ import annotations
@@ -15,7 +17,7 @@ from pyspark.sql import functions as F
 from gridtide import fixed
 from gridtide.config import TelemetryConfig
 from gridtide.functions.rules import has_error
-from gridtide.functions.windows import device_window, previous_if
+from gridtide.operators.chunks import previous_of_device
 
 DEFAULT = TelemetryConfig()
 
@@ -30,61 +32,64 @@ def _zero_if(cond, col: str):
     return F.when(cond, F.lit(0)).otherwise(F.col(col))
 
 
-def _repair(df: DataFrame, cfg: TelemetryConfig, cond, counter: str, zero_delta: bool = True) -> DataFrame:
-    w = device_window(df, cfg)
-    out = df.withColumn(counter, previous_if(cond, counter, w))
-    if zero_delta:
-        out = out.withColumn(cfg.delta(counter), _zero_if(cond, cfg.delta(counter)))
-    return out
+def _carry(df: DataFrame, cfg: TelemetryConfig, conds: dict, bounded: bool) -> DataFrame:
+    """Each column of ``conds`` takes the previous row's value where its condition holds (one step back only).
+
+    The previous value is read as the column is before this step, so two
+    flagged rows in a row give the second one the first one's (unrepaired)
+    value, and a flagged first row becomes NULL.
+    """
+    staged = previous_of_device(df, cfg, {"__prev": (1, list(conds))}, bounded)
+    prev = F.col("__prev")
+    return staged.withColumns({c: F.when(cond, prev.getField(c)).otherwise(F.col(c)) for c, cond in conds.items()}).drop("__prev")
+
 
+def _repair(df: DataFrame, cfg: TelemetryConfig, cond, counter: str, bounded: bool, zero_delta: bool = True) -> DataFrame:
+    out = _carry(df, cfg, {counter: cond}, bounded)
+    return out.withColumn(cfg.delta(counter), _zero_if(cond, cfg.delta(counter))) if zero_delta else out
 
-def fix_negative_deltas(df: DataFrame, cfg: TelemetryConfig = DEFAULT) -> DataFrame:
+
+def fix_negative_deltas(df: DataFrame, cfg: TelemetryConfig = DEFAULT, bounded: bool = False) -> DataFrame:
     """A counter whose delta is negative takes the previous value; negative deltas become 0."""
-    w = device_window(df, cfg)
-    out = df.withColumns({c: previous_if(F.col(cfg.delta(c)) < 0, c, w) for c in cfg.counters})
+    out = _carry(df, cfg, {c: F.col(cfg.delta(c)) < 0 for c in cfg.counters}, bounded)
     return out.withColumns({d: _zero_if(F.col(d) < 0, d) for d in cfg.deltas})
 
 
-def fix_pv_at_night(df: DataFrame, cfg: TelemetryConfig = DEFAULT) -> DataFrame:
+def fix_pv_at_night(df: DataFrame, cfg: TelemetryConfig = DEFAULT, bounded: bool = False) -> DataFrame:
     """PV generation flagged at night."""
-    return _repair(df, cfg, has_error(fixed.MSG_PV_AT_NIGHT), PV)
+    return _repair(df, cfg, has_error(fixed.MSG_PV_AT_NIGHT), PV, bounded)
 
 
-def fix_feed_in_with_consumption(df: DataFrame, cfg: TelemetryConfig = DEFAULT) -> DataFrame:
+def fix_feed_in_with_consumption(df: DataFrame, cfg: TelemetryConfig = DEFAULT, bounded: bool = False) -> DataFrame:
     """Feed-in flagged together with grid consumption."""
-    return _repair(df, cfg, has_error(fixed.MSG_FEED_IN_AND_CONSUME), FEED_IN)
+    return _repair(df, cfg, has_error(fixed.MSG_FEED_IN_AND_CONSUME), FEED_IN, bounded)
 
 
-def fix_capacity(df: DataFrame, cfg: TelemetryConfig = DEFAULT) -> DataFrame:
+def fix_capacity(df: DataFrame, cfg: TelemetryConfig = DEFAULT, bounded: bool = False) -> DataFrame:
     """C4: battery capacity out of range (the gauge has no delta)."""
-    return _repair(df, cfg, has_error(fixed.MSG_CAPACITY_RANGE), cfg.capacity, zero_delta=False)
+    return _repair(df, cfg, has_error(fixed.MSG_CAPACITY_RANGE), cfg.capacity, bounded, zero_delta=False)
 
 
-def fix_charge_and_discharge(df: DataFrame, cfg: TelemetryConfig = DEFAULT) -> DataFrame:
+def fix_charge_and_discharge(df: DataFrame, cfg: TelemetryConfig = DEFAULT, bounded: bool = False) -> DataFrame:
     """Charge and discharge together -- at night the charge is repaired, by
     day the discharge; ``Unknown`` time of day repairs neither."""
-    w = device_window(df, cfg)
     flagged = has_error(fixed.MSG_CHARGE_AND_DISCHARGE)
     night = flagged & (F.col(fixed.TIME_OF_DAY) == fixed.NIGHT)
     day = flagged & (F.col(fixed.TIME_OF_DAY) == fixed.DAY)
-    return df.withColumns(
-        {
-            CHARGE: previous_if(night, CHARGE, w),
-            cfg.delta(CHARGE): _zero_if(night, cfg.delta(CHARGE)),
-            DISCHARGE: previous_if(day, DISCHARGE, w),
-            cfg.delta(DISCHARGE): _zero_if(day, cfg.delta(DISCHARGE)),
-        }
+    out = _carry(df, cfg, {CHARGE: night, DISCHARGE: day}, bounded)
+    return out.withColumns(
+        {cfg.delta(CHARGE): _zero_if(night, cfg.delta(CHARGE)), cfg.delta(DISCHARGE): _zero_if(day, cfg.delta(DISCHARGE))}
     )
 
 
-def fix_discharge_without_use(df: DataFrame, cfg: TelemetryConfig = DEFAULT) -> DataFrame:
+def fix_discharge_without_use(df: DataFrame, cfg: TelemetryConfig = DEFAULT, bounded: bool = False) -> DataFrame:
     """Discharge with neither consumption nor feed-in."""
-    return _repair(df, cfg, has_error(fixed.MSG_DISCHARGE_NO_USE), DISCHARGE)
+    return _repair(df, cfg, has_error(fixed.MSG_DISCHARGE_NO_USE), DISCHARGE, bounded)
 
 
-def fix_grid_use_without_load(df: DataFrame, cfg: TelemetryConfig = DEFAULT) -> DataFrame:
+def fix_grid_use_without_load(df: DataFrame, cfg: TelemetryConfig = DEFAULT, bounded: bool = False) -> DataFrame:
     """Grid consumption with no house load."""
-    return _repair(df, cfg, has_error(fixed.MSG_GRID_NO_USE), CONSUME)
+    return _repair(df, cfg, has_error(fixed.MSG_GRID_NO_USE), CONSUME, bounded)
 
 
 RULE_REPAIRS = (
@@ -98,10 +103,10 @@ RULE_REPAIRS = (
 )
 
 
-def repair_rule_failures_stepwise(df: DataFrame, cfg: TelemetryConfig = DEFAULT) -> DataFrame:
+def repair_rule_failures_stepwise(df: DataFrame, cfg: TelemetryConfig = DEFAULT, bounded: bool = False) -> DataFrame:
     """C1 -> C7 applied one step (one window pass) after the other."""
     for step in RULE_REPAIRS:
-        df = step(df, cfg)
+        df = step(df, cfg, bounded)
     return df
 
 
@@ -130,7 +135,7 @@ def _repair_plan(cfg: TelemetryConfig) -> tuple[dict[str, list], dict[str, list]
 
 
 def repair_rule_failures(
-    df: DataFrame, cfg: TelemetryConfig = DEFAULT, previous_of: tuple[str, ...] = ()
+    df: DataFrame, cfg: TelemetryConfig = DEFAULT, previous_of: tuple[str, ...] = (), bounded: bool = False
 ) -> DataFrame:
     """C1 -> C7 in one window pass.
 
@@ -163,14 +168,9 @@ def repair_rule_failures(
     for c in previous_of:
         walk(c, len(carry[c]), 1)
     depth = max(j for _, j in needed)
-    w = device_window(df, cfg)
     back = {j: f"__back{j}" for j in range(1, depth + 1)}
-    staged = staged.withColumns(
-        {
-            back[j]: F.lead(F.struct(*[F.col(f) for f, jj in sorted(needed) if jj == j]), j).over(w)
-            for j in back
-        }
-    )
+    reads = {back[j]: (j, [f for f, jj in sorted(needed) if jj == j]) for j in back}
+    staged = previous_of_device(staged, cfg, reads, bounded)
 
     def at(name: str, j: int):
         return F.col(name) if j == 0 else F.col(back[j]).getField(name)
@@ -204,6 +204,7 @@ def clean_all(
     scope: str = "device",
     materialize: bool = True,
     exact: bool = False,
+    bounded: bool = False,
 ) -> DataFrame:
     """C1 -> C7, then outlier replacement (C8) on the configured columns.
 
@@ -213,5 +214,9 @@ def clean_all(
     """
     from gridtide.operators.outliers import replace_outliers
 
-    out = repair_rule_failures(df, cfg)
-    return replace_outliers(out, cfg, cfg.outlier_columns, cfg.iqr_multiplier, scope=scope, exact=exact, materialize=materialize)
+    # the repaired previous values are read in the same pass as the repairs
+    ready = cfg.outlier_columns if scope == "device" else ()
+    out = repair_rule_failures(df, cfg, previous_of=ready, bounded=bounded)
+    return replace_outliers(
+        out, cfg, cfg.outlier_columns, cfg.iqr_multiplier, scope=scope, exact=exact, materialize=materialize, previous_ready=bool(ready)
+    )

@@ -1,8 +1,8 @@
 """Per-interval deltas and labels.
 
-All windows are per device and share one spec, so the whole derivation is a
-single exchange on the device key (none at all when the input is already
-partitioned by device, as after calendar completion).
+The only window is the previous row of the device: one exchange on the device
+key (none at all when the input is already partitioned by device, as after
+calendar completion), or on (device, chunk) where a device is too long.
 """
 
 from __future__ import annotations
@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from gridtide import fixed
 from gridtide.config import TelemetryConfig
 from gridtide.functions import labels
-from gridtide.functions.windows import device_window, previous
+from gridtide.operators.chunks import previous_of_device
 
 DEFAULT = TelemetryConfig()
 
@@ -31,25 +31,17 @@ def sort_output(df: DataFrame, cfg: TelemetryConfig = DEFAULT) -> DataFrame:
     return df.orderBy(cfg.key, cfg.time, *[c for c in (cfg.tie,) if c in df.columns])
 
 
-def counter_deltas(df: DataFrame, cfg: TelemetryConfig = DEFAULT, counters=None, skew_safe: bool = False) -> DataFrame:
+def counter_deltas(df: DataFrame, cfg: TelemetryConfig = DEFAULT, counters=None, bounded: bool = False) -> DataFrame:
     """``Instantaneous_<c> = c - previous c`` within the device; NULL on the first row.
 
-    ``skew_safe`` reads the previous row through range partitions (see
-    :func:`gridtide.operators.outliers.keyed_previous`) so that a device
-    holding a large share of raw readings is split over many tasks; the
-    default device window is right for calendar-bounded series.
+    A device with more readings than a task should hold is read in chunks (see
+    :mod:`gridtide.operators.chunks`); ``bounded`` says that no device can have
+    (calendar-completed series) and saves the count.
     """
     counters = list(counters or cfg.counters)
-    if skew_safe:
-        from gridtide.operators.outliers import keyed_previous
-        from gridtide.functions.windows import order_columns
-
-        prev = keyed_previous(df, counters, [cfg.key], order_columns(df, cfg), prefix="__p_")
-        out = prev.withColumns({cfg.delta(c): F.col(c) - F.col(f"__p_{c}") for c in counters})
-        return out.drop(*[f"__p_{c}" for c in counters])
-    w = device_window(df, cfg)
-    # one struct read of the previous row instead of one offset frame per counter
-    prev = df.withColumn("__prev", previous(F.struct(*[F.col(c) for c in counters]), w))
+    if not counters:
+        return df
+    prev = previous_of_device(df, cfg, {"__prev": (1, counters)}, bounded)
     out = prev.withColumns({cfg.delta(c): F.col(c) - F.col("__prev").getField(c) for c in counters})
     return out.drop("__prev")
 
@@ -96,7 +88,7 @@ def add_time_of_day(df: DataFrame, cfg: TelemetryConfig = DEFAULT) -> DataFrame:
     return df.withColumn(fixed.TIME_OF_DAY, labels.time_of_day(fixed.SEASON, F.hour(cfg.time)))
 
 
-def derive_all(df: DataFrame, cfg: TelemetryConfig = DEFAULT, keep_tie: bool = False) -> DataFrame:
+def derive_all(df: DataFrame, cfg: TelemetryConfig = DEFAULT, keep_tie: bool = False, bounded: bool = False) -> DataFrame:
     """P1 -> W1 -> P8 -> D1 -> D2 -> D3 -> D4 -> D5.
 
     The deltas follow (time, tie); ``keep_tie`` keeps the tie column in the
@@ -104,7 +96,7 @@ def derive_all(df: DataFrame, cfg: TelemetryConfig = DEFAULT, keep_tie: bool = F
     a timestamp.
     """
     out = project_analysis_columns(df, cfg, keep_tie=True)
-    out = fill_null_deltas(counter_deltas(out, cfg), cfg)
+    out = fill_null_deltas(counter_deltas(out, cfg, bounded=bounded), cfg)
     if not keep_tie and cfg.tie not in (cfg.key, cfg.time, *cfg.counters, cfg.capacity, None):
         out = out.drop(cfg.tie)
     for step in (add_battery_behaviour, add_house_power, add_month, add_season, add_time_of_day):

@@ -19,13 +19,13 @@ from dataclasses import dataclass, replace
 from fractions import Fraction
 from math import ceil
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, FloatType
 
 from gridtide import fixed
 from gridtide.config import TelemetryConfig
-from gridtide.functions.windows import device_window, previous
+from gridtide.operators import chunks
 
 DEFAULT = TelemetryConfig()
 
@@ -33,7 +33,7 @@ DEFAULT = TelemetryConfig()
 def _check_names(columns) -> list[str]:
     columns = [columns] if isinstance(columns, str) else list(columns)
     if not all(isinstance(c, str) for c in columns):
-        raise ValueError("All column names should be strings.")
+        raise ValueError(f"columns must be given by their names, got {columns!r}")
     return columns
 
 
@@ -207,37 +207,23 @@ def keyed_previous(
     group in ``order`` (all rows when ``keys`` is empty), with no task holding
     a whole group.
 
-    Rows are range-partitioned on (keys, order): the sampled bounds split even
-    a group holding a third of the data, or a hot timestamp, over many tasks.
-    The partition ids are written once under the checkpoint folder.
-    The previous row is read within each range; the first row of a range takes
-    the last row of the previous non-empty range when it belongs to the same
-    group. The carry table has one row per range partition -- a size fixed by
-    ``partitions`` -- so it is broadcast.
+    All rows are cut into chunks of the order (keys, order) and shuffled once,
+    by chunk; the row before a chunk comes from a table with one row per chunk
+    (see :mod:`gridtide.operators.chunks`).
     """
-    spark = df.sparkSession
-    n = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    n = partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     keys, order, columns = list(keys), list(order), list(columns)
-    ranged = df.repartitionByRange(n, *keys, *order).withColumn("__pid", F.spark_partition_id())
-    # The range bounds come from sampling; two evaluations of the exchange over
-    # an input whose row order is not fixed (any shuffled input) may sample
-    # differently. Storing the partition ids once makes the in-range reads and
-    # the carry table agree by construction.
-    from gridtide.session import checkpoint_table
-
-    ranged = checkpoint_table(ranged, "ranges")
-    w = Window.partitionBy("__pid").orderBy(*keys, *order)
-    rec = F.struct(*[F.col(k).alias(f"k{i}") for i, k in enumerate(keys)], *[F.col(c) for c in columns])
-    lagged = ranged.withColumn("__lag", F.lag(rec).over(w)).withColumn("__first", F.row_number().over(w) == 1)
-    last = ranged.groupBy("__pid").agg(F.max_by(rec, F.struct(*keys, *order)).alias("__last"))
-    carry = last.select("__pid", F.lag("__last").over(Window.orderBy("__pid")).alias("__carry"))
-    out = lagged.join(F.broadcast(carry), "__pid", "left")
-    src = F.when(F.col("__first"), F.col("__carry")).otherwise(F.col("__lag"))
+    whole_order = [*keys, *[c for c in order if c not in keys]]
+    # a few chunks per partition, since chunks are dealt by hash
+    bounds = chunks.find_all_bounds(df, whole_order, 4 * n)
+    fields = list(dict.fromkeys([*keys, *columns]))
+    out = chunks.previous_rows(df, [], whole_order, {"__before": (1, fields)}, bounds)
+    before = F.col("__before")
     same = F.lit(True)
-    for i, k in enumerate(keys):
-        same = same & src.getField(f"k{i}").eqNullSafe(F.col(k))
-    out = out.withColumns({f"{prefix}{c}": F.when(src.isNotNull() & same, src.getField(c)) for c in columns})
-    return out.drop("__pid", "__first", "__carry", "__lag")
+    for k in keys:
+        same = same & before.getField(k).eqNullSafe(F.col(k))
+    same = before.isNotNull() & same
+    return out.withColumns({f"{prefix}{c}": F.when(same, before.getField(c)) for c in columns}).drop("__before")
 
 
 def global_previous(df: DataFrame, columns: Sequence[str], order: Sequence[str], partitions: int | None = None) -> DataFrame:
@@ -257,7 +243,7 @@ def replace_outliers(
     global_order: Sequence[str] | None = None,
     materialize: bool = False,
     previous_ready: bool = False,
-    skew_safe: bool = False,
+    bounded: bool = False,
 ) -> DataFrame:
     """A value outside ``[q1 - m*iqr, q3 + m*iqr]`` takes the previous value.
 
@@ -265,10 +251,8 @@ def replace_outliers(
     value within the device; ``scope='global'`` the previous row over all
     devices in (time, key, tie) order, as the reference's unpartitioned lag.
     Only the tested column changes. ``previous_ready`` means the input already
-    carries ``__prev_<c>`` columns (e.g. from the fused repair pass);
-    ``skew_safe`` reads the device's previous value with
-    :func:`keyed_previous` instead of a device window (for raw readings where
-    one device may hold a large share of the rows).
+    carries ``__prev_<c>`` columns (e.g. from the fused repair pass). A device
+    too long for one task is read in chunks, unless ``bounded`` says that none can be.
 
     The previous values are computed first (in the same window pass as any
     upstream per-device step). With ``materialize`` the rows are then written
@@ -283,12 +267,9 @@ def replace_outliers(
     prev_cols = {c: f"__prev_{c}" for c in columns}
     if previous_ready:
         staged = df
-    elif scope == "device" and skew_safe:
-        order = [o for o in (cfg.time, cfg.tie) if o and o in df.columns]
-        staged = keyed_previous(df, columns, [cfg.key], order)
     elif scope == "device":
-        w = device_window(df, cfg)
-        staged = df.withColumns({p: previous(c, w) for c, p in prev_cols.items()})
+        read = chunks.previous_of_device(df, cfg, {"__before": (1, columns)}, bounded)
+        staged = read.withColumns({p: F.col("__before").getField(c) for c, p in prev_cols.items()}).drop("__before")
     elif scope == "global":
         order = list(global_order or [o for o in (cfg.time, cfg.key, cfg.tie) if o and o in df.columns])
         staged = global_previous(df, columns, order)

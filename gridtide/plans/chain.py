@@ -41,10 +41,10 @@ def run_chain(
     df, quarantined = quality.quarantine(nan_to_null(raw), cfg)
     valid, failed = quality.generic_validation(df, cfg)
     full = calendar.complete_series(valid, cfg)
-    derived = derive.derive_all(full, cfg)
+    derived = derive.derive_all(full, cfg, bounded=True)
     checked = validate.validate_rows(derived, cfg)
     fused_previous = cfg.outlier_columns if scope == "device" else ()
-    repaired = cleanse.repair_rule_failures(checked, cfg, previous_of=fused_previous)
+    repaired = cleanse.repair_rule_failures(checked, cfg, previous_of=fused_previous, bounded=True)
     cleaned = replace_outliers(
         repaired,
         cfg,
@@ -55,6 +55,7 @@ def run_chain(
         exact=exact,
         materialize=materialize,
         previous_ready=bool(fused_previous),
+        bounded=True,
     )
     return ChainResult(cleaned=cleaned, failed=failed, quarantined=quarantined)
 
