@@ -17,7 +17,7 @@ import pyarrow.compute as pc
 
 from gridtide.llm import pieces, util
 
-BLOCK_CHARS = 64_000_000
+BLOCK_CHARS = 32_000_000
 BLOCK_WORDS = 1_500_000
 _codec = pa.Codec("zstd", compression_level=1)
 _WIDE = 0xFFFF
@@ -68,14 +68,15 @@ class Block:
         """(pieces, the most frequent first; numbers of all pieces in reading order; how many each document has)."""
         counts = np.concatenate(self.counts) if self.counts else np.zeros(0, np.int64)
         if not self.words:
-            return pa.array([], pa.string()), np.zeros(0, np.int64), counts
+            return pa.array([], pa.string()), np.zeros(0, np.int32), counts
         merged = pa.concat_arrays(self.words).dictionary_encode()
         same = np.split(merged.indices.to_numpy(), np.cumsum([len(w) for w in self.words])[:-1])
         flat = np.concatenate([s[i] for s, i in zip(same, self.index, strict=True)])
+        self.index = []
         often = np.bincount(flat, minlength=len(merged.dictionary))
         order = np.argsort(-often, kind="stable")
-        number = np.empty(len(order), np.int64)
-        number[order] = np.arange(len(order))
+        number = np.empty(len(order), np.int32)
+        number[order] = np.arange(len(order), dtype=np.int32)
         used = int((often > 0).sum())  # the separator between texts is no piece
         return merged.dictionary.take(pa.array(order[:used])), number[flat], counts
 

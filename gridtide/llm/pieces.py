@@ -18,7 +18,7 @@ import numpy as np
 import pyarrow as pa
 
 #: Characters handled at once; a longer text is cut between two plain words.
-BATCH_CHARS = 4_000_000
+BATCH_CHARS = 2_000_000
 _END, _LETTER, _NUMBER, _OTHER, _SPACE = range(5)
 #: The endings that the split pattern takes together with their apostrophe.
 SHORT_ENDINGS = ("s", "t", "m", "d")
@@ -36,12 +36,14 @@ def library_classes() -> np.ndarray:
     """
     import tiktoken
 
-    every = "".join(chr(c) for c in range(0x110000) if not 0xD800 <= c < 0xE000)
     single = {bytes([b]): b for b in range(256)}
     out = np.full(0x110000, _OTHER, np.uint8)
     for pattern, kind in ((r"\p{L}", _LETTER), (r"\p{N}", _NUMBER), (r"\s", _SPACE)):
         library = tiktoken.Encoding("classes", pat_str=pattern, mergeable_ranks=single, special_tokens={})
-        out[np.frombuffer(bytes(library.encode_ordinary(every)).decode().encode("utf-32-le"), "<u4")] = kind
+        for first in range(0, 0x110000, 0x1000):
+            some = "".join(chr(c) for c in range(first, first + 0x1000) if not 0xD800 <= c < 0xE000)
+            found = bytes(library.encode_ordinary(some)).decode()
+            out[np.frombuffer(found.encode("utf-32-le"), "<u4")] = kind
     return out
 
 
@@ -91,8 +93,10 @@ def _byte_places(text: str, points: np.ndarray, places: np.ndarray) -> np.ndarra
     """Byte offsets (UTF-8) of places among the code points."""
     if text.isascii():
         return places
-    wide = (points >= 0x80).astype(np.int64) + (points >= 0x800) + (points >= 0x10000)
-    return places + np.concatenate(([0], np.cumsum(wide)))[places]
+    wide = np.zeros(len(points) + 1, np.int32 if len(points) < 1 << 29 else np.int64)
+    for least in (0x80, 0x800, 0x10000):
+        wide[1:] += points >= least
+    return places + np.cumsum(wide, out=wide)[places]
 
 
 def _encoded(data: bytes, starts: np.ndarray, ends_at: np.ndarray) -> Cut:

@@ -14,9 +14,9 @@ is a hot key. A task holds one block's ids at most. The vocabulary (its size is
 fixed by its file) is the only thing broadcast.
 
 The texts are read twice, for the words and for the positions. Each block
-carries a digest of its words: if the second reading deals the documents
-otherwise (an input whose order isn't fixed), the task fails with a message and
-never joins wrong words; store such an input first.
+is named by a hash of its words: if the second reading deals the documents
+otherwise (an input whose order isn't fixed), they find no words and the task
+fails with a message; store such an input first.
 
 Defined results: a null text is an empty text (no ids, empty bytes); an empty
 table gives an empty table; extra columns of any name are passed through, and a
@@ -39,8 +39,9 @@ from pyspark.sql.pandas.types import to_arrow_type
 
 from gridtide.llm import blocks, pieces, util
 
-#: Tokens that are put together at once.
-_TOKENS = 2_000_000
+#: Tokens that are put together at once, words of the documents whose positions are packed together, words sent at once.
+_TOKENS = 500_000
+_GROUP = 20_000
 _ROWS = 20_000
 
 
@@ -57,16 +58,20 @@ class Words:
         import tiktoken
 
         self.library = tiktoken.Encoding("words", pat_str=r"(?s).+", mergeable_ranks=ranks, special_tokens={})
-        self.kind = "<u2" if max(ranks.values(), default=0) <= 0xFFFF else "<u4"
+        self.kind = self.kind_of(ranks)
+
+    @staticmethod
+    def kind_of(ranks: dict[bytes, int]) -> str:
+        return "<u2" if max(ranks.values(), default=0) <= 0xFFFF else "<u4"
 
     def __call__(self, word: str) -> bytes:
         return np.array(self.library.encode_ordinary(word), self.kind).tobytes()
 
 
-def _digest(words: pa.Array) -> int:
-    """Of the words and their order (``words`` is a whole array of its own)."""
+def _name(block: blocks.Block, seq: int, words: pa.Array) -> int:
+    """A block's name: a hash of its place, its words and their order (``words`` is a whole array of its own)."""
     sizes = pc.binary_length(words).to_numpy()
-    h = xxhash.xxh64(sizes.tobytes(), seed=len(words))
+    h = xxhash.xxh64(sizes.tobytes(), seed=block.part << 24 | seq)
     if len(sizes):
         h.update(memoryview(words.buffers()[2])[: int(sizes.sum())])
     return h.intdigest() >> 1
@@ -75,35 +80,36 @@ def _digest(words: pa.Array) -> int:
 def _words(batches):
     for seq, block in enumerate(blocks.blocks(batches, pieces.cut, rows=None)):
         words, _, _ = block.numbered()
-        place, digest = block.part << 24 | seq, _digest(words)
+        name = _name(block, seq, words)
         for at in range(0, len(words), _ROWS):
             some = words.slice(at, _ROWS)
             n = len(some)
             yield pa.RecordBatch.from_arrays(
-                [
-                    pa.array(np.full(n, place)), pa.array(np.full(n, digest)),
-                    pa.array(np.arange(at, at + n), pa.int32()), some,
-                ],
-                names=["block", "digest", "no", "word"],
-            )
+                [pa.array(np.full(n, name)), pa.array(np.arange(at, at + n), pa.int32()), some], names=["block", "no", "word"]
+            )
 
 
 def _positions(batches):
+    """A row per document with its number of words; the first of each group of documents holds the group's positions."""
     for seq, block in enumerate(blocks.blocks(batches, pieces.cut)):
         words, numbers, counts = block.numbered()
-        place, digest = block.part << 24 | seq, _digest(words)
+        name = _name(block, seq, words)
         rows = pa.concat_arrays(block.rows)
         ends = np.cumsum(counts)
+        groups = np.searchsorted(ends - counts, np.arange(0, int(ends[-1]) + _GROUP, _GROUP))
+        first, held = np.unique(groups[groups < len(counts)]), {}
+        for a, b in zip(first.tolist(), [*first[1:].tolist(), len(counts)], strict=True):
+            held[a] = blocks.pack(numbers[ends[a] - counts[a] : ends[b - 1]])
         for at in range(0, len(counts), 2000):
-            packed = [
-                blocks.pack(numbers[b - n : b])
-                for n, b in zip(counts[at : at + 2000].tolist(), ends[at : at + 2000].tolist(), strict=True)
-            ]
-            n = len(packed)
+            n = min(2000, len(counts) - at)
             yield pa.RecordBatch.from_arrays(
-                [pa.array(np.full(n, place)), pa.array(np.full(n, digest)), pa.array(packed, pa.binary()), rows.slice(at, n)],
-                names=["block", "digest", "places", "row"],
-            )
+                [
+                    pa.array(np.full(n, name)), pa.array(np.arange(at, at + n) + len(words), pa.int32()),
+                    pa.array([held.get(i) for i in range(at, at + n)], pa.binary()),
+                    pa.array(counts[at : at + n], pa.int32()), rows.slice(at, n),
+                ],
+                names=["block", "no", "data", "n", "row"],
+            )
 
 
 def encode(docs: DataFrame, ranks_path: str, text: str = "text", ids: str = "ids") -> DataFrame:
@@ -128,79 +134,77 @@ def encode(docs: DataFrame, ranks_path: str, text: str = "text", ids: str = "ids
                     last, found = word, word_ids(word)
                 out.append(found)
             yield pa.RecordBatch.from_arrays(
-                [batch.column("block"), batch.column("digest"), batch.column("no"), pa.array(out, pa.binary())],
-                names=["block", "digest", "no", "ids"],
+                [batch.column("block"), batch.column("no"), pa.array(out, pa.binary())], names=["block", "no", "data"]
             )
 
     # both readings take the same columns, so that they get the same batches
-    words = source.mapInArrow(_words, "block long, digest long, no int, word string")
-    known = words.repartition("word").sortWithinPartitions("word").mapInArrow(
-        merge, "block long, digest long, no int, ids binary"
-    )
-    positions = source.mapInArrow(
-        _positions,
-        T.StructType(
-            [
-                T.StructField("block", T.LongType()), T.StructField("digest", T.LongType()),
-                T.StructField("places", T.BinaryType()), T.StructField("row", row_type),
-            ]
-        ),
-    )
+    words = source.mapInArrow(_words, "block long, no int, word string")
+    known = words.repartition("word").sortWithinPartitions("word").mapInArrow(merge, "block long, no int, data binary")
+    fields = {"block": T.LongType(), "no": T.IntegerType(), "data": T.BinaryType(), "n": T.IntegerType(), "row": row_type}
+    positions = source.mapInArrow(_positions, T.StructType([T.StructField(c, kind) for c, kind in fields.items()]))
     both = known.unionByName(positions, allowMissingColumns=True)
     # a block's words come in the order of their numbers, then its documents
-    together = both.repartition("block").sortWithinPartitions("block", F.asc_nulls_last("no"))
+    together = both.repartition("block").sortWithinPartitions("block", "no")
     out = T.StructType([T.StructField("row", row_type), T.StructField("ids", T.BinaryType())])
     row_kind = to_arrow_type(row_type)
 
     def fill(batches):
-        kind = Words(vocabulary.value).kind
-        block = digest = None
-        pending: list[bytes] = []
-        flat = starts = sizes = None
+        kind = Words.kind_of(vocabulary.value)
+        block, pending, filled = None, [], None
         for batch in batches:
             at = 0
-            places = batch.column("block").to_numpy()
-            is_word = np.asarray(batch.column("no").is_valid())
+            names = batch.column("block").to_numpy()
+            is_word = ~np.asarray(batch.column("n").is_valid())
             while at < batch.num_rows:
-                end = at + int(np.argmax(np.append((places[at:] != places[at]) | (is_word[at:] != is_word[at]), True)))
+                end = at + int(np.argmax(np.append((names[at:] != names[at]) | (is_word[at:] != is_word[at]), True)))
                 some = batch.slice(at, end - at)
-                if places[at] != block:
-                    block, digest, pending, flat = places[at], some.column("digest")[0].as_py(), [], None
-                if (some.column("digest").to_numpy() != digest).any():
-                    raise RuntimeError("the documents came in another order when they were read again: store them first")
+                if names[at] != block:
+                    block, pending, filled = names[at], [], None
                 if is_word[at]:
-                    pending += some.column("ids").to_pylist()
+                    pending += some.column("data").to_pylist()
                 else:
-                    if flat is None:
-                        sizes = np.fromiter(map(len, pending), np.int64, len(pending)) // np.dtype(kind).itemsize
-                        starts, flat = np.cumsum(sizes) - sizes, np.frombuffer(b"".join(pending), kind).astype("<u4")
-                        pending = []
-                    yield from _filled(some, flat, starts, sizes, row_kind)
+                    if filled is None:
+                        filled, pending = _Block(pending, kind), []
+                    yield from filled.documents(some, row_kind)
                 at = end
 
     filled = together.mapInArrow(fill, out)
     return filled.select(*[F.col("row").getField(c).alias(c) for c in kept], F.col("ids").alias(ids))
 
 
-def _filled(some, flat, starts, sizes, row_kind):
-    """The documents' ids: their words' ids by position."""
-    packed = some.column("places").to_pylist()
-    rows = some.column("row")
-    at = 0
-    while at < len(packed):
-        numbers, held, end = [], 0, at
-        while end < len(packed) and (held < _TOKENS or end == at):
-            numbers.append(blocks.unpack(packed[end]))
-            held += len(numbers[-1])
-            end += 1
-        chosen = np.concatenate(numbers)
-        places, each = pieces.gather(starts, sizes, chosen)
-        data = flat[places].tobytes()
-        tokens = pieces.total(each, np.fromiter(map(len, numbers), np.int64, len(numbers)))
-        stops = (np.cumsum(tokens) * 4).tolist()
-        made = [data[a:b] for a, b in zip([0, *stops], stops, strict=False)]
-        yield pa.RecordBatch.from_arrays([rows.slice(at, end - at).cast(row_kind), pa.array(made, pa.binary())], names=["row", "ids"])
-        at = end
+class _Block:
+    """The ids of a block's words, and the positions that are still to be filled."""
+
+    def __init__(self, words: list[bytes], kind: str):
+        self.sizes = np.fromiter(map(len, words), np.int64, len(words)) // np.dtype(kind).itemsize
+        self.starts = np.cumsum(self.sizes) - self.sizes
+        self.flat = np.frombuffer(b"".join(words), kind)
+        self.ids, self.at = b"", 0
+
+    def _group(self, packed: bytes) -> None:
+        """Ids of a group of documents, and where each word of them ends."""
+        numbers = blocks.unpack(packed)
+        if len(numbers) and (not len(self.sizes) or int(numbers.max()) >= len(self.sizes)):
+            raise RuntimeError("the documents came in another order when they were read again: store them first")
+        places, each = pieces.gather(self.starts, self.sizes, numbers)
+        self.ids, self.at = self.flat[places].astype("<u4").tobytes(), 0
+        self.ends = np.concatenate(([0], np.cumsum(each)))
+
+    def documents(self, some: pa.RecordBatch, row_kind):
+        rows, made, size, first = some.column("row"), [], 0, 0
+        packed, counts = some.column("data").to_pylist(), some.column("n").to_pylist()
+        for i, (data, n) in enumerate(zip(packed, counts, strict=True)):
+            if data is not None:
+                self._group(data)
+            a, b = self.ends[self.at], self.ends[self.at + n]
+            made.append(self.ids[a * 4 : b * 4])
+            self.at += n
+            size += int(b - a)
+            if size >= _TOKENS or i + 1 == len(counts):
+                yield pa.RecordBatch.from_arrays(
+                    [rows.slice(first, len(made)).cast(row_kind), pa.array(made, pa.binary())], names=["row", "ids"]
+                )
+                made, size, first = [], 0, i + 1
 
 
 def _bytes(tokens: pa.Array) -> bytes:
