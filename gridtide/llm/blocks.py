@@ -9,6 +9,8 @@ shuffle key has more rows than there are blocks.
 
 from __future__ import annotations
 
+import ctypes
+import gc
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -21,6 +23,10 @@ BLOCK_CHARS = 32_000_000
 BLOCK_WORDS = 1_500_000
 _codec = pa.Codec("zstd", compression_level=1)
 _WIDE = 0xFFFF
+try:
+    _libc = ctypes.CDLL("libc.so.6")
+except OSError:  # another C library
+    _libc = None
 
 
 def pack(numbers: np.ndarray) -> bytes:
@@ -40,6 +46,25 @@ def unpack(data: bytes) -> np.ndarray:
     return out
 
 
+def pack_all(*arrays: np.ndarray) -> bytes:
+    """Several arrays, one behind the other."""
+    packed = [pack(a) for a in arrays]
+    return np.array([len(p) for p in packed], "<u4").tobytes() + b"".join(packed)
+
+
+def unpack_all(data: bytes, n: int) -> list[np.ndarray]:
+    ends = np.cumsum(np.frombuffer(data, "<u4", n)) + 4 * n
+    return [unpack(data[a:b]) for a, b in zip([4 * n, *ends.tolist()], ends.tolist(), strict=False)]
+
+
+def give_back() -> None:
+    """Return freed memory to the machine: a worker lives on, and others need it."""
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    if _libc is not None:
+        _libc.malloc_trim(0)
+
+
 class Block:
     """The pieces of some documents."""
 
@@ -94,5 +119,8 @@ def blocks(
             if block.chars >= BLOCK_CHARS or block.held >= BLOCK_WORDS:
                 yield block
                 block = Block(cut)
+                give_back()
     if block.counts:
         yield block
+    del block
+    give_back()

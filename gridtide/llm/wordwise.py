@@ -39,10 +39,13 @@ from pyspark.sql.pandas.types import to_arrow_type
 
 from gridtide.llm import blocks, pieces, util
 
-#: Tokens that are put together at once, words of the documents whose positions are packed together, words sent at once.
+#: Tokens that are put together at once.
 _TOKENS = 500_000
+#: Words of the documents whose positions are packed together.
 _GROUP = 20_000
+#: Words that leave a task as one batch, before the shuffle by word and behind it.
 _ROWS = 20_000
+_SENT = 300_000
 
 
 def read_ranks(path: str) -> dict[bytes, int]:
@@ -58,14 +61,9 @@ class Words:
         import tiktoken
 
         self.library = tiktoken.Encoding("words", pat_str=r"(?s).+", mergeable_ranks=ranks, special_tokens={})
-        self.kind = self.kind_of(ranks)
 
-    @staticmethod
-    def kind_of(ranks: dict[bytes, int]) -> str:
-        return "<u2" if max(ranks.values(), default=0) <= 0xFFFF else "<u4"
-
-    def __call__(self, word: str) -> bytes:
-        return np.array(self.library.encode_ordinary(word), self.kind).tobytes()
+    def __call__(self, word: str) -> np.ndarray:
+        return np.array(self.library.encode_ordinary(word), np.uint32)
 
 
 def _name(block: blocks.Block, seq: int, words: pa.Array) -> int:
@@ -125,7 +123,7 @@ def encode(docs: DataFrame, ranks_path: str, text: str = "text", ids: str = "ids
 
     def merge(batches):
         word_ids = Words(vocabulary.value)
-        last, found = None, b""
+        last, found, held = None, None, []
         for batch in batches:
             out = []
             # equal words stand together: a word is encoded when its run begins
@@ -133,23 +131,26 @@ def encode(docs: DataFrame, ranks_path: str, text: str = "text", ids: str = "ids
                 if word != last:
                     last, found = word, word_ids(word)
                 out.append(found)
-            yield pa.RecordBatch.from_arrays(
-                [batch.column("block"), batch.column("no"), pa.array(out, pa.binary())], names=["block", "no", "data"]
-            )
+            held.append((batch.column("block").to_numpy(), batch.column("no").to_numpy(), out))
+            if sum(len(x) for _, _, x in held) >= _SENT:
+                yield _sent(held)
+                held = []
+        if held:
+            yield _sent(held)
+        blocks.give_back()
 
     # both readings take the same columns, so that they get the same batches
     words = source.mapInArrow(_words, "block long, no int, word string")
-    known = words.repartition("word").sortWithinPartitions("word").mapInArrow(merge, "block long, no int, data binary")
+    known = words.repartition("word").sortWithinPartitions("word").mapInArrow(merge, "block long, data binary")
     fields = {"block": T.LongType(), "no": T.IntegerType(), "data": T.BinaryType(), "n": T.IntegerType(), "row": row_type}
     positions = source.mapInArrow(_positions, T.StructType([T.StructField(c, kind) for c, kind in fields.items()]))
     both = known.unionByName(positions, allowMissingColumns=True)
-    # a block's words come in the order of their numbers, then its documents
+    # a block's words come first, then its documents in order
     together = both.repartition("block").sortWithinPartitions("block", "no")
     out = T.StructType([T.StructField("row", row_type), T.StructField("ids", T.BinaryType())])
     row_kind = to_arrow_type(row_type)
 
     def fill(batches):
-        kind = Words.kind_of(vocabulary.value)
         block, pending, filled = None, [], None
         for batch in batches:
             at = 0
@@ -160,11 +161,12 @@ def encode(docs: DataFrame, ranks_path: str, text: str = "text", ids: str = "ids
                 some = batch.slice(at, end - at)
                 if names[at] != block:
                     block, pending, filled = names[at], [], None
+                    blocks.give_back()
                 if is_word[at]:
                     pending += some.column("data").to_pylist()
                 else:
                     if filled is None:
-                        filled, pending = _Block(pending, kind), []
+                        filled, pending = _Block(pending), []
                     yield from filled.documents(some, row_kind)
                 at = end
 
@@ -172,13 +174,31 @@ def encode(docs: DataFrame, ranks_path: str, text: str = "text", ids: str = "ids
     return filled.select(*[F.col("row").getField(c).alias(c) for c in kept], F.col("ids").alias(ids))
 
 
+def _sent(held) -> pa.RecordBatch:
+    """Ids of words on their way to their blocks: a row per block, its words by number (steps, sizes, ids)."""
+    names, numbers = (np.concatenate([h[i] for h in held]) for i in (0, 1))
+    ids = [x for _, _, out in held for x in out]
+    sizes = np.fromiter(map(len, ids), np.int64, len(ids))
+    flat, starts = np.concatenate(ids), np.cumsum(sizes) - sizes
+    order = np.lexsort((numbers, names))
+    names, numbers = names[order], numbers[order]
+    first = np.flatnonzero(np.append(True, names[1:] != names[:-1])).tolist()
+    made = []
+    for a, b in zip(first, [*first[1:], len(names)], strict=True):
+        places, each = pieces.gather(starts, sizes, order[a:b])
+        made.append(blocks.pack_all(np.diff(numbers[a:b], prepend=0), each, flat[places]))
+    return pa.RecordBatch.from_arrays([pa.array(names[first]), pa.array(made, pa.binary())], names=["block", "data"])
+
+
 class _Block:
     """The ids of a block's words, and the positions that are still to be filled."""
 
-    def __init__(self, words: list[bytes], kind: str):
-        self.sizes = np.fromiter(map(len, words), np.int64, len(words)) // np.dtype(kind).itemsize
-        self.starts = np.cumsum(self.sizes) - self.sizes
-        self.flat = np.frombuffer(b"".join(words), kind)
+    def __init__(self, words: list[bytes]):
+        none = [np.zeros(0, np.uint32)] * 3
+        steps, sizes, ids = zip(none, *[blocks.unpack_all(x, 3) for x in words], strict=True)
+        numbers, sizes, self.flat = np.concatenate([np.cumsum(x) for x in steps]), np.concatenate(sizes), np.concatenate(ids)
+        self.sizes, self.starts = np.zeros(len(numbers), np.int64), np.zeros(len(numbers), np.int64)
+        self.sizes[numbers], self.starts[numbers] = sizes, np.cumsum(sizes, dtype=np.int64) - sizes
         self.ids, self.at = b"", 0
 
     def _group(self, packed: bytes) -> None:
@@ -187,7 +207,7 @@ class _Block:
         if len(numbers) and (not len(self.sizes) or int(numbers.max()) >= len(self.sizes)):
             raise RuntimeError("the documents came in another order when they were read again: store them first")
         places, each = pieces.gather(self.starts, self.sizes, numbers)
-        self.ids, self.at = self.flat[places].astype("<u4").tobytes(), 0
+        self.ids, self.at = self.flat[places].tobytes(), 0
         self.ends = np.concatenate(([0], np.cumsum(each)))
 
     def documents(self, some: pa.RecordBatch, row_kind):

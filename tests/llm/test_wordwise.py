@@ -104,7 +104,7 @@ def test_empty_table(spark):
 
 def test_words_of_another_order_are_never_joined():
     """Documents whose block is not the one the words came from find no words: an error, not wrong ids."""
-    block = wordwise._Block([], "<u2")
+    block = wordwise._Block([])
     with pytest.raises(RuntimeError, match="store them first"):
         block._group(blocks.pack(np.array([0, 1])))
     block._group(blocks.pack(np.array([], np.int64)))
