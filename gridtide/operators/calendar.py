@@ -2,11 +2,15 @@
 
 Plan shape, per device and without any join:
 
-1. ``keep_first_per_slot`` floors times to the step and keeps the earliest
-   reading per (device, slot) with ``min_by`` -- an aggregate, so duplicate
-   copies are combined map-side before the shuffle and a hot group of copies
-   never lands whole in one task. After it a device holds at most one row per
-   slot, which bounds every later per-device window by the calendar length.
+1. One exchange by (device, slot): times are floored to the step and the
+   earliest reading of each slot is kept by its rank. The rank limit is applied
+   before the shuffle as well, so a hot group of copies leaves its tasks as one
+   row each, and no row is compared as a whole. Readings outside the calendar
+   share one slot, so that of years of history only a row per device and task
+   is shuffled -- enough to know the device. After it a device holds at most
+   one row per slot, which bounds every later per-device window by the calendar
+   length. From raw readings (``raw=True``) the generic checks run in the same
+   exchange, on the same sorted rows.
 2. ``complete_calendar`` hash-partitions by device once; each reading emits
    its own slot plus the empty slots up to the next reading (``lead`` +
    ``explode`` of ``sequence``), the first reading also the slots from the
@@ -28,7 +32,7 @@ from pyspark.sql import functions as F
 from gridtide.config import TelemetryConfig
 from gridtide.functions.time import floor_to_step, minutes, ntz
 from gridtide.functions.windows import bfill, later, newest_first, order_columns, previous, running, whole
-from gridtide.operators import chunks
+from gridtide.operators import chunks, quality
 
 DEFAULT = TelemetryConfig()
 
@@ -65,22 +69,64 @@ def _w(cfg: TelemetryConfig):
 
 
 # ---- F1 / A4 -------------------------------------------------------------------------------
+def _first_per_slot(df: DataFrame, cfg: TelemetryConfig, slot: Column) -> DataFrame:
+    """One row per (device, ``slot``), the earliest, with the slot as its time."""
+    taken = df.withColumn("__slot", slot)
+    order = [F.col(c).asc_nulls_first() for c in order_columns(df, cfg)]
+    rank = F.row_number().over(Window.partitionBy(cfg.key, "__slot").orderBy(*order))
+    kept = taken.withColumn("__rank", rank).where(F.col("__rank") == 1)
+    return kept.select(*[F.col("__slot").alias(c) if c == cfg.time else F.col(c) for c in df.columns])
+
+
 def keep_first_per_slot(df: DataFrame, cfg: TelemetryConfig = DEFAULT) -> DataFrame:
     """F1 + A4: floor the time to the step, keep the first reading per (device, slot).
 
     "First" is the earliest original time, then the tie column. Rows with a
     NULL time form their own group and keep a NULL time.
     """
-    order = [cfg.time] + ([cfg.tie] if cfg.tie and cfg.tie in df.columns else [])
-    rest = [c for c in df.columns if c not in (cfg.key,)]
-    slot = "__slot"
-    grouped = df.withColumn(slot, floor_to_step(cfg.time, cfg.step_minutes)).groupBy(cfg.key, slot)
-    kept = grouped.agg(F.min_by(F.struct(*rest), F.struct(*order)).alias("__r"))
-    return kept.select(
-        cfg.key,
-        F.col(slot).alias(cfg.time),
-        *[F.col("__r").getField(c).alias(c) for c in rest if c != cfg.time],
-    ).select(*df.columns)
+    return _first_per_slot(df, cfg, floor_to_step(cfg.time, cfg.step_minutes))
+
+
+def _bounds(cfg: TelemetryConfig) -> tuple[Column, Column]:
+    return ntz(cfg.start.isoformat(sep=" ")), ntz(cfg.end.isoformat(sep=" "))
+
+
+def _calendar_slot(cfg: TelemetryConfig) -> Column:
+    """The reading's slot; NULL outside the calendar and for a NULL time."""
+    slot = floor_to_step(cfg.time, cfg.step_minutes)
+    return F.when(slot.between(*_bounds(cfg)), slot)
+
+
+def valid_slots(raw: DataFrame, cfg: TelemetryConfig = DEFAULT, partitions: int | None = None) -> DataFrame:
+    """V17 and F1 in one exchange of the rows: the first valid reading of each slot of the calendar,
+    and a row without a time for each device whose valid readings are not all there.
+
+    Valid readings are those of :func:`gridtide.operators.quality.generic_validation`: the
+    device has rows enough, and no other reading has its device and time. Equal
+    times share a slot, so the copies and the slot are read off one sorted run.
+    The rows come hash-partitioned by device into ``partitions``, the layout of
+    the calendar; the devices with too few rows leave there, without a further
+    exchange of the readings.
+    """
+    k, t = cfg.key, cfg.time
+    n = partitions or int(raw.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    counts = raw.groupBy(k).agg(F.count(F.lit(1)).alias("__rows"))
+    thin = counts.where(F.col("__rows") < F.lit(cfg.rejection_threshold)).select(k)
+    df = quality.without_proven_copies(raw, cfg).withColumn("__slot", _calendar_slot(cfg))
+    slot = Window.partitionBy(k, "__slot")
+    single = F.count(F.lit(1)).over(Window.partitionBy(k, "__slot", t)) == 1
+    inside = df.where(F.col("__slot").isNotNull()).repartition(n, k, "__slot")
+    inside = inside.withColumn("__single", single | F.col(k).isNull())
+    order = [F.desc("__single"), *[F.col(c).asc_nulls_first() for c in order_columns(raw, cfg)]]
+    inside = inside.withColumn("__rank", F.row_number().over(slot.orderBy(*order))).where(F.col("__single") & (F.col("__rank") == 1))
+    inside = inside.select(*[F.col("__slot").alias(c) if c == t else F.col(c) for c in raw.columns])
+    # outside the calendar only the device counts: two narrow aggregates
+    outside = df.where(F.col("__slot").isNull()).groupBy(k, t).agg(F.count(F.lit(1)).alias("__n"))
+    others = outside.where((F.col("__n") == 1) | F.col(k).isNull() | F.col(t).isNull()).select(k).distinct()
+    both = inside.unionByName(others, allowMissingColumns=True).select(*raw.columns).repartition(n, k)
+    # an outer join stays above the repartition, whose layout it shares
+    marked = both.join(thin.withColumn("__thin", F.lit(True)), k, "left")
+    return marked.where(F.col("__thin").isNull()).select(*raw.columns)
 
 
 # ---- F2 / J3 -------------------------------------------------------------------------------
@@ -101,12 +147,17 @@ def complete_calendar(
     return _expand(df, cfg, deduplicate, partitions, device_flags=False)
 
 
-def _expand(df, cfg, deduplicate=True, partitions=None, device_flags=False) -> DataFrame:
-    if deduplicate:
-        df = keep_first_per_slot(df, cfg)
+def _expand(df, cfg, deduplicate=True, partitions=None, device_flags=False, raw=False) -> DataFrame:
     n = partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    df = df.repartition(n, cfg.key)
-    start, end, step = ntz(cfg.start.isoformat(sep=" ")), ntz(cfg.end.isoformat(sep=" ")), minutes(cfg.step_minutes)
+    if raw:
+        df = valid_slots(df, cfg, n)
+    elif deduplicate:
+        # readings outside the calendar share a slot: one row per device is left of them
+        df = _first_per_slot(df, cfg, _calendar_slot(cfg)).repartition(n, cfg.key)
+    else:
+        within = df.where(F.coalesce(F.col(cfg.time).between(*_bounds(cfg)), F.lit(False)))
+        df = within.unionByName(df.select(cfg.key).distinct(), allowMissingColumns=True).repartition(n, cfg.key)
+    (start, end), step = _bounds(cfg), minutes(cfg.step_minutes)
     t = F.col(cfg.time)
     w = _w(cfg)
     device = Window.partitionBy(cfg.key)
@@ -303,15 +354,18 @@ def complete_series_stepwise(df: DataFrame, cfg: TelemetryConfig = DEFAULT) -> D
     return final_bfill(out, cfg)
 
 
-def complete_series(df: DataFrame, cfg: TelemetryConfig = DEFAULT) -> DataFrame:
+def complete_series(df: DataFrame, cfg: TelemetryConfig = DEFAULT, raw: bool = False) -> DataFrame:
     """F8: F1 -> F2 -> F3 -> A7/F4 -> F5/F6 -> F7 as one lazy plan over all devices.
 
+    ``raw`` readings pass the generic checks (V17) on the way, in the exchange
+    that also finds the slots (:func:`valid_slots`).
+
     Same result as :func:`complete_series_stepwise`. The first-record test
     (A7) and the first gap month (F5) are read off the sparse readings before
     the expansion; the rest runs in three passes over the sorted device rows:
     (attribute fill, seasonal reads), (gap-month sources), (final fill).
     """
-    cal = _expand(df, cfg, device_flags=True)
+    cal = _expand(df, cfg, device_flags=True, raw=raw)
     t = F.col(cfg.time)
     w = _w(cfg)
     attrs = [a for a in cfg.attributes if a in cal.columns]

@@ -21,6 +21,9 @@ DEFAULT = TelemetryConfig()
 
 DEVICE_ROW_COUNT = "device_row_count"
 DUPLICATE_COUNT = "duplicate_count"
+#: Sampled rows for each group of copies that is looked for, and such groups at most.
+_SAMPLE = 32
+_MOST_GROUPS = 1000
 
 
 def _flag(count_col: str):
@@ -77,6 +80,27 @@ def flag_generic(df: DataFrame, cfg: TelemetryConfig = DEFAULT) -> DataFrame:
     )
 
 
+def without_proven_copies(df: DataFrame, cfg: TelemetryConfig = DEFAULT) -> DataFrame:
+    """``df`` without the large groups of copies that a small sample of its rows shows.
+
+    A (device, time) met twice in the sample is a duplicate for certain, so the
+    rows of large groups can leave before a shuffle that deals by device and
+    time; smaller groups are left to that shuffle. The sample only takes load off: the
+    duplicates are all found in any case. At most ``_MOST_GROUPS`` groups are broadcast.
+    """
+    total = df.count()
+    if total <= cfg.group_rows:
+        return df
+    share = min(1.0, _SAMPLE * _MOST_GROUPS / total)
+    sample = df.select(cfg.key, cfg.time).where(F.rand(seed=_SAMPLE) < share).na.drop()
+    groups = sample.groupBy(cfg.key, cfg.time).count().where(F.col("count") >= max(2, _SAMPLE // 4))
+    found = groups.orderBy(F.desc("count")).limit(_MOST_GROUPS).select(cfg.key, cfg.time).collect()
+    if not found:
+        return df
+    copies = df.sparkSession.createDataFrame(found, df.select(cfg.key, cfg.time).schema)
+    return df.join(F.broadcast(copies), [cfg.key, cfg.time], "left_anti")
+
+
 QUARANTINE_REASON = "quarantine_reason"
 
 

@@ -1,11 +1,12 @@
 """The end-to-end plan: readings -> accepted -> completed -> derived ->
-validated -> repaired -> report. One lazy plan; the only materialisation
-points are the caller's actions (and an optional reliable checkpoint).
+validated -> repaired -> report.
 
-Exchanges, in order: the (key, time) join of the generic checks, the
-(key, slot) aggregate that keeps one reading per slot, and one exchange on
-the device key. Calendar completion, derivation, validation and cleansing
-all run on that last partitioning.
+Exchanges of the readings, in order: by (key, slot), where the generic checks
+and the slots are read off the same sorted rows, and by the device key.
+Calendar completion, derivation, validation and cleansing all run on that last
+partitioning. With ``materialize`` (the default) the repaired rows are written
+once, so that the fences read stored data; building the chain then runs it up
+to there. ``failed`` is a plan of its own, computed only if it is used.
 """
 
 from __future__ import annotations
@@ -39,8 +40,8 @@ def run_chain(
     exact: bool = False,
 ) -> ChainResult:
     df, quarantined = quality.quarantine(nan_to_null(raw), cfg)
-    valid, failed = quality.generic_validation(df, cfg)
-    full = calendar.complete_series(valid, cfg)
+    failed = quality.generic_validation(df, cfg)[1]
+    full = calendar.complete_series(df, cfg, raw=True)
     derived = derive.derive_all(full, cfg, bounded=True)
     checked = validate.validate_rows(derived, cfg)
     fused_previous = cfg.outlier_columns if scope == "device" else ()
