@@ -2,7 +2,8 @@
 
 A rule is ``(message, predicate)``. The verdict collects the messages of the
 rules that fire, in rule-book order, into an array; a rule whose predicate is
-NULL (a missing operand) does not fire. No Python worker is involved.
+NULL (a missing operand) does not fire. No Python worker is involved, unless a
+user's own rule needs one: a :class:`BatchRule` sees whole Arrow batches.
 """
 
 from __future__ import annotations
@@ -59,14 +60,55 @@ def default_rules() -> list[Rule]:
     ]
 
 
-def error_list(rules: Sequence[Rule], cfg: TelemetryConfig) -> Column:
-    """array<string> of the messages of the rules that fire, in order."""
-    return F.array_compact(F.array(*[F.when(r.predicate(cfg), F.lit(r.message)) for r in rules]))
-
+@dataclass(frozen=True)
+class BatchRule:
+    """A rule that column expressions can't say: ``test`` gets the named columns of a batch of rows as
+    Arrow arrays and returns a boolean for each row (null: the rule doesn't fire)."""
 
-def verdict(rules: Sequence[Rule], cfg: TelemetryConfig) -> Column:
+    message: str
+    columns: tuple[str, ...]
+    test: Callable[..., object]
+
+
+def batch_flags(rules: Sequence[Rule | BatchRule]) -> Column | None:
+    """array<boolean> of all batch rules, in order: one pass over the rows in Python, however many rules."""
+    batch = [r for r in rules if isinstance(r, BatchRule)]
+    if not batch:
+        return None
+    names = list(dict.fromkeys(c for r in batch for c in r.columns))
+    tests = [(r.test, [names.index(c) for c in r.columns]) for r in batch]
+
+    def flags(*columns):
+        import numpy as np
+        import pyarrow as pa
+
+        found = []
+        for test, places in tests:
+            fires = test(*[columns[i] for i in places])
+            fires = fires.combine_chunks() if isinstance(fires, pa.ChunkedArray) else pa.array(fires, pa.bool_())
+            found.append(np.asarray(fires.fill_null(False)).astype(bool))
+        values = pa.array(np.stack(found, axis=1).ravel())
+        return pa.ListArray.from_arrays(pa.array(np.arange(len(columns[0]) + 1) * len(tests), pa.int32()), values)
+
+    flags.__annotations__ = {}
+    return F.arrow_udf(flags, "array<boolean>", F.ArrowUDFType.SCALAR)(*[F.col(n) for n in names])
+
+
+def error_list(rules: Sequence[Rule | BatchRule], cfg: TelemetryConfig, flags: Column | None = None) -> Column:
+    """array<string> of the messages of the rules that fire, in order; ``flags`` holds those of the batch rules."""
+    fires, at = [], 0
+    for r in rules:
+        if isinstance(r, BatchRule):
+            fires.append(F.when(flags[at], F.lit(r.message)))
+            at += 1
+        else:
+            fires.append(F.when(r.predicate(cfg), F.lit(r.message)))
+    return F.array_compact(F.array(*fires))
+
+
+def verdict(rules: Sequence[Rule | BatchRule], cfg: TelemetryConfig, flags: Column | None = None) -> Column:
     """struct<is_valid boolean, error_message string>."""
-    errs = error_list(rules, cfg)
+    errs = error_list(rules, cfg, flags)
     ok = F.size(errs) == 0
     msg = F.when(ok, F.lit(fixed.VALID)).otherwise(F.concat_ws(fixed.ERROR_SEPARATOR, errs))
     return F.struct(ok.alias(fixed.IS_VALID), msg.alias(fixed.ERROR_MESSAGE))

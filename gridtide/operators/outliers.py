@@ -26,6 +26,7 @@ from pyspark.sql.types import DoubleType, FloatType
 from gridtide import fixed
 from gridtide.config import TelemetryConfig
 from gridtide.operators import chunks
+from gridtide.session import StageStore, checkpoint_table
 
 DEFAULT = TelemetryConfig()
 
@@ -241,7 +242,7 @@ def replace_outliers(
     accuracy: int | None = None,
     exact: bool = False,
     global_order: Sequence[str] | None = None,
-    materialize: bool = False,
+    materialize: bool | StageStore = False,
     previous_ready: bool = False,
     bounded: bool = False,
 ) -> DataFrame:
@@ -256,7 +257,8 @@ def replace_outliers(
 
     The previous values are computed first (in the same window pass as any
     upstream per-device step). With ``materialize`` the rows are then written
-    once as parquet under ``spark.checkpoint.dir`` and read back, so the
+    once (to the given :class:`gridtide.session.StageStore`, or as a table that
+    stays under ``spark.checkpoint.dir``) and read back, so the
     quantile pass scans two columns of stored data instead of recomputing the
     lineage, and the replacement is a plain projection.
     """
@@ -275,9 +277,9 @@ def replace_outliers(
         staged = global_previous(df, columns, order)
     else:
         raise ValueError(f"unknown scope {scope!r}")
-    if materialize:
-        from gridtide.session import checkpoint_table
-
+    if isinstance(materialize, StageStore):
+        staged = materialize.table(staged, "outliers")
+    elif materialize:
         staged = checkpoint_table(staged, "outliers")
     fences_value = _fence_literals(staged, columns) if exact else _fence_subquery(staged, columns, accuracy)
     staged = staged.withColumn("__fences", fences_value)

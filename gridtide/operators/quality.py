@@ -11,7 +11,7 @@ never rejected; a NULL key or NULL time is never a duplicate.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from gridtide import fixed
@@ -58,8 +58,8 @@ def flag_duplicate_times(df: DataFrame, cfg: TelemetryConfig = DEFAULT) -> DataF
     )
 
 
-def flag_generic(df: DataFrame, cfg: TelemetryConfig = DEFAULT) -> DataFrame:
-    """A1 and A2 together.
+def flag_generic(df: DataFrame, cfg: TelemetryConfig = DEFAULT, counted: DataFrame | None = None) -> DataFrame:
+    """A1 and A2 together, of the readings in ``counted`` (all of ``df`` by default).
 
     Both counts are aggregated map-side from the readings and only the thin
     devices and the repeated times are joined back, so the joined sides are
@@ -68,8 +68,9 @@ def flag_generic(df: DataFrame, cfg: TelemetryConfig = DEFAULT) -> DataFrame:
     """
     k, t = cfg.key, cfg.time
     n = F.count(F.lit(1))
-    thin = df.groupBy(k).agg(n.alias(DEVICE_ROW_COUNT)).filter(F.col(DEVICE_ROW_COUNT) < F.lit(cfg.rejection_threshold))
-    dups = df.groupBy(k, t).agg(n.alias(DUPLICATE_COUNT)).filter(F.col(DUPLICATE_COUNT) > 1)
+    counted = df if counted is None else counted
+    thin = counted.groupBy(k).agg(n.alias(DEVICE_ROW_COUNT)).filter(F.col(DEVICE_ROW_COUNT) < F.lit(cfg.rejection_threshold))
+    dups = counted.groupBy(k, t).agg(n.alias(DUPLICATE_COUNT)).filter(F.col(DUPLICATE_COUNT) > 1)
     out = df.join(thin, on=k, how="left").join(dups, on=[k, t], how="left")
     return out.select(
         *df.columns,
@@ -104,12 +105,17 @@ def without_proven_copies(df: DataFrame, cfg: TelemetryConfig = DEFAULT) -> Data
 QUARANTINE_REASON = "quarantine_reason"
 
 
-def quarantine(df: DataFrame, cfg: TelemetryConfig = DEFAULT) -> tuple[DataFrame, DataFrame]:
-    """(usable, quarantined): readings without a key or a time can be placed on no
-    device's calendar; they leave the chain here, with the reason."""
+def quarantine_reason(cfg: TelemetryConfig = DEFAULT) -> Column:
+    """Why a reading can be placed on no device's calendar; NULL if it can."""
     no_key, no_time = F.col(cfg.key).isNull(), F.col(cfg.time).isNull()
-    reason = F.concat_ws(", ", F.when(no_key, F.lit(f"no {cfg.key}")), F.when(no_time, F.lit(f"no {cfg.time}")))
-    return df.filter(~no_key & ~no_time), df.filter(no_key | no_time).withColumn(QUARANTINE_REASON, reason)
+    reasons = F.concat_ws(", ", F.when(no_key, F.lit(f"no {cfg.key}")), F.when(no_time, F.lit(f"no {cfg.time}")))
+    return F.when(no_key | no_time, reasons)
+
+
+def quarantine(df: DataFrame, cfg: TelemetryConfig = DEFAULT) -> tuple[DataFrame, DataFrame]:
+    """(usable, quarantined): readings without a key or a time leave the chain here, with the reason."""
+    reason = quarantine_reason(cfg)
+    return df.filter(reason.isNull()), df.filter(reason.isNotNull()).withColumn(QUARANTINE_REASON, reason)
 
 
 def split_valid_failed(flagged: DataFrame) -> tuple[DataFrame, DataFrame]:

@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from gridtide import fixed
 from gridtide.config import TelemetryConfig
-from gridtide.functions.rules import custom_rules
+from gridtide.functions.rules import BatchRule, custom_rules
 from gridtide.operators import calendar, cleanse, derive, quality, validate
 from gridtide.operators.outliers import iqr_fences, replace_outliers
 from gridtide.plans import chain, fixtures
@@ -92,6 +92,32 @@ def q_csv_any(spark, sf):
     return csv_source.load_csv(spark, path, schema)
 
 
+def _damaged_lines(spark, sf):
+    """Events as lines of text, of which some are cut off, too long, no number or without a readable time."""
+    from gridtide.session import checkpoint_dir
+
+    path = f"{checkpoint_dir(spark).rstrip('/')}/csv-lines-{uuid.uuid4().hex}"
+    kind = F.col("event_id") % 50
+    day = F.when(kind == 3, F.lit("yesterday")).otherwise(F.date_format("ts", "dd/MM/yyyy HH:mm"))
+    cents = F.when(kind == 2, F.lit("n/a")).otherwise(F.round(F.col("value") * 100).cast("bigint").cast("string"))
+    start = F.concat_ws(",", F.col("event_id").cast("string"), day)
+    whole = F.concat_ws(",", start, F.coalesce(F.col("user_id").cast("string"), F.lit("")), F.coalesce("event_type", F.lit("")), cents)
+    line = F.when(kind == 0, start).when(kind == 1, F.concat(whole, F.lit(",extra"))).otherwise(whole)
+    _events(spark, sf).select(line.alias("value")).write.text(path)
+    schema = "event_id bigint, ts string, user_id bigint, event_type string, cents bigint"
+    return csv_source.split_readings(spark, path, schema, EVENTS, header=False)
+
+
+def q_csv_kept(spark, sf):
+    """The readings of a damaged file."""
+    return _damaged_lines(spark, sf)[0]
+
+
+def q_csv_malformed(spark, sf):
+    """The lines of a damaged file that hold no reading, with the reason."""
+    return _damaged_lines(spark, sf)[1].drop(csv_source.FILE)
+
+
 def q_preview_head(spark, sf):
     return frames.preview(_events(spark, sf), 5, order_by=["event_id"])
 
@@ -137,6 +163,31 @@ def q_calendar_parts(spark, sf):
     return derive.add_month(derive.add_calendar_parts(ev, EVENTS), EVENTS)
 
 
+def _even_split(quantity, linenumber):
+    """The quantity can be split evenly by the line number (whole numbers, by batch)."""
+    import pyarrow.compute as pc
+
+    return pc.equal(pc.multiply(pc.floor(pc.divide(quantity, linenumber)), linenumber), quantity)
+
+
+def _same_keys(part, supplier):
+    import pyarrow.compute as pc
+
+    return pc.equal(pc.bit_wise_and(part, 7), pc.bit_wise_and(supplier, 7))
+
+
+def q_batch_rules(spark, sf):
+    """Two rules over Arrow batches between two column rules."""
+    rules = [
+        *custom_rules(LINEITEM_RULES[:1]),
+        BatchRule("Even split", ("l_quantity", "l_linenumber"), _even_split),
+        *custom_rules(LINEITEM_RULES[1:2]),
+        BatchRule("Same low key bits", ("l_partkey", "l_suppkey"), _same_keys),
+    ]
+    out = validate.validate_rows(_lineitem(spark, sf), LINEITEM, rules=rules)
+    return out.select("l_orderkey", "l_linenumber", fixed.IS_VALID, fixed.ERROR_MESSAGE)
+
+
 # ---- generic validation --------------------------------------------------------------------
 def q_thin_devices(spark, sf):
     return quality.flag_thin_devices(_events(spark, sf), EVENTS_THIN)
@@ -289,6 +340,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "bfill_device": q_bfill_device,
     "quarantine": q_quarantine,
     "csv_any": q_csv_any,
+    "csv_kept": q_csv_kept,
+    "csv_malformed": q_csv_malformed,
     "thin_devices": q_thin_devices,
     "duplicate_keys": q_duplicate_keys,
     "generic_flags": q_generic_flags,
@@ -313,6 +366,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "validate_rows": q_validate_rows,
     "season_rule_counts": q_season_rule_counts,
     "custom_rules": q_custom_rules,
+    "batch_rules": q_batch_rules,
     "fix_negative": _repair(cleanse.fix_negative_deltas),
     "fix_pv_night": _repair(cleanse.fix_pv_at_night),
     "fix_feed_in": _repair(cleanse.fix_feed_in_with_consumption),

@@ -22,6 +22,7 @@ from gridtide.functions.nulls import nan_to_null
 from gridtide.functions.rules import default_rules, has_error
 from gridtide.operators import calendar, cleanse, derive, quality, validate
 from gridtide.operators.outliers import replace_outliers
+from gridtide.session import StageStore
 
 
 @dataclass
@@ -38,15 +39,31 @@ def run_chain(
     accuracy: int | None = None,
     materialize: bool = True,
     exact: bool = False,
+    store: StageStore | None = None,
 ) -> ChainResult:
+    """The whole chain. ``store`` keeps the flagged readings (once, for the valid, the failed and the
+    quarantined ones) and the repaired rows, until its owner closes it; without it the checks
+    run in the exchange that finds the slots, and ``failed`` reads the input again if it is used."""
+    if store is not None:
+        tagged = nan_to_null(raw).withColumn(quality.QUARANTINE_REASON, quality.quarantine_reason(cfg))
+        usable = F.col(quality.QUARANTINE_REASON).isNull()
+        flagged = store.table(quality.flag_generic(tagged, cfg, counted=tagged.where(usable)), "flagged")
+        valid, failed = quality.split_valid_failed(flagged.where(usable).drop(quality.QUARANTINE_REASON))
+        quarantined = flagged.where(~usable).select(*raw.columns, quality.QUARANTINE_REASON)
+        return ChainResult(_clean(calendar.complete_series(valid, cfg), cfg, scope, accuracy, exact, store), failed, quarantined)
     df, quarantined = quality.quarantine(nan_to_null(raw), cfg)
     failed = quality.generic_validation(df, cfg)[1]
     full = calendar.complete_series(df, cfg, raw=True)
+    return ChainResult(_clean(full, cfg, scope, accuracy, exact, materialize), failed, quarantined)
+
+
+def _clean(full: DataFrame, cfg: TelemetryConfig, scope: str, accuracy: int | None, exact: bool, materialize) -> DataFrame:
+    """Completed series -> derived -> checked -> repaired -> outliers replaced."""
     derived = derive.derive_all(full, cfg, bounded=True)
     checked = validate.validate_rows(derived, cfg)
     fused_previous = cfg.outlier_columns if scope == "device" else ()
     repaired = cleanse.repair_rule_failures(checked, cfg, previous_of=fused_previous, bounded=True)
-    cleaned = replace_outliers(
+    return replace_outliers(
         repaired,
         cfg,
         cfg.outlier_columns,
@@ -58,7 +75,6 @@ def run_chain(
         previous_ready=bool(fused_previous),
         bounded=True,
     )
-    return ChainResult(cleaned=cleaned, failed=failed, quarantined=quarantined)
 
 
 def rule_columns() -> list[tuple[str, str]]:

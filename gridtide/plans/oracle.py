@@ -360,6 +360,20 @@ def _sql_all() -> dict[str, str]:
     s["csv_any"] = (
         "SELECT event_id, strftime(ts, '%Y-%m-%d %H:%M:%S.%f') AS ts, user_id, event_type, value, props FROM events"
     )
+    damaged = (
+        "WITH e AS (SELECT *, event_id % 50 AS kind, CAST(round(value * 100) AS BIGINT) AS cents,\n"
+        "  CASE WHEN event_id % 50 = 3 THEN 'yesterday' ELSE strftime(ts, '%d/%m/%Y %H:%M') END AS day,\n"
+        "  CASE WHEN event_id % 50 = 2 THEN 'n/a' ELSE CAST(CAST(round(value * 100) AS BIGINT) AS VARCHAR) END AS amount FROM events),\n"
+        "l AS (SELECT *, event_id || ',' || day || ',' || coalesce(CAST(user_id AS VARCHAR), '') || ',' || coalesce(event_type, '')\n"
+        "  || ',' || amount AS whole FROM e)\n"
+    )
+    s["csv_kept"] = damaged + (
+        "SELECT event_id, date_trunc('minute', ts) AS ts, user_id, event_type, cents FROM l WHERE kind > 3"
+    )
+    s["csv_malformed"] = damaged + (
+        "SELECT CASE kind WHEN 0 THEN event_id || ',' || day WHEN 1 THEN whole || ',extra' ELSE whole END AS line,\n"
+        "  CASE kind WHEN 3 THEN 'unreadable time' ELSE 'malformed line' END AS quarantine_reason FROM l WHERE kind <= 3"
+    )
     s["bfill_device"] = (
         "SELECT event_id, user_id, ts, first_value(CASE WHEN event_type <> 'error' THEN value END IGNORE NULLS) OVER (\n"
         "  PARTITION BY user_id ORDER BY ts, event_id ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS value\n"
@@ -450,6 +464,15 @@ def _sql_all() -> dict[str, str]:
         "SELECT l_orderkey, l_linenumber, (errs = '') AS is_valid,\n"
         "  CASE WHEN errs = '' THEN 'Valid' ELSE errs END AS error_message FROM e"
     )
+    s["batch_rules"] = (
+        "WITH e AS (SELECT l_orderkey, l_linenumber, concat_ws(', ',\n"
+        "  CASE WHEN l_discount > 0.08 THEN 'Discount above eight percent' END,\n"
+        "  CASE WHEN floor(l_quantity / l_linenumber) * l_linenumber = l_quantity THEN 'Even split' END,\n"
+        "  CASE WHEN l_quantity > 45 THEN 'Quantity above forty five' END,\n"
+        "  CASE WHEN l_partkey % 8 = l_suppkey % 8 THEN 'Same low key bits' END) AS errs FROM lineitem)\n"
+        "SELECT l_orderkey, l_linenumber, (errs = '') AS is_valid,\n"
+        "  CASE WHEN errs = '' THEN 'Valid' ELSE errs END AS error_message FROM e"
+    )
     keep = f"{KEY}, {TIME}, {', '.join(COUNTERS)}, {CAP}, {', '.join(DELTAS)}"
     for name in REPAIR_ORDER:
         s[name] = with_(*tel, *der, *val, *repair_cte("validated", "rp", name)) + f"\nSELECT {keep} FROM rp"

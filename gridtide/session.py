@@ -7,6 +7,7 @@ only set here when the session has none (tests, benchmarks).
 from __future__ import annotations
 
 import os
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -63,16 +64,39 @@ def reliable_checkpoint(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
-def checkpoint_table(df: DataFrame, name: str = "stage") -> DataFrame:
-    """Write ``df`` once as parquet under the checkpoint folder and read it back.
+class StageStore:
+    """Tables written once for several readers, in a folder of their own that goes when the store is closed.
 
-    A lineage cut that survives executor loss (the files live on the shared
-    checkpoint storage) and keeps columnar reads: later passes prune columns
-    and push filters into the stored table.
+    The folder lies under the session's checkpoint folder (shared storage), so
+    a lost executor reads the files again and recomputes nothing. Use it as a
+    context manager, or call :meth:`close`; frames read from it end with it.
     """
-    import uuid
 
-    spark = df.sparkSession
-    path = f"{checkpoint_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
-    df.write.mode("overwrite").parquet(path)
-    return spark.read.parquet(path)
+    def __init__(self, spark: SparkSession, name: str = "stages"):
+        self.spark = spark
+        self.path = f"{checkpoint_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+
+    def table(self, df: DataFrame, name: str = "stage") -> DataFrame:
+        """``df`` written once as parquet and read back: later passes prune columns and push filters into it."""
+        path = f"{self.path}/{name}-{uuid.uuid4().hex}"
+        df.write.parquet(path)
+        return self.spark.read.schema(df.schema).parquet(path)
+
+    def close(self) -> None:
+        """Delete all tables of the store."""
+        target = self.spark.sparkContext._jvm.org.apache.hadoop.fs.Path(self.path)
+        target.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration()).delete(target, True)
+
+    def __enter__(self) -> StageStore:
+        return self
+
+    def __exit__(self, *_) -> None:
+        self.close()
+
+
+def checkpoint_table(df: DataFrame, name: str = "stage") -> DataFrame:
+    """``df`` written once under the checkpoint folder and read back, kept until the folder is cleared.
+
+    For results that outlive the call; :class:`StageStore` deletes its tables.
+    """
+    return StageStore(df.sparkSession, name).table(df)

@@ -15,13 +15,18 @@ def _plan(df) -> str:
 
 def test_no_python_evaluation_in_any_query(spark):
     for name, fn in catalog.QUERIES.items():
-        if name == "csv_load":
+        if name in ("csv_load", "batch_rules"):
             continue
         plan = _plan(fn(spark, SF))
         assert "BatchEvalPython" not in plan and "ArrowEvalPython" not in plan, name
         assert "CartesianProduct" not in plan and "BroadcastNestedLoopJoin" not in plan, name
 
 
+def test_batch_rules_share_one_python_stage(spark):
+    plan = _plan(catalog.QUERIES["batch_rules"](spark, SF))
+    assert plan.count("ArrowEvalPython") == 1 and "BatchEvalPython" not in plan and "Exchange" not in plan
+
+
 def test_calendar_chain_exchanges(spark):
     cfg = catalog.FLAGSHIP
     valid = quality.generic_validation(fixtures.telemetry(spark, SF), cfg)[0]
