@@ -74,6 +74,7 @@ class Block:
         self.words: list[pa.Array] = []
         self.index: list[np.ndarray] = []
         self.counts: list[np.ndarray] = []
+        self.often = np.zeros(0, np.int64)
         self.chars = self.held = self.part = 0
 
     def add(self, texts: list[str | None], rows: pa.Array | None) -> None:
@@ -90,7 +91,10 @@ class Block:
             self.rows.append(pc.take(rows, pa.array(np.arange(len(rows)))))  # a copy, which doesn't hold the texts
 
     def numbered(self) -> tuple[pa.Array, np.ndarray, np.ndarray]:
-        """(pieces, the most frequent first; numbers of all pieces in reading order; how many each document has)."""
+        """(pieces, the most frequent first; numbers of all pieces in reading order; how many each document has).
+
+        ``often`` then holds how often each of the pieces occurs.
+        """
         counts = np.concatenate(self.counts) if self.counts else np.zeros(0, np.int64)
         if not self.words:
             return pa.array([], pa.string()), np.zeros(0, np.int32), counts
@@ -102,7 +106,8 @@ class Block:
         order = np.argsort(-often, kind="stable")
         number = np.empty(len(order), np.int32)
         number[order] = np.arange(len(order), dtype=np.int32)
-        used = int((often > 0).sum())  # the separator between texts is no piece
+        used = int((often > 0).sum())  # what stands between pieces is none
+        self.often = often[order[:used]]
         return merged.dictionary.take(pa.array(order[:used])), number[flat], counts
 
 

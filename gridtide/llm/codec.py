@@ -14,34 +14,28 @@ are encoded each.
 
 from __future__ import annotations
 
-import gc
 import re
 import uuid
-from collections import Counter
-from itertools import islice
 from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
-import regex
 from pyspark import SparkFiles
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from gridtide.llm import transducer, util
+from gridtide.llm import blocks, pieces, transducer, util
 from gridtide.llm.bpe import Merges
 from gridtide.session import checkpoint_dir
 
-#: Fixed value: the pattern by which byte-level vocabularies of this kind split a text before merging.
+#: Fixed value: the pattern by which byte-level vocabularies of this kind split a text before merging (see ``pieces.cut``).
 SPLIT = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
 #: Words in the lexicon; longer words (bytes) stay out of it, so its size is bounded.
 LEXICON_WORDS = 100_000
 LEXICON_WORD_BYTES = 48
-#: Entries of each of the two generations of a worker's word cache (bounds its memory).
-CACHE = 150_000
-_FLUSH = 300_000
-_FLUSH_CHARS = 16_000_000
+#: Words that leave a task as one batch.
+_SENT = 20_000
 
 _loaded: dict[str, object] = {}
 
@@ -55,77 +49,27 @@ def _once(key: str, make):
     return _loaded[key]
 
 
-_letters = regex.compile(r"\p{L}+").findall
-_split = regex.compile(SPLIT).findall
-#: The white space that SPLIT makes pieces of: a run without its last character (at the end all of it), and a last one that is no blank.
-_gaps = regex.compile(r"\s+(?!\S)|[^\S ]").findall
-_all_gap = regex.compile(r"\s+").fullmatch
-
-
 def word_counts(docs: DataFrame, text: str = "text") -> DataFrame:
     """(word, n): how often each run of letters occurs, over all texts."""
-
-    def read(t, raw, held):
-        raw.update(t.split())
-
-    def spread(raw, held):
-        for part, n in raw.items():
-            if part.isalpha():
-                held[part] += n
-            else:
-                for word in _letters(part):
-                    held[word] += n
-
-    return _counts(docs, text, read, spread)
+    return _counts(docs, text, pieces.letter_runs)
 
 
 def piece_counts(docs: DataFrame, text: str = "text") -> DataFrame:
     """(word, n): how often each piece of the split pattern occurs, with its blank, over all texts."""
-
-    def add(parts, n, held):
-        for piece in parts:
-            if not (piece.isspace() and _all_gap(piece)):
-                held[piece] += n
-
-    def read(t, raw, held):
-        # a blank before other characters belongs to their piece; white space is counted by itself
-        first, *rest = t.split(" ")
-        raw.update(rest)
-        add(_split(first), 1, held)
-        held.update(_gaps(t))
-
-    def spread(raw, held):
-        for part, n in raw.items():
-            if part.isalpha():
-                held[" " + part] += n
-            elif part:
-                add(_split(" " + part), n, held)
-
-    return _counts(docs, text, read, spread)
+    return _counts(docs, text, pieces.cut)
 
 
-def _counts(docs: DataFrame, text: str, read, spread) -> DataFrame:
-    """Counts per task: ``read`` takes a text's parts between blanks, ``spread`` cuts each distinct one into words."""
+def _counts(docs: DataFrame, text: str, cut) -> DataFrame:
+    """Counts, added up per block of documents before the shuffle."""
 
     def count(batches):
-        raw, held, size = Counter(), Counter(), 0
-        for batch in batches:
-            for part in util.slices(batch, text):
-                for t in part.column(text).to_pylist():
-                    if t:
-                        read(t, raw, held)
-                        size += len(t)
-                if len(raw) + len(held) > _FLUSH or size > _FLUSH_CHARS:
-                    spread(raw, held)
-                    raw.clear()
-                    size = 0
-                if len(held) > _FLUSH:
-                    yield _pairs(held)
-                    held.clear()
-        spread(raw, held)
-        if held:
-            yield _pairs(held)
+        for block in blocks.blocks(batches, cut, text, None):
+            words, _, _ = block.numbered()
+            for at in range(0, len(words), _SENT):
+                part = slice(at, at + _SENT)
+                yield pa.RecordBatch.from_arrays([words.slice(at, _SENT), pa.array(block.often[part])], names=["word", "n"])
 
+    util.ship(docs.sparkSession)
     parts = docs.select(text).mapInArrow(count, "word string, n long")
     return parts.groupBy("word").agg(F.sum("n").alias("n"))
 
@@ -167,12 +111,6 @@ def _first(counts: DataFrame, words: int) -> list:
     return [(r["word"], r["n"]) for r in found]
 
 
-def _pairs(held: Counter) -> pa.RecordBatch:
-    return pa.RecordBatch.from_arrays(
-        [pa.array(held.keys(), pa.string()), pa.array(held.values(), pa.int64())], names=["word", "n"]
-    )
-
-
 class Lexicon:
     """The vocabulary and the transducer, placed for the executors."""
 
@@ -215,92 +153,40 @@ class Encoder:
 
     def __init__(self, merges: Merges, lexicon: transducer.Transducer):
         self.merges, self.lexicon = merges, lexicon
-        self.split = regex.compile(SPLIT).findall
         self.special = (
             re.compile("(" + "|".join(re.escape(s) for s in sorted(merges.special, key=len, reverse=True)) + ")")
             if merges.special
             else None
         )
-        self.young: dict[str, bytes | None] = {}
-        self.old: dict[str, bytes | None] = {}
 
-    def words(self, words: list[str]) -> list[bytes]:
+    def words(self, words: list[bytes]) -> list[bytes]:
         """Ids of words as the split pattern yields them: by the lexicon, else merged."""
-        raw = [w.encode() for w in words]
-        ids = self.lexicon.lookup(raw)
+        ids = self.lexicon.lookup(words)
         rest = [i for i, x in enumerate(ids) if x is None]
-        for i, x in zip(rest, self.merges.encode([raw[i] for i in rest]), strict=True):
+        for i, x in zip(rest, self.merges.encode([words[i] for i in rest]), strict=True):
             ids[i] = x
         return ids
 
-    def learn(self, pieces: set[str]) -> None:
-        """Put the ids of blank-separated pieces (each with its blank) into the cache.
-
-        A piece that is empty or touches other white space can't be split by
-        itself; it is remembered as None and its text is split as a whole.
-        """
-        letters, mixed, parts = [], [], []
-        for p in pieces:
-            if p.isalpha():
-                letters.append(p)
-            elif not p or p[0].isspace() or p[-1].isspace():
-                self.young[p] = None
-            else:
-                mixed.append(p)
-                parts.append(self.split(" " + p))
-        self.young.update(zip(letters, self.words([" " + p for p in letters]), strict=True))
-        words = list(set().union(*parts))
-        ids = dict(zip(words, self.words(words), strict=True)).__getitem__
-        self.young.update((p, b"".join(map(ids, ws))) for p, ws in zip(mixed, parts, strict=True))
-
-    def whole(self, texts: list[str]) -> list[bytes]:
-        """Texts split as wholes; special tokens become their ids."""
-        split = []
-        for t in texts:
-            parts = self.special.split(t) if self.special else [t]
-            split.append([(p, None) if i % 2 else (None, self.split(p)) for i, p in enumerate(parts)])
-        words = list({w for parts in split for _, ws in parts if ws for w in ws})
-        ids = dict(zip(words, self.words(words), strict=True))
-        token = {s: np.array([i], "<u4").tobytes() for s, i in self.merges.special.items()}
-        return [b"".join([token[s] if s is not None else b"".join([ids[w] for w in ws]) for s, ws in parts]) for parts in split]
+    def plain(self, texts: list[str]) -> list[bytes]:
+        """Ids of texts without special tokens: each distinct word of a batch once, then by position."""
+        out = [b""] * len(texts)
+        for owners, some in pieces.parts(texts):
+            found = pieces.cut(some)
+            ids = self.words(found.words.cast(pa.binary()).to_pylist())
+            sizes = np.fromiter(map(len, ids), np.int64, len(ids)) // 4
+            places, each = pieces.gather(np.cumsum(sizes) - sizes, sizes, found.index)
+            data = np.frombuffer(b"".join(ids), "<u4")[places].tobytes()
+            ends = (np.cumsum(pieces.total(each, found.counts)) * 4).tolist()
+            for i, a, b in zip(owners, [0, *ends], ends, strict=False):
+                out[i] = out[i] + data[a:b] if out[i] else data[a:b]
+        return out
 
     def __call__(self, texts: list[str | None]) -> list[bytes]:
-        out: list[bytes] = [b""] * len(texts)
-        whole, plain = [], []
-        for i, t in enumerate(texts):
-            if t:
-                odd = t[0] == " " or (self.special and self.special.search(t))
-                (whole if odd else plain).append(i)
-        pieces = {i: texts[i].split(" ") for i in plain}
-        young, old = self.young, self.old
-        missing = set()
-        for ps in pieces.values():
-            missing.update(ps)
-        missing.difference_update(young)
-        for p in missing & old.keys():
-            young[p] = old[p]
-            missing.discard(p)
-        self.learn(missing)
-        firsts, found = [], young.__getitem__
-        for i in plain:
-            ps = pieces[i]
-            # the first piece has no blank before it
-            try:
-                out[i] = b"".join(map(found, islice(ps, 1, None)))
-                firsts.append((i, ps[0]))
-            except TypeError:  # a None: white space meets white space somewhere
-                whole.append(i)
-        bad = [i for i, p in firsts if not p or p[-1].isspace()]
-        whole += bad
-        lead = dict(zip((ps := list({p for _, p in firsts if p and not p[-1].isspace()})), self.whole(ps), strict=True))
-        for i, p in firsts:
-            if p in lead:
-                out[i] = lead[p] + out[i]
-        for i, x in zip(whole, self.whole([texts[i] for i in whole]), strict=True):
-            out[i] = x
-        if len(young) > CACHE:
-            self.old, self.young = young, {}
-        return out
+        # special tokens cut a text; what stands between them is encoded by itself
+        split = [self.special.split(t) if t and self.special else [t or ""] for t in texts]
+        ids = iter(self.plain([p for parts in split for p in parts[::2]]))
+        token = {s: np.array([i], "<u4").tobytes() for s, i in self.merges.special.items()}
+        return [b"".join([token[p] if i % 2 else next(ids) for i, p in enumerate(parts)]) for parts in split]
 
 
 def encode(docs: DataFrame, lexicon: Lexicon, text: str = "text", ids: str = "ids") -> DataFrame:
@@ -310,14 +196,7 @@ def encode(docs: DataFrame, lexicon: Lexicon, text: str = "text", ids: str = "id
         merges, automaton = lexicon.open()
         encoder = _once("e" + lexicon.key, lambda: Encoder(merges, automaton))
 
-        def run(texts):
-            gc.disable()  # only short-lived lists and the cache: collection would walk the cache again and again
-            try:
-                return [encoder(texts)]
-            finally:
-                gc.enable()
-
-        return run
+        return lambda texts: [encoder(texts)]
 
     return util.per_text(docs, text, [(ids, T.BinaryType())], make)
 

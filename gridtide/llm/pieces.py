@@ -104,7 +104,7 @@ def _encoded(data: bytes, starts: np.ndarray, ends_at: np.ndarray) -> Cut:
     offsets = np.append(starts, len(data)).astype(np.int32)
     sliced = pa.StringArray.from_buffers(len(starts), pa.py_buffer(offsets), pa.py_buffer(data))
     coded = sliced.dictionary_encode()
-    counts = np.diff(ends_at, prepend=-1) - 1
+    counts = np.diff(ends_at, prepend=-1) - 1  # without the slice that closes the text
     return Cut(coded.dictionary, np.delete(coded.indices.to_numpy(), ends_at), counts)
 
 
@@ -143,6 +143,22 @@ def cut(texts: list[str]) -> Cut:
     return _encoded(text.encode(), _byte_places(text, points, places), np.searchsorted(places, ends))
 
 
+def letter_runs(texts: list[str]) -> Cut:
+    """Each text's runs of letters, whatever stands between them."""
+    text, ends = _joined(texts)
+    points = np.frombuffer(text.encode("utf-32-le"), "<u4")
+    letter = library_classes()[points] == _LETTER
+    begins = np.empty(len(points), bool)
+    begins[0] = True
+    np.not_equal(letter[1:], letter[:-1], out=begins[1:])
+    places = np.flatnonzero(begins)
+    found = _encoded(text.encode(), _byte_places(text, points, places), np.zeros(0, np.int64))
+    kept = letter[places]
+    # a text's runs are those that begin before its end
+    counts = np.diff(np.searchsorted(places[kept], ends), prepend=0)
+    return Cut(found.words, found.index[kept], counts)
+
+
 def blank_runs(texts: list[str]) -> Cut:
     """Each text cut before every run of blanks that follows another character."""
     text, ends = _joined(texts)
