@@ -57,6 +57,8 @@ _hints = ("passw", "secret", "token", "api", "pwd", "passphrase", "passcode", "c
 GUESS_BITS = 40.0
 WORDS = 20_000
 LONGEST_WORD = 24
+#: The longest date (day, month and year with separators), and the least length of a repeat or a walk.
+LONGEST_DATE, LEAST_RUN = 10, 3
 ROWS = ("1234567890", "qwertyuiop", "asdfghjkl", "zxcvbnm")
 _walks = {(r[i], r[i + d]) for r in ROWS for d in (1, -1) for i in range(len(r)) if 0 <= i + d < len(r)}
 _date = re.compile(r"(?:19|20)\d\d(?:([-/.]?)(?:0[1-9]|1[0-2])\1(?:0[1-9]|[12]\d|3[01]))?|(?:0[1-9]|[12]\d|3[01])([-/.]?)(?:0[1-9]|1[0-2])\2(?:19|20)?\d\d")
@@ -76,42 +78,63 @@ def _alphabet_bits(c: str) -> float:
     return math.log2(33) if c < "\x7f" else math.log2(1000)
 
 
+class _Starts:
+    """The starts of a growing run (of one repeated character, or of a keyboard walk) that may still be the cheapest.
+
+    A segment costs what stands before its start plus the logarithm of its
+    length. The length counts ever less, so a start that an earlier one beats
+    is beaten at every later end too, and is dropped.
+    """
+
+    def __init__(self):
+        self.held: list[tuple[int, float]] = []
+
+    def cheapest(self, end: int) -> float:
+        least, kept = math.inf, []
+        for start, cost in self.held:
+            if (c := cost + math.log2(end - start)) < least:
+                least = c
+                kept.append((start, cost))
+        self.held = kept
+        return least
+
+
 def guess_bits(value: str, ranks: dict[str, int]) -> float:
     """Bits of the cheapest segmentation of ``value``; each segment adds one bit for its kind.
 
-    One pass over the ends of segments; words look back at most ``LONGEST_WORD``
-    characters, repeats and walks extend the running ones, so the cost is linear.
+    One pass over the ends of segments. Words and dates look back a bounded
+    number of characters; repeats and walks may begin anywhere in their run.
     """
-    low = value.lower()
+    low = "".join(x if len(x := c.lower()) == 1 else c for c in value)
     n = len(value)
     best = [0.0] + [math.inf] * n
-    dates: dict[int, list[int]] = {}
-    for i in range(n):
-        if value[i].isdigit() and (m := _date.match(value, i)):
-            dates.setdefault(m.end(), []).append(i)
-            if m.end() - i > 4 and value[i : i + 2] in ("19", "20"):
-                dates.setdefault(i + 4, []).append(i)
-    run = walk = 0  # starts of the repeat and of the walk that reach the current end
+    repeats, walks = _Starts(), _Starts()
     for end in range(1, n + 1):
         i = end - 1
         case = 1.0 if value[i] != low[i] else 0.0
-        best[end] = best[i] + _alphabet_bits(value[i]) + case
+        least = best[i] + _alphabet_bits(value[i]) + case
         if i and low[i] != low[i - 1]:
-            run = i
+            repeats = _Starts()
         if i and (low[i - 1], low[i]) not in _walks:
-            walk = i
-        if end - run >= 3:
-            best[end] = min(best[end], best[run] + 1 + _alphabet_bits(value[run]) + math.log2(end - run))
-        if end - walk >= 3:
-            best[end] = min(best[end], best[walk] + 1 + math.log2(37 * 2 * (end - walk)))
-        for start in dates.get(end, ()):
-            best[end] = min(best[end], best[start] + 1 + (_YEAR_BITS if end - start == 4 else _DATE_BITS))
+            walks = _Starts()
+        if (start := end - LEAST_RUN) >= 0:
+            if low[start : end - 1] == low[start + 1 : end]:
+                repeats.held.append((start, best[start] + 1 + _alphabet_bits(value[start])))
+                least = min(least, repeats.cheapest(end))
+            if all(pair in _walks for pair in zip(low[start : end - 1], low[start + 1 : end], strict=True)):
+                walks.held.append((start, best[start] + 1 + math.log2(37 * 2)))
+                least = min(least, walks.cheapest(end))
+        if value[i].isdigit():
+            for start in range(max(0, end - LONGEST_DATE), end - 3):
+                if value[start].isdigit() and _date.fullmatch(value, start, end):
+                    least = min(least, best[start] + 1 + (_YEAR_BITS if end - start == 4 else _DATE_BITS))
         for start in range(max(0, end - LONGEST_WORD), end - 2):
             rank = ranks.get(low[start:end])
             if rank is not None:
                 word = value[start:end]
                 cased = 0.0 if word == low[start:end] else (1.0 if word[1:] == low[start + 1 : end] else min(len(word), 6))
-                best[end] = min(best[end], best[start] + 1 + math.log2(rank + 1) + cased)
+                least = min(least, best[start] + 1 + math.log2(rank + 1) + cased)
+        best[end] = least
     return best[n]
 
 
