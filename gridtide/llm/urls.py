@@ -5,19 +5,25 @@ urls they fit; the longest rule wins. The urls they decide are the labelled
 examples for the rest: each url is a set of tokens (host labels, path segments,
 query keys), Spark's FP-growth mines the frequent sets that hold a verdict, and
 the association rules "tokens -> verdict" of at least ``MIN_CONFIDENCE`` and
-``MIN_SUPPORT`` that no shorter rule already implies are kept. An inverted
-index -- each rule under its rarest token -- finds the candidates for a url, the
-other tokens are verified, and the most confident rule decides.
+``MIN_SUPPORT`` that no shorter rule already implies are kept. Tokens that occur
+in the very same examples are one *class* while rules are mined (every subset of
+them would be as frequent); a url has the class if it has one of its tokens,
+just as if there were a rule for each of them. An inverted
+index -- each rule under its rarest class -- finds the candidates for a url, the
+other classes are verified, and the most confident rule decides.
 
 Defined results: null urls and urls without ``://`` have an empty host and path,
 fit no rule and are allowed; without labelled urls nothing is mined and the
 default verdict stands; ties between mined rules go to higher support, then
-longer rules, then block; repeated pages are judged alike; other columns of the
-pages are not read.
+longer rules, then block; repeated pages are judged alike; an empty table gives
+an empty table; other columns of the pages, whatever their names, are passed
+through (those named like a result, in any case, are replaced).
 """
 
 from __future__ import annotations
 
+import math
+
 from pyspark.ml.fpm import FPGrowth
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -73,14 +79,44 @@ def tokens(url: Column, host: Column, path: Column) -> Column:
     return F.array_distinct(F.concat(labels, top, steps, keys))
 
 
-def mine(labelled: DataFrame, support: float = MIN_SUPPORT, confidence: float = MIN_CONFIDENCE) -> DataFrame:
-    """(items, verdict, confidence, support) from rows (items, verdict): rules that no shorter kept rule implies."""
+def classes(examples: DataFrame, least: int) -> DataFrame:
+    """(item, class): the tokens of at least ``least`` examples (id, items); those of the same examples share a class.
+
+    The examples of a token are compared by their number, the exclusive or and the sum of their
+    hashes. There are at most (tokens of an example) / (support) such tokens, whatever the number of examples.
+    """
+    each = examples.select("id", F.explode("items").alias("item"))
+    same = each.groupBy("item").agg(
+        F.count("*").alias("n"),
+        F.bit_xor(F.xxhash64("id")).alias("a"),
+        F.sum(F.xxhash64(F.lit("sum"), "id").cast("decimal(38,0)")).alias("b"),
+    )
+    same = same.where(F.col("n") >= least)
+    names = same.groupBy("n", "a", "b").agg(F.min("item").alias("class"))
+    return util.stored(same.join(names, ["n", "a", "b"]).select("item", "class"), "url-classes")
+
+
+def in_classes(rows: DataFrame, known: DataFrame, key: str) -> DataFrame:
+    """(key, items): the classes of each row's tokens; rows without a known token are left out."""
+    each = rows.select(key, F.explode("items").alias("item")).join(F.broadcast(known), "item")
+    return each.groupBy(key).agg(F.collect_set("class").alias("items"))
+
+
+def mine(labelled: DataFrame, support: float = MIN_SUPPORT, confidence: float = MIN_CONFIDENCE) -> tuple[DataFrame, DataFrame]:
+    """Rules (items, verdict, confidence, support) that no shorter kept rule implies, and the classes (item, class)
+    that their items stand for, from rows (items, verdict)."""
     spark = labelled.sparkSession
     mark = "verdict="
-    baskets = labelled.select(F.concat("items", F.array(F.concat(F.lit(mark), "verdict"))).alias("items"))
-    empty = "items array<string>, verdict string, confidence double, support double"
-    if baskets.isEmpty():
-        return spark.createDataFrame([], empty)
+    examples = util.stored(labelled.withColumn("id", F.monotonically_increasing_id()), "url-examples")
+    total = examples.count()
+    if not total:
+        empty = "items array<string>, verdict string, confidence double, support double"
+        return spark.createDataFrame([], empty), spark.createDataFrame([], "item string, class string")
+    known = classes(examples, max(1, math.ceil(support * total)))
+    verdict = F.array(F.concat(F.lit(mark), "verdict"))
+    # examples without a frequent token still count for the support
+    baskets = examples.join(in_classes(examples, known, "id").withColumnRenamed("items", "have"), "id", "left")
+    baskets = baskets.select(F.concat(F.coalesce("have", F.array().cast("array<string>")), verdict).alias("items"))
     rules = FPGrowth(itemsCol="items", minSupport=support, minConfidence=confidence).fit(baskets).associationRules
     said = F.element_at("consequent", 1)
     rules = rules.where(F.startswith(said, F.lit(mark)) & ~F.exists("antecedent", lambda i: F.startswith(i, F.lit(mark))))
@@ -91,27 +127,28 @@ def mine(labelled: DataFrame, support: float = MIN_SUPPORT, confidence: float =
         ),
         "url-rules",
     )
-    # a rule is redundant if leaving one of its tokens out gives a rule for the same verdict that is as confident
+    # a rule is redundant if leaving one of its classes out gives a rule for the same verdict that is as confident
     shorter = rules.select(F.col("items").alias("part"), "verdict", F.col("confidence").alias("other"))
     parts = rules.select(
         "items", "verdict", "confidence", F.explode("items").alias("one")
     ).select("items", "verdict", "confidence", F.array_remove("items", F.col("one")).alias("part"))
     implied = parts.join(shorter, ["part", "verdict"]).where("other >= confidence").select("items", "verdict").distinct()
-    return util.stored(rules.join(implied, ["items", "verdict"], "left_anti"), "url-rules-kept")
+    return util.stored(rules.join(implied, ["items", "verdict"], "left_anti"), "url-rules-kept"), known
 
 
 def judge(pages: DataFrame, url: str = "url", rules=RULES, default: str = DEFAULT) -> DataFrame:
     """``pages`` with host, path, rule and verdict (columns of these names are replaced)."""
-    host, path = host_path(F.col(url))
-    base = pages.withColumns({"host": host, "path": path}).withColumn("__fit", fitting(F.col("host"), F.col("path"), rules))
-    urls = base.select(F.col(url).alias("url"), "host", "path", "__fit")
-    labelled = urls.where("__fit is not null").select(
-        tokens(F.col("url"), F.col("host"), F.col("path")).alias("items"), F.col("__fit.verdict").alias("verdict")
-    )
-    kept = mine(labelled)
+    names = ("host", "path", "rule", "verdict")
+    passed = [c for c in pages.columns if c.lower() not in names]
+    row = F.struct(*[F.col(c) for c in passed]) if passed else F.struct(F.lit(0).alias("none"))
+    host, path = host_path(pages[url])
+    base = pages.select(row.alias("row"), pages[url].alias("url"), host.alias("host"), path.alias("path"))
+    base = base.withColumn("fit", fitting(F.col("host"), F.col("path"), rules))
+    items = tokens(F.col("url"), F.col("host"), F.col("path")).alias("items")
+    kept, known = mine(base.where("fit is not null").select(items, F.col("fit.verdict").alias("verdict")))
     # the rest: each distinct url once
-    rest = urls.where("__fit is null and url is not null").select("url", "host", "path").distinct()
-    rest = rest.select("url", tokens(F.col("url"), F.col("host"), F.col("path")).alias("have"))
+    rest = base.where("fit is null and url is not null").select("url", "host", "path").distinct()
+    rest = in_classes(rest.select("url", items), known, "url").withColumnRenamed("items", "have")
     held = kept.select(F.explode("items").alias("item"), "items", "verdict", "confidence", "support")
     often = held.groupBy("item").agg(F.count("*").alias("n"))
     index = (
@@ -123,12 +160,12 @@ def judge(pages: DataFrame, url: str = "url", rules=RULES, default: str = DEFAUL
     found = rest.select("url", "have", F.explode("have").alias("item")).join(index, "item")
     found = found.where(F.size(F.array_except("items", "have")) == 0)
     strength = F.struct("confidence", "support", F.size("items"), "verdict")
-    mined = util.stored(found.groupBy("url").agg(F.max_by("verdict", strength).alias("__mined")), "url-verdicts")
-    out = base.join(mined.withColumnRenamed("url", "__url"), F.col(url) == F.col("__url"), "left")
+    mined = util.stored(found.groupBy("url").agg(F.max_by("verdict", strength).alias("mined")), "url-verdicts")
+    out = base.join(mined, "url", "left")
     return out.select(
-        *[c for c in pages.columns if c not in ("host", "path", "rule", "verdict")],
-        "host", "path", F.col("__fit.rule").alias("rule"),
-        F.coalesce("__fit.verdict", "__mined", F.lit(default)).alias("verdict"),
+        *[F.col("row").getField(c).alias(c) for c in passed],
+        "host", "path", F.col("fit.rule").alias("rule"),
+        F.coalesce("fit.verdict", "mined", F.lit(default)).alias("verdict"),
     )
 
 
