@@ -151,12 +151,12 @@ def keep_one(
     first = F.min(F.struct(F.col("id").isNull().alias("none"), "id", "key", "n")).alias("row")
     least = util.stored(rows.groupBy("fp").agg(first), "simhash-distinct")
     chosen = _rooted(least, max_bits).groupBy("root").agg(F.min("row").alias("row"))
-    kept = util.stored(chosen.select("row.id", "row.key", "row.n").toDF("__id", "__key", "__n"), "simhash-kept")
-    key = util.fresh(docs, "text_key")
+    key, *names = (util.fresh(docs, name) for name in ("text_key", "kept_id", "kept_key", "kept_n"))
+    kept = util.stored(chosen.select("row.id", "row.key", "row.n").toDF(*names), "simhash-kept")
     keyed = docs.withColumn(key, _text_key(text))
-    same = keyed[doc_id].eqNullSafe(F.col("__id")) & (keyed[key] == F.col("__key"))
-    once = keyed.join(kept.where("__n = 1"), same, "left_semi")
-    again = keyed.join(kept.where("__n > 1"), same, "left_semi").dropDuplicates([doc_id, key])
+    same = keyed[doc_id].eqNullSafe(kept[names[0]]) & (keyed[key] == kept[names[1]])
+    once = keyed.join(kept.where(F.col(names[2]) == 1), same, "left_semi")
+    again = keyed.join(kept.where(F.col(names[2]) > 1), same, "left_semi").dropDuplicates([doc_id, key])
     return once.union(again).drop(key)
 
 
