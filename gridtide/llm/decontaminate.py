@@ -1,21 +1,29 @@
 """Benchmark decontamination by a BM25 inverted index with block-max WAND (operator 4).
 
-The benchmark's items, cut into segments of at most ``SEGMENT`` words, form an
-inverted index: per word its segments with their BM25 impact, divided by the
-segment's own score (1 for a passage that has all its words), and the largest
-impact per block of segments. Every passage of every document (``PASSAGE``
-words, half overlapping) is a query. A passage whose words' largest impacts sum
-to less than the threshold has no hit; else only blocks whose bounds reach it
-are scored, exactly, and all segments at or above the threshold are retrieved.
+The questions of the benchmark's items, cut into segments of at most ``SEGMENT``
+words, form an inverted index: per word its segments with their BM25 impact, and
+the largest impact per block of segments. Impacts are divided by the segment's
+own threshold: the least score that a contained copy of it can have. A copy
+keeps ``OVERLAP`` of the question's shingles, so at least one segment keeps that
+share of the shingles that begin in it; a lost word takes up to five of them, and
+the greatest sum of impacts that can be lost so is found by dynamic programming. So no contained copy is missed, however
+much of its score lies in a few rare words. Every passage of every document
+(``PASSAGE`` words, half overlapping) is a query. A passage whose words' largest impacts sum
+to less than 1 has no hit; else only blocks whose bounds reach it
+are scored, exactly, and all segments at or above their threshold are retrieved.
 A retrieved item counts as contained if its question's and its answer's words
 overlap with the document: shares of the question's five-word shingles, and of
 the answer's words, of at least ``OVERLAP`` each, and likewise of the shingles
 of question and answer together, with or without those that cross from one to
 the other (a label or line between them breaks these). The answer is an item's
-last sentence or line (the whole, if it has one only).
+last sentence or line (the whole, if it has one only). Question and answer may
+stand apart; a question's segment is found where it stands within half a passage.
 
-The index is broadcast in shards of at most ``SHARD_WORDS`` words of items, one
-pass over the documents for each, so its size is bounded for any benchmark.
+Numbers of segments and mean length are those of the whole benchmark; items are
+dealt by a hash into shards of about ``SHARD_WORDS`` words of items, one
+pass over the documents for each, whose hits are stored before the next. So a
+broadcast is bounded for any benchmark, and the hits and scores are the same for
+any size of the shards.
 
 Defined results: null and empty texts contain nothing; items without a word
 match nothing; repeated items are reported each; ties don't matter, as all hits
@@ -39,8 +47,6 @@ from gridtide.llm import util
 
 PASSAGE = 128
 SEGMENT = 48
-#: Share of a segment's own score. A contained item (OVERLAP of its shingles) lacks few words: one lost word costs five shingles.
-THRESHOLD = 0.7
 OVERLAP = 0.8
 SHINGLE = 5
 #: Segments in a block of the index.
@@ -85,39 +91,105 @@ def shingles(ws: list[bytes], size: int = SHINGLE) -> set[tuple]:
     return {tuple(ws[i : i + size]) for i in range(max(1, len(ws) - size + 1))} if ws else set()
 
 
+def segments(question: list[bytes]) -> list[tuple[list[bytes], np.ndarray]]:
+    """The question's words in segments of about equal length, each with the weight of the shingles that begin
+    at its words: 1 at the first place of a distinct shingle, else 0."""
+    if not question:
+        return []
+    seen, weight = set(), np.zeros(len(question), np.int64)
+    for i in range(max(1, len(question) - SHINGLE + 1)):
+        if (shingle := tuple(question[i : i + SHINGLE])) not in seen:
+            seen.add(shingle)
+            weight[i] = 1
+    step = math.ceil(len(question) / math.ceil(len(question) / SEGMENT))
+    return [(question[i : i + step], weight[i : i + step]) for i in range(0, len(question), step)]
+
+
+def most_lost(impacts: list[float], weight: np.ndarray, budget: int) -> float:
+    """The greatest sum of impacts that words can have which take at most ``budget`` shingles with them.
+
+    ``impacts`` are those of the words by place (0 where a word occurred before); a word at place ``p`` takes the
+    shingles that begin at ``p - SHINGLE + 1`` to ``p``. Kept per place of the last lost word and budget used.
+    """
+    ends = np.concatenate(([0], np.cumsum(weight))).tolist()
+    best: list[list[float]] = []  # best[p][used]: the last lost word is at p
+    free = [-math.inf] * (budget + 1)  # the best with a last lost word SHINGLE or more places back, or none
+    free[0] = 0.0
+    answer = 0.0
+    for p, impact in enumerate(impacts):
+        low = max(0, p - SHINGLE + 1)
+        if p >= SHINGLE:
+            free = [max(a, b) for a, b in zip(free, best[p - SHINGLE], strict=True)]
+        here = [-math.inf] * (budget + 1)
+        for last, row in [(None, free), *((q, best[q]) for q in range(low, p))]:
+            cost = ends[p + 1] - ends[low if last is None else max(low, last + 1)]
+            for used in range(budget + 1 - cost):
+                if row[used] + impact > here[used + cost]:
+                    here[used + cost] = row[used] + impact
+        best.append(here)
+        answer = max(answer, *here)
+    return answer
+
+
+class Statistics:
+    """Number of segments, their mean length and how many have each word, over the whole benchmark."""
+
+    def __init__(self):
+        self.n = self.length = 0
+        self.df: Counter = Counter()
+
+    def add(self, text: str | None) -> int:
+        """Count an item; the number of its words."""
+        for segment, _ in segments(question_answer(text)[0]):
+            self.n += 1
+            self.length += len(segment)
+            self.df.update(set(segment))
+        return len(words(text))
+
+    @classmethod
+    def of(cls, texts) -> Statistics:
+        out = cls()
+        for text in texts:
+            out.add(text)
+        return out
+
+    def impacts(self, segment: list[bytes]) -> dict[bytes, float]:
+        norm = K1 * (1 - B + B * len(segment) * self.n / max(1, self.length))
+        idf = {w: math.log(1 + (self.n - self.df[w] + 0.5) / (self.df[w] + 0.5)) for w in segment}
+        return {w: idf[w] * f * (K1 + 1) / (f + norm) for w, f in Counter(segment).items()}
+
+
 class Index:
-    """Segments of items: postings of normalised impacts, and block maxima."""
+    """Segments of items: postings of impacts as shares of the segment's threshold, and block maxima."""
 
-    def __init__(self, items: list[tuple[int, str | None]]):
-        self.items = []
-        segments, self.owner = [], []
+    def __init__(self, items: list[tuple[int, str | None]], statistics: Statistics | None = None):
+        statistics = statistics or Statistics.of(text for _, text in items)
+        self.items, self.owner, self.threshold = [], [], []
+        postings = defaultdict(list)
         for item_id, text in items:
             q, a = question_answer(text)
-            all_words = words(text)
-            if not all_words:
+            if not q:
                 continue
-            self.items.append((item_id, shingles(q), set(a), shingles(a), shingles(all_words)))
-            pieces = max(1, math.ceil(len(all_words) / SEGMENT))
-            step = math.ceil(len(all_words) / pieces)
-            for i in range(0, len(all_words), step):
-                segments.append(Counter(all_words[i : i + step]))
+            self.items.append((item_id, shingles(q), set(a), shingles(a), shingles(words(text))))
+            for segment, weight in segments(q):
+                if not weight.any():
+                    continue  # a repeat of earlier shingles: another segment has them
+                impact = statistics.impacts(segment)
+                first = {w: i for i, w in reversed(list(enumerate(segment)))}
+                by_place = [impact[w] if first[w] == i else 0.0 for i, w in enumerate(segment)]
+                budget = int((1 - OVERLAP) * int(weight.sum()) + 1e-9)
+                least = (sum(impact.values()) - most_lost(by_place, weight, budget)) * (1 - 1e-9)
+                for w, x in impact.items():
+                    postings[w].append((len(self.owner), x / max(least, 1e-9)))
                 self.owner.append(len(self.items) - 1)
-        n = len(segments)
-        mean = sum(sum(s.values()) for s in segments) / max(1, n)
-        df = Counter(w for s in segments for w in s)
-        self.term = {w: i for i, w in enumerate(sorted(df))}
+                self.threshold.append(least)
+        n = len(self.owner)
+        self.term = {w: i for i, w in enumerate(sorted(postings))}
         self.blocks = -(-n // BLOCK)
-        postings = defaultdict(list)
-        for k, s in enumerate(segments):
-            norm = K1 * (1 - B + B * sum(s.values()) / mean)
-            impact = {w: math.log(1 + (n - df[w] + 0.5) / (df[w] + 0.5)) * f * (K1 + 1) / (f + norm) for w, f in s.items()}
-            own = sum(impact.values())
-            for w, x in impact.items():
-                postings[self.term[w]].append((k, x / own))
         self.first = np.zeros(len(self.term) + 1, np.int64)
         segment, impact = [], []
-        for t in range(len(self.term)):
-            for k, x in postings[t]:
+        for t, w in enumerate(self.term):
+            for k, x in postings[w]:
                 segment.append(k)
                 impact.append(x)
             self.first[t + 1] = len(segment)
@@ -141,16 +213,16 @@ class Index:
         return np.repeat(low - np.concatenate(([0], np.cumsum(size)[:-1])), size) + np.arange(int(size.sum()))
 
     def retrieve(self, terms: np.ndarray) -> list[tuple[int, float]]:
-        """All (segment, score) of at least THRESHOLD for a passage's distinct terms."""
+        """All (segment, score) of at least the segment's threshold for a passage's distinct terms."""
         at = self._spans(self.block_first, terms)
         bound = np.bincount(self.block_of[at], self.block_max[at], self.blocks)
-        open_blocks = bound >= THRESHOLD
+        open_blocks = bound >= 1
         if not open_blocks.any():
             return []
         at = self._spans(self.first, terms)
         at = at[open_blocks[self.segment[at] // BLOCK]]
         score = np.bincount(self.segment[at], self.impact[at], len(self.owner))
-        return [(int(k), float(score[k])) for k in np.flatnonzero(score >= THRESHOLD)]
+        return [(int(k), float(score[k]) * self.threshold[k]) for k in np.flatnonzero(score >= 1)]
 
     def hits(self, text: str | None) -> list[tuple[int, float, float, float]]:
         """(item_id, best score, question overlap, answer overlap) of the items contained in the text."""
@@ -172,11 +244,11 @@ class Index:
         for low in range(0, max(1, width - 1), 4096):
             halves = grid[low : low + 4097]
             rough = self.bound[halves].sum(axis=1)
-            able = np.flatnonzero(rough[:-1] + rough[1:] >= THRESHOLD)
+            able = np.flatnonzero(rough[:-1] + rough[1:] >= 1)
             passages = np.sort(np.concatenate((halves[able], halves[able + 1]), axis=1), axis=1)
             value = self.bound[passages]
             value[:, 1:][passages[:, 1:] == passages[:, :-1]] = 0  # a word counts once
-            for row in np.flatnonzero(value.sum(axis=1) >= THRESHOLD):
+            for row in np.flatnonzero(value.sum(axis=1) >= 1):
                 terms = np.unique(passages[row])
                 for k, score in self.retrieve(terms[terms < none]):
                     item = self.owner[k]
@@ -202,30 +274,38 @@ class Index:
 
 
 def shards(benchmark: DataFrame, item_id: str = "item_id", text: str = "text"):
-    """Indexes over the benchmark, each of at most SHARD_WORDS words (one item at least), read in order."""
-    held, size = [], 0
-    for r in benchmark.select(F.col(item_id).cast("long"), text).toLocalIterator():
-        n = len(words(r[1]))
-        if held and size + n > SHARD_WORDS:
-            yield Index(held)
-            held, size = [], 0
-        held.append((r[0], r[1]))
-        size += n
-    if held:
-        yield Index(held)
+    """Indexes over the benchmark's items, dealt by a hash into shards of about SHARD_WORDS words.
+
+    Items are read one partition at a time; the driver holds one shard and the benchmark's word counts.
+    """
+    items = benchmark.select(F.col(item_id).cast("long").alias("item_id"), F.col(text).alias("text"))
+    statistics, size = Statistics(), 0
+    for r in items.select("text").toLocalIterator():
+        size += statistics.add(r["text"])
+    if not statistics.n:
+        return
+    n = -(-size // SHARD_WORDS)
+    shard = F.pmod(F.xxhash64("item_id", "text"), F.lit(n))
+    for i in range(n):
+        held = items.where(shard == i).collect()
+        if held:
+            yield Index([(r["item_id"], r["text"]) for r in held], statistics)
 
 
 def find(docs: DataFrame, benchmark: DataFrame, text: str = "text", hits: str = "hits") -> DataFrame:
     """``docs`` with ``hits``: the benchmark items each whole text contains."""
     out = docs.withColumn(hits, F.array().cast(HITS))
-    for index in shards(benchmark):
+    for i, index in enumerate(shards(benchmark)):
         shared = docs.sparkSession.sparkContext.broadcast(index)
 
         def make(shared=shared):
             return lambda texts: [[shared.value.hits(t) for t in texts]]
 
+        if i:  # one index at a time in a plan
+            out = util.stored(out, "decontaminate")
         more = util.fresh(out, "found")
-        out = util.per_text(out, text, [(more, HITS)], make).withColumn(hits, F.concat(hits, more)).drop(more)
+        found = util.per_text(out, text, [(more, HITS)], make)
+        out = found.withColumn(hits, F.concat(hits, more)).drop(more)
     return out
 
 
