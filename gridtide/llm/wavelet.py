@@ -17,9 +17,11 @@ from __future__ import annotations
 
 import gc
 import os
+import re
 import unicodedata
 import uuid
 from collections.abc import Iterator
+from functools import cache
 from pathlib import Path
 
 import numpy as np
@@ -29,7 +31,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from gridtide.llm import util
+from gridtide.llm import pieces, util
 from gridtide.session import checkpoint_dir
 
 #: Tokens after which a shard is closed (a single longer document makes a longer shard).
@@ -41,6 +43,8 @@ CACHE = 350_000
 #: Texts that Spark hands a worker at once while shards are written.
 BATCH_ROWS = 1000
 _CLOSING = ".,;:!?"
+#: An ending that the vocabulary takes with its apostrophe though a blank stands before it.
+_own_ending = re.compile(r"\s'(?:s|t|re|ve|m|ll|d)")
 _MAGIC = 0x574D5831
 
 
@@ -172,12 +176,29 @@ class Shard:
         return i
 
 
+@cache
+def _simple_points() -> np.ndarray:
+    """Characters that the vocabulary's normalizer changes one by one, if at all: ASCII, letters of the
+    European alphabets that aren't composed with others, and common signs."""
+    out = np.zeros(0x110000, bool)
+    out[:0x80] = True
+    for c in range(0xA1, 0x530):
+        low = chr(c).lower()
+        letter = unicodedata.category(chr(c)) in ("Ll", "Lu") and len(low) == 1 and unicodedata.category(low) == "Ll"
+        out[c] = letter and unicodedata.is_normalized("NFC", chr(c) + low)
+    out[[0x3A3, 0x130]] = False  # lower-cased by their neighbours, or to more than one
+    out[[0xA7, 0xB0, 0xBF, 0xA1, 0xAB, 0xBB, 0x20AC, 0x2026, *range(0x2010, 0x2023)]] = True
+    return out
+
+
 class WordEncoder:
     """The tokenizers library behind a cache of words.
 
-    The vocabulary drops white space and never merges across it, so a text's
-    ids are those of its blank-separated pieces, one after another; pieces new
-    to the worker go to the library together, with a special token between them.
+    The vocabulary drops white space and never merges across it, nor across
+    letters, digits and signs. Texts of simple characters are cut there in bulk,
+    and each distinct piece that is new to the worker goes to the library once.
+    Other texts are cut at blanks only; the pieces new to the worker go to the
+    library together, with a special token between them.
     """
 
     def __init__(self, tokenizer_json: str):
@@ -188,14 +209,16 @@ class WordEncoder:
         self.library = Tokenizer.from_str(tokenizer_json)
         self.library.no_truncation()
         self.library.no_padding()
-        mark = next(iter(self.library.get_added_tokens_decoder().items()))
+        added = self.library.get_added_tokens_decoder()
+        mark = next(iter(added.items()))
         self.mark_id, self.mark = mark[0], mark[1].content
+        self.special = [token.content.lower() for token in added.values()]
         vocabulary = self.library.get_vocab(with_added_tokens=True)
         self.ends_word = np.zeros(max(vocabulary.values()) + 1, bool)
         self.ends_word[[i for token, i in vocabulary.items() if token.endswith("</w>")]] = True
         self.cache: dict[str, bytes] = {}
 
-    def learn(self, pieces: list[str]) -> None:
+    def learn(self, found: list[str]) -> None:
         """Put the ids of the pieces into the cache.
 
         The ids of "word," are those of "word" and of ",": letters and closing
@@ -203,7 +226,7 @@ class WordEncoder:
         (where they are ASCII: its normalizer does no more), many at a time.
         """
         plan, words, rest = [], set(), set()
-        for p in pieces:
+        for p in found:
             word = p.rstrip(_CLOSING)
             plain = word.isascii()
             # other letters may be taken apart by the normalizer, and a mark joins the punctuation
@@ -236,13 +259,13 @@ class WordEncoder:
             data = ids.tobytes()
             self.cache.update((w, data[a:b]) for w, a, b in zip(run, [0, *ends], ends, strict=False))
 
-    def _marked(self, pieces: list[str]) -> None:
+    def _marked(self, found: list[str]) -> None:
         """Any pieces, with a special token between them; those that hold it themselves go one by one."""
-        alone = [p for p in pieces if self.mark in p]
-        pieces = [p for p in pieces if self.mark not in p]
+        alone = [p for p in found if self.mark in p]
+        found = [p for p in found if self.mark not in p]
         for p, e in zip(alone, self.library.encode_batch_fast(alone, add_special_tokens=False), strict=True):
             self.cache[p] = np.array(e.ids, "<u4").tobytes()
-        runs = [pieces[i : i + 64] for i in range(0, len(pieces), 64)]
+        runs = [found[i : i + 64] for i in range(0, len(found), 64)]
         encoded = self.library.encode_batch_fast([self.mark.join(run) for run in runs], add_special_tokens=False)
         for run, e in zip(runs, encoded, strict=True):
             ids = np.array(e.ids, "<u4")
@@ -252,12 +275,44 @@ class WordEncoder:
             high = [*(cuts * 4).tolist(), len(data)]
             self.cache.update((p, data[a:b]) for p, a, b in zip(run, low, high, strict=True))
 
+    def _lowered(self, text: str) -> str | None:
+        """The text in lower case, if it may be cut at letters, digits and signs."""
+        low = text.lower()
+        if _own_ending.search(low) or any(token in low for token in self.special):
+            return None
+        if not low.isascii() and not _simple_points()[np.frombuffer(text.encode("utf-32-le"), "<u4")].all():
+            return None
+        return low
+
+    def _simple(self, texts: list[str]) -> list[bytes]:
+        """Texts that are cut in bulk: each distinct piece once, then by position."""
+        out = [b""] * len(texts)
+        for owners, some in pieces.parts(texts):
+            found = pieces.cut(some)
+            units = [u.lstrip(" ") for u in found.words.to_pylist()]
+            new = {u for u in units if u not in self.cache}
+            letters = [u for u in new if u.isalpha()]
+            self._words(letters)
+            self._marked([u for u in new if u not in self.cache])
+            ids = list(map(self.cache.__getitem__, units))
+            sizes = np.fromiter(map(len, ids), np.int64, len(ids)) // 4
+            places, each = pieces.gather(np.cumsum(sizes) - sizes, sizes, found.index)
+            data = np.frombuffer(b"".join(ids), "<u4")[places].tobytes()
+            ends = (np.cumsum(pieces.total(each, found.counts)) * 4).tolist()
+            for i, a, b in zip(owners, [0, *ends], ends, strict=False):
+                out[i] = out[i] + data[a:b] if out[i] else data[a:b]
+        return out
+
     def __call__(self, texts: list[str | None]) -> list[bytes]:
         if len(self.cache) > CACHE:
             self.cache = {}
-        split = [(t or "").replace("\n", " ").split(" ") for t in texts]
+        low = [self._lowered(t or "") for t in texts]
+        out = iter(self._simple([t for t in low if t is not None]))
+        split = [(t or "").replace("\n", " ").split(" ") if x is None else [] for t, x in zip(texts, low, strict=True)]
         self.learn([p for p in set().union(*split) if p not in self.cache])
-        return [b"".join(map(self.cache.__getitem__, ps)) for ps in split]
+        return [
+            b"".join(map(self.cache.__getitem__, ps)) if x is None else next(out) for ps, x in zip(split, low, strict=True)
+        ]
 
 
 _workers: dict[int, WordEncoder] = {}

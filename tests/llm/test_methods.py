@@ -156,3 +156,20 @@ def test_clashing_columns_and_empty_tables(spark):
     kept = simhash.keep_one(docs)
     assert kept.columns == docs.columns and sorted(r.doc_id for r in kept.collect()) == [1, 2]
     assert secrets.redact(docs.limit(0), {}).collect() == [] and secrets.find(docs, {}).columns[-1] == "spans"
+
+
+# ---- operator 10 --------------------------------------------------------------------------------
+def test_words_cut_in_bulk_have_the_librarys_ids():
+    from gridtide.llm import wavelet
+
+    path = wavelet._default_path()
+    encoder, library = wavelet.WordEncoder(open(path, encoding="utf-8").read()), Tokenizer.from_file(path)
+    r = random.Random(3)
+    signs = [*" " * 6, "'", "s", "re", "S", "a", "Z", "ll", "1", "23", "\n", "\t", ".", ",", "!?", "é", "É", "é", "Σ", "İ", "ı", "ß", "中", "й",
+             "й", "…", "–", "<|endoftext|>", "<|endo", "_", "#", "\xa0", "\x85", "🙂", "ǅ", " 's", "'S", " 'T", "ª", "²", "\x1c"]
+    texts = ["".join(r.choices(signs, k=r.randint(0, 30))) for _ in range(3000)] + [None, "", "a " * 50_000]
+    points = [chr(c) for c in [*range(0x530), *range(0x2000, 0x2100)]]
+    texts += [w.replace("{}", c) for c in points for w in ("a{}b", "{}'s", "1{}1", ". {}!", "A{} {}x")]
+    for t, ids in zip(texts, encoder(texts)):
+        assert list(memoryview(ids).cast("I")) == library.encode(t or "", add_special_tokens=False).ids, t
+    assert sum(encoder._lowered(t or "") is not None for t in texts) > len(texts) / 3
