@@ -7,7 +7,7 @@ worker's memory follows the longest single text, never a partition.
 
 from __future__ import annotations
 
-import tempfile
+import io
 import uuid
 import zipfile
 from collections.abc import Callable, Iterator
@@ -33,11 +33,17 @@ def ship(spark: SparkSession) -> None:
     if context.applicationId in _shipped:
         return
     root = Path(__file__).resolve().parents[1]
-    archive = Path(tempfile.mkdtemp(prefix="package-")) / f"{root.name}.zip"
-    with zipfile.ZipFile(archive, "w") as z:
+    packed = io.BytesIO()
+    with zipfile.ZipFile(packed, "w") as z:
         for f in sorted(root.rglob("*.py")):
             z.write(f, f.relative_to(root.parent))
-    context.addPyFile(str(archive))
+    # executors fetch it from the shared folder
+    target = context._jvm.org.apache.hadoop.fs.Path(f"{checkpoint_dir(spark).rstrip('/')}/package-{uuid.uuid4().hex}/{root.name}.zip")
+    fs = target.getFileSystem(context._jsc.hadoopConfiguration())
+    out = fs.create(target, True)
+    out.write(bytearray(packed.getvalue()))
+    out.close()
+    context.addPyFile(fs.makeQualified(target).toString())
     _shipped.add(context.applicationId)
 
 
