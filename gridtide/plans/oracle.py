@@ -6,17 +6,39 @@ Column names equal the Spark outputs.
 
 from __future__ import annotations
 
-from gridtide import fixed
-from gridtide.plans import chain, fixtures
-
-COUNTERS = list(fixed.COUNTERS)
-DELTAS = [fixed.DELTA_PREFIX + c for c in COUNTERS]
-KEY, TIME = fixed.KEY, fixed.TIME
-CAP = fixed.CAPACITY
-TEL_START = fixtures.TELEMETRY_CALENDAR["calendar_start"]
-TEL_END = "2024-12-31 00:00:00"
-SUP_START = fixtures.SUPPLY_CALENDAR["calendar_start"]
-SUP_END = "2001-11-05 00:00:00"  # 1995-01-01 + 2500 days
+# --- fixed values, stated here a second time: the SQL takes nothing from the package ---
+KEY, TIME, CAP = "inverter_serial_no", "date_time", "battery_capacity_percentage"
+COUNTERS = [
+    "on_grid_total_yield_kwh",
+    "total_feed_in_energy_kwh",
+    "total_consume_energy_from_grid_kwh",
+    "pv_total_power_generation_kwh",
+    "total_battery_charge_kwh",
+    "total_battery_discharge_kwh",
+]
+INSTANT = {c: "Instantaneous_" + c for c in COUNTERS}
+DELTAS = list(INSTANT.values())
+HOUSE = "Total_power_used_in_house"
+OUTLIER_COLUMNS = ["total_battery_charge_kwh", "total_battery_discharge_kwh"]
+SEASONS = [("Spring", "3, 4, 5"), ("Summer", "6, 7, 8"), ("Autumn", "9, 10, 11"), ("Winter", "12, 1, 2")]
+DAYLIGHT = [("Spring", 7, 19), ("Summer", 5, 21), ("Autumn", 7, 19), ("Winter", 8, 17)]
+MESSAGES = [
+    "On Grid Total Cannot be Negative",
+    "Feed in energy Cannot be Negative",
+    "Feed in cannot happen if battery % is less than 10",
+    "Feed in and consumption can not happen same time",
+    "Consumption from grid cannot be negative",
+    "Battery capacity should be within the range",
+    "Battery charge and discharge cannot happen at same time",
+    "Battery charge be negative",
+    "Battery discharge cannot be negative",
+    "Battery discharge can not have any value if there is no consumption and feed in to grid",
+    "PV Power generation can not be negative",
+    "PV value can not be at night",
+    "Cannot consume from grid, if no usage",
+]
+TEL_START, TEL_END = "2024-01-01 00:00:00", "2024-12-31 00:00:00"
+SUP_START, SUP_END = "1995-01-01 00:00:00", "2001-11-05 00:00:00"  # 2500 days
 
 
 def with_(*ctes: tuple[str, str]) -> str:
@@ -190,13 +212,13 @@ W_DEV = f"WINDOW w AS (PARTITION BY {KEY} ORDER BY {TIME})"
 
 def derive_ctes(src) -> list[tuple[str, str]]:
     deltas = ",\n  ".join(f"coalesce({c} - lag({c}) OVER w, 0) AS {d}" for c, d in zip(COUNTERS, DELTAS))
-    i = {c: fixed.DELTA_PREFIX + c for c in COUNTERS}
+    i = INSTANT
     season_cases = " ".join(
-        f"WHEN month IN ({', '.join(str(m) for m in months)}) THEN {q(name)}" for name, months in fixed.SEASON_MONTHS
+        f"WHEN month IN ({months}) THEN {q(name)}" for name, months in SEASONS
     )
     tod_cases = " ".join(
         f"WHEN Season = {q(name)} THEN CASE WHEN hour({TIME}) BETWEEN {a} AND {b} THEN 'Day' ELSE 'Night' END"
-        for name, a, b in fixed.DAYLIGHT_HOURS
+        for name, a, b in DAYLIGHT
     )
     return [
         (
@@ -219,9 +241,9 @@ def derive_ctes(src) -> list[tuple[str, str]]:
 
 
 def _rule_sql() -> list[tuple[str, str]]:
-    i = {c: fixed.DELTA_PREFIX + c for c in COUNTERS}
+    i = INSTANT
     cons = "total_consume_energy_from_grid_kwh"
-    house = fixed.HOUSE_POWER
+    house = HOUSE
     preds = [
         f"{i['on_grid_total_yield_kwh']} < 0",
         f"{i['total_feed_in_energy_kwh']} < 0",
@@ -237,7 +259,7 @@ def _rule_sql() -> list[tuple[str, str]]:
         f"TimeofDay = 'Night' AND {i['pv_total_power_generation_kwh']} <> 0",
         f"{i[cons]} > 0 AND {house} = 0",
     ]
-    return list(zip(preds, [msg for _, msg in chain.rule_columns()]))
+    return list(zip(preds, MESSAGES, strict=True))
 
 
 def validate_ctes(src) -> list[tuple[str, str]]:
@@ -258,7 +280,7 @@ def _has(msg):
 
 def repair_steps() -> dict[str, list[str]]:
     """Per step, the REPLACE expressions (reading the step's input)."""
-    i = {c: fixed.DELTA_PREFIX + c for c in COUNTERS}
+    i = INSTANT
     steps = {}
     steps["fix_negative"] = [
         *[f"CASE WHEN {i[c]} < 0 THEN lag({c}) OVER w ELSE {c} END AS {c}" for c in COUNTERS],
@@ -270,15 +292,15 @@ def repair_steps() -> dict[str, list[str]]:
             out.append(f"CASE WHEN {cond} THEN 0 ELSE {i[counter]} END AS {i[counter]}")
         return out
 
-    steps["fix_pv_night"] = rep(_has(fixed.MSG_PV_AT_NIGHT), "pv_total_power_generation_kwh")
-    steps["fix_feed_in"] = rep(_has(fixed.MSG_FEED_IN_AND_CONSUME), "total_feed_in_energy_kwh")
-    cap = _has(fixed.MSG_CAPACITY_RANGE)
+    steps["fix_pv_night"] = rep(_has(MESSAGES[11]), "pv_total_power_generation_kwh")
+    steps["fix_feed_in"] = rep(_has(MESSAGES[3]), "total_feed_in_energy_kwh")
+    cap = _has(MESSAGES[5])
     steps["fix_capacity"] = [f"CASE WHEN {cap} THEN lag({CAP}) OVER w ELSE {CAP} END AS {CAP}"]
-    night = f"({_has(fixed.MSG_CHARGE_AND_DISCHARGE)} AND TimeofDay = 'Night')"
-    day = f"({_has(fixed.MSG_CHARGE_AND_DISCHARGE)} AND TimeofDay = 'Day')"
+    night = f"({_has(MESSAGES[6])} AND TimeofDay = 'Night')"
+    day = f"({_has(MESSAGES[6])} AND TimeofDay = 'Day')"
     steps["fix_charge_discharge"] = rep(night, "total_battery_charge_kwh") + rep(day, "total_battery_discharge_kwh")
-    steps["fix_discharge"] = rep(_has(fixed.MSG_DISCHARGE_NO_USE), "total_battery_discharge_kwh")
-    steps["fix_grid_use"] = rep(_has(fixed.MSG_GRID_NO_USE), "total_consume_energy_from_grid_kwh")
+    steps["fix_discharge"] = rep(_has(MESSAGES[9]), "total_battery_discharge_kwh")
+    steps["fix_grid_use"] = rep(_has(MESSAGES[12]), "total_consume_energy_from_grid_kwh")
     return steps
 
 
@@ -324,7 +346,7 @@ def outlier_ctes(src, out, cols, partition, order) -> list[tuple[str, str]]:
 
 
 def report_select(src) -> str:
-    rules = ",\n  ".join(f"count(*) FILTER (WHERE {_has(m)}) AS {name}" for name, m in chain.rule_columns())
+    rules = ",\n  ".join(f"count(*) FILTER (WHERE {_has(m)}) AS rule_{k:02d}" for k, m in enumerate(MESSAGES, start=1))
     sums = ",\n  ".join([f"sum({c}) AS sum_{c}" for c in COUNTERS] + [f"sum({d}) AS sum_{d}" for d in DELTAS])
     return (
         "SELECT Season, count(*) AS n_rows, count(*) FILTER (WHERE is_valid) AS n_valid,\n"
@@ -446,10 +468,10 @@ def _sql_all() -> dict[str, str]:
     der = derive_ctes("telemetry")
     s["counter_delta"] = with_(*tel, *der) + f"\nSELECT {KEY}, {TIME}, {', '.join(COUNTERS)}, {CAP}, {', '.join(DELTAS)} FROM dv_delta"
     for name, col in [
-        ("battery_behaviour", fixed.BATTERY_BEHAVIOUR),
-        ("house_power", fixed.HOUSE_POWER),
-        ("season", fixed.SEASON),
-        ("time_of_day", fixed.TIME_OF_DAY),
+        ("battery_behaviour", "BatteryBehaviour"),
+        ("house_power", HOUSE),
+        ("season", "Season"),
+        ("time_of_day", "TimeofDay"),
     ]:
         s[name] = with_(*tel, *der) + f"\nSELECT {KEY}, {TIME}, {col} FROM derived"
     s["derive_all"] = with_(*tel, *der) + "\nSELECT * FROM derived"
@@ -489,7 +511,7 @@ def _sql_all() -> dict[str, str]:
         + "\nSELECT event_id, user_id, ts, value FROM og"
     )
     rchain, last = repair_chain_ctes("validated")
-    oc = outlier_ctes(last, "oc", list(fixed.OUTLIER_COLUMNS), KEY, TIME)
+    oc = outlier_ctes(last, "oc", OUTLIER_COLUMNS, KEY, TIME)
     s["clean_all"] = with_(*tel, *der, *val, *rchain, *oc) + "\nSELECT * FROM oc"
     # flagship: generic checks (min 66 rows) -> calendar -> fills -> derive -> rules -> repairs -> outliers
     gen = [
@@ -509,7 +531,7 @@ def _sql_all() -> dict[str, str]:
     fder = derive_ctes("ffull")
     fval = validate_ctes("derived")
     frep, flast = repair_chain_ctes("validated")
-    foc = outlier_ctes(flast, "foc", list(fixed.OUTLIER_COLUMNS), KEY, TIME)
+    foc = outlier_ctes(flast, "foc", OUTLIER_COLUMNS, KEY, TIME)
     s["season_rule_report"] = (
         with_(*tel, *gen, *fcal, fattr, *fseas, *ffill, ffull, *fder, *fval, *frep, *foc) + "\n" + report_select("foc")
     )

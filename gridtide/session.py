@@ -43,9 +43,9 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str
 def checkpoint_dir(spark: SparkSession) -> str:
     """The session's ``spark.checkpoint.dir`` (shared storage on a cluster).
 
-    A session without one (tests, benchmarks) gets a folder beside its tables,
-    under ``spark.sql.warehouse.dir``, which the driver and all executors see;
-    a machine-local temporary folder is never used.
+    A local session without one (tests, benchmarks) gets a folder beside its
+    tables, under ``spark.sql.warehouse.dir``. On a cluster that folder may be
+    the driver's own disk, so a missing setting is an error there.
     """
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
@@ -53,6 +53,8 @@ def checkpoint_dir(spark: SparkSession) -> str:
         return current
     configured = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir", None)
     if not configured:
+        if not sc.master.startswith("local[") and sc.master != "local":
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         configured = spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/_checkpoints"
     sc.setCheckpointDir(configured)
     return sc.getCheckpointDir() or configured
