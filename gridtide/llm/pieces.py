@@ -41,8 +41,9 @@ def library_classes() -> np.ndarray:
     for pattern, kind in ((r"\p{L}", _LETTER), (r"\p{N}", _NUMBER), (r"\s", _SPACE)):
         library = tiktoken.Encoding("classes", pat_str=pattern, mergeable_ranks=single, special_tokens={})
         for first in range(0, 0x110000, 0x1000):
-            some = "".join(chr(c) for c in range(first, first + 0x1000) if not 0xD800 <= c < 0xE000)
-            found = bytes(library.encode_ordinary(some)).decode()
+            points = np.arange(first, first + 0x1000, dtype="<u4")
+            points = points[(points < 0xD800) | (points >= 0xE000)]
+            found = bytes(library.encode_ordinary(points.tobytes().decode("utf-32-le"))).decode()
             out[np.frombuffer(found.encode("utf-32-le"), "<u4")] = kind
     return out
 

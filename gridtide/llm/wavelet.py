@@ -26,6 +26,7 @@ from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import Window as W
@@ -39,7 +40,7 @@ SHARD_TOKENS = 1 << 20
 #: Bits between two entries of a rank directory.
 STEP = 512
 #: Words after which a worker's cache starts anew (bounds its memory).
-CACHE = 350_000
+CACHE = 700_000
 #: Texts that Spark hands a worker at once while shards are written.
 BATCH_ROWS = 1000
 _CLOSING = ".,;:!?"
@@ -289,11 +290,10 @@ class WordEncoder:
         out = [b""] * len(texts)
         for owners, some in pieces.parts(texts):
             found = pieces.cut(some)
-            units = [u.lstrip(" ") for u in found.words.to_pylist()]
-            new = {u for u in units if u not in self.cache}
-            letters = [u for u in new if u.isalpha()]
-            self._words(letters)
-            self._marked([u for u in new if u not in self.cache])
+            units = pc.utf8_ltrim(found.words, " ").to_pylist()
+            new = set(units).difference(self.cache)
+            self._words([u for u in new if u.isalpha()])
+            self._marked(list(new.difference(self.cache)))
             ids = list(map(self.cache.__getitem__, units))
             sizes = np.fromiter(map(len, ids), np.int64, len(ids)) // 4
             places, each = pieces.gather(np.cumsum(sizes) - sizes, sizes, found.index)
