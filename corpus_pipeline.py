@@ -5,8 +5,13 @@ columns, but for the last, which returns ids and decoded texts. ``run`` writes
 every stage as Parquet under the shared checkpoint folder and reads it again,
 so that a lost executor never recomputes more than one stage.
 
-Null and empty texts: the language stage drops them (no language); a stage that
-is given them anyway keeps them as its operator defines.
+Defined results: null and empty texts leave at the language stage (no language);
+a stage that is given them anyway keeps them as its operator defines. Of rows
+that tie in a class of near-duplicates the one with the smallest id stays (then
+the smallest text hash); rows that repeat in all columns count as one there. A
+null id is an id like any other. An empty table passes every stage and gives an
+empty table. Extra columns, whatever their names, are passed through up to the
+last stage, which returns its own columns.
 """
 
 from __future__ import annotations
