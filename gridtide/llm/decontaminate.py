@@ -51,6 +51,8 @@ OVERLAP = 0.8
 SHINGLE = 5
 #: Segments in a block of the index.
 BLOCK = 4
+#: Bounds of blocks that are held at once while passages are searched.
+_CELLS = 2_000_000
 K1, B = 1.2, 0.75
 #: Words of items in one broadcast shard of the index.
 SHARD_WORDS = 2_000_000
@@ -87,7 +89,7 @@ def question_answer(text: str | None) -> tuple[list[bytes], list[bytes]]:
     return [w for p in parts[:-1] for w in p], parts[-1]
 
 
-def shingles(ws: list[bytes], size: int = SHINGLE) -> set[tuple]:
+def shingles(ws: list, size: int = SHINGLE) -> set[tuple]:
     return {tuple(ws[i : i + size]) for i in range(max(1, len(ws) - size + 1))} if ws else set()
 
 
@@ -170,7 +172,7 @@ class Index:
             q, a = question_answer(text)
             if not q:
                 continue
-            self.items.append((item_id, shingles(q), set(a), shingles(a), shingles(words(text))))
+            self.items.append((item_id, q, a, words(text)))
             for segment, weight in segments(q):
                 if not weight.any():
                     continue  # a repeat of earlier shingles: another segment has them
@@ -185,6 +187,15 @@ class Index:
                 self.threshold.append(least)
         n = len(self.owner)
         self.term = {w: i for i, w in enumerate(sorted(postings))}
+        # all words of items have a number, those of the questions' segments come first; items hold numbers
+        self.number = dict(self.term)
+        for _, _, _, all_words in self.items:
+            for w in all_words:
+                self.number.setdefault(w, len(self.number))
+        self.words = len(self.number)
+        number = self.number.__getitem__
+        of = lambda ws: shingles(list(map(number, ws)))
+        self.items = [(i, of(q), set(map(number, a)), of(a), of(ws)) for i, q, a, ws in self.items]
         self.blocks = -(-n // BLOCK)
         self.first = np.zeros(len(self.term) + 1, np.int64)
         segment, impact = [], []
@@ -207,22 +218,37 @@ class Index:
         np.maximum.at(self.bound, of, self.impact)
 
     @staticmethod
-    def _spans(first: np.ndarray, terms: np.ndarray) -> np.ndarray:
-        """The places of all postings of the terms."""
+    def _spans(first: np.ndarray, terms: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The places of all postings of the terms, and how many each term has."""
         low, size = first[terms], first[terms + 1] - first[terms]
-        return np.repeat(low - np.concatenate(([0], np.cumsum(size)[:-1])), size) + np.arange(int(size.sum()))
-
-    def retrieve(self, terms: np.ndarray) -> list[tuple[int, float]]:
-        """All (segment, score) of at least the segment's threshold for a passage's distinct terms."""
-        at = self._spans(self.block_first, terms)
-        bound = np.bincount(self.block_of[at], self.block_max[at], self.blocks)
-        open_blocks = bound >= 1
-        if not open_blocks.any():
-            return []
-        at = self._spans(self.first, terms)
-        at = at[open_blocks[self.segment[at] // BLOCK]]
-        score = np.bincount(self.segment[at], self.impact[at], len(self.owner))
-        return [(int(k), float(score[k]) * self.threshold[k]) for k in np.flatnonzero(score >= 1)]
+        return np.repeat(low - (np.cumsum(size) - size), size) + np.arange(int(size.sum())), size
+
+    def retrieve(self, passages: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(segment, score) of all hits of at least the segment's threshold, for passages of sorted terms (rows)."""
+        distinct = passages < len(self.term)
+        distinct[:, 1:] &= passages[:, 1:] != passages[:, :-1]  # a word counts once
+        row, column = np.nonzero(distinct)
+        terms = passages[row, column]
+        # bounds of all blocks that a passage's words touch; the others stay closed
+        at, size = self._spans(self.block_first, terms)
+        bound = np.bincount(np.repeat(row, size) * self.blocks + self.block_of[at], self.block_max[at], len(passages) * self.blocks)
+        opened = bound >= 1
+        some = opened.reshape(len(passages), self.blocks).any(axis=1)[row]
+        row, terms = row[some], terms[some]
+        at, size = self._spans(self.first, terms)
+        row = np.repeat(row, size)
+        kept = opened[row * self.blocks + self.segment[at] // BLOCK]
+        key, place = np.unique(row[kept] * len(self.owner) + self.segment[at[kept]], return_inverse=True)
+        score = np.bincount(place, self.impact[at[kept]], len(key))
+        hit = score >= 1
+        segment = key[hit] % max(1, len(self.owner))
+        return segment, score[hit] * np.array(self.threshold)[segment]
+
+    def _found(self, ids: np.ndarray, size: int) -> set[tuple]:
+        """The document's runs of ``size`` words that are all words of items."""
+        known = np.concatenate(([0], np.cumsum(ids < self.words)))
+        places = np.flatnonzero(known[size:] - known[: len(known) - size] == size)
+        return set(map(tuple, ids[places[:, None] + np.arange(size)].tolist())) if len(places) else set()
 
     def hits(self, text: str | None) -> list[tuple[int, float, float, float]]:
         """(item_id, best score, question overlap, answer overlap) of the items contained in the text."""
@@ -231,40 +257,37 @@ class Index:
         ws = words(text)
         if not ws:
             return []
-        none = len(self.term)
         n = len(ws)
-        ids = np.fromiter(map(self.term.get, ws, repeat(none)), np.int64, n)
+        ids = np.fromiter(map(self.number.get, ws, repeat(self.words)), np.int64, n)
         half = PASSAGE // 2
         width = max(1, -(-n // half))
+        none = len(self.term)
         grid = np.full((width + 1) * half, none, np.int64)
-        grid[:n] = ids
+        np.minimum(ids, none, out=grid[:n])  # words that no question has aren't searched
         grid = grid.reshape(width + 1, half)
         best: dict[int, float] = {}
         # a passage is two neighbouring halves; passages go through in runs, so memory stays bounded
-        for low in range(0, max(1, width - 1), 4096):
-            halves = grid[low : low + 4097]
+        rows = max(1, min(4096, _CELLS // max(1, self.blocks)))
+        for low in range(0, max(1, width - 1), rows):
+            halves = grid[low : low + rows + 1]
             rough = self.bound[halves].sum(axis=1)
             able = np.flatnonzero(rough[:-1] + rough[1:] >= 1)
+            if not len(able):
+                continue
             passages = np.sort(np.concatenate((halves[able], halves[able + 1]), axis=1), axis=1)
-            value = self.bound[passages]
-            value[:, 1:][passages[:, 1:] == passages[:, :-1]] = 0  # a word counts once
-            for row in np.flatnonzero(value.sum(axis=1) >= 1):
-                terms = np.unique(passages[row])
-                for k, score in self.retrieve(terms[terms < none]):
-                    item = self.owner[k]
-                    best[item] = max(best.get(item, 0.0), score)
+            for k, score in zip(*(x.tolist() for x in self.retrieve(passages)), strict=True):
+                item = self.owner[k]
+                best[item] = max(best.get(item, 0.0), score)
         if not best:
             return []
-        own, seen = shingles(ws), set(ws)
-        by_size = {SHINGLE: own}
-        out = []
+        by_size, seen, out = {}, set(ids.tolist()), []
         for item, score in sorted(best.items()):
             item_id, question, answer, ending, whole = self.items[item]
             found = []
             for part in (question, ending, whole):
                 size = len(next(iter(part)))
                 if size not in by_size:
-                    by_size[size] = shingles(ws, size)
+                    by_size[size] = self._found(ids, size)
                 found.append(len(part & by_size[size]))
             q, a = found[0] / len(question), len(answer & seen) / len(answer)
             parts = (found[0] + found[1]) / (len(question) + len(ending))
