@@ -73,8 +73,6 @@ def test_all_repairs_at_once_with_four_rows_of_halo(checked):
     got = cleanse.repair_rule_failures(checked, HOT, previous_of=columns)
     same(got.drop("validation_result"), cleanse.repair_rule_failures(checked, PLAIN, previous_of=columns).drop("validation_result"))
     assert_no_device_window(got, PLAIN.key)
-    same(cleanse.repair_rule_failures_stepwise(checked, HOT).drop("validation_result"),
-         cleanse.repair_rule_failures(checked, PLAIN).drop("validation_result"))
 
 
 def test_outliers_and_the_whole_cleaning(readings, checked):
