@@ -15,7 +15,9 @@ repeat possessively, so a run of any length is read once and never by recursion.
 
 Defined results: a null text is an empty text without spans; spans of different
 kinds may overlap, added spans overlap no base span; without candidates nothing
-is trained or added; repeated rows are handled each; columns of the input that
+is trained or added, and an empty table gives no row; repeated rows are handled
+each; ties of probability don't matter, as a span is added by a threshold alone;
+columns of the input that
 clash with working names are not touched, since only the id and the text are used.
 """
 
