@@ -277,11 +277,13 @@ def replace_outliers(
         staged = global_previous(df, columns, order)
     else:
         raise ValueError(f"unknown scope {scope!r}")
+    # the tested columns are those of the input: the fences need no previous values
+    tested = df
     if isinstance(materialize, StageStore):
-        staged = materialize.table(staged, "outliers")
+        tested = staged = materialize.table(staged, "outliers")
     elif materialize:
-        staged = checkpoint_table(staged, "outliers")
-    fences_value = _fence_literals(staged, columns) if exact else _fence_subquery(staged, columns, accuracy)
+        tested = staged = checkpoint_table(staged, "outliers")
+    fences_value = _fence_literals(tested, columns) if exact else _fence_subquery(tested, columns, accuracy)
     staged = staged.withColumn("__fences", fences_value)
     fences = F.col("__fences")
 
