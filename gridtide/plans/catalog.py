@@ -223,10 +223,10 @@ def q_calendar_complete(spark, sf):
 
 
 def q_attribute_bfill(spark, sf):
-    full = calendar.complete_calendar(_telemetry(spark, sf), TELEMETRY)
-    return calendar.fill_attributes(full, TELEMETRY).select(
-        TELEMETRY.key, TELEMETRY.time, "site_name", "registration_no", "file_id"
-    )
+    # the fill needs a row per stretch of empty slots, not one per slot
+    stretches = calendar.calendar_stretches(_telemetry(spark, sf), TELEMETRY)
+    filled = calendar.expand(calendar.fill_attributes(stretches, TELEMETRY), TELEMETRY)
+    return filled.select(TELEMETRY.key, TELEMETRY.time, "site_name", "registration_no", "file_id")
 
 
 def q_bfill(spark, sf):
