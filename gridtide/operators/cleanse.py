@@ -134,6 +134,11 @@ def _repair_plan(cfg: TelemetryConfig) -> tuple[dict[str, list], dict[str, list]
     return carry, zero
 
 
+def reach(cfg: TelemetryConfig = DEFAULT) -> int:
+    """How many rows back a repair may read, with the repaired previous value that C8 takes."""
+    return max(len(conds) for conds in _repair_plan(cfg)[0].values()) + 1
+
+
 def repair_rule_failures(
     df: DataFrame, cfg: TelemetryConfig = DEFAULT, previous_of: tuple[str, ...] = (), bounded: bool = False
 ) -> DataFrame:

@@ -18,9 +18,11 @@ from gridtide.operators.chunks import previous_of_device
 DEFAULT = TelemetryConfig()
 
 
-def project_analysis_columns(df: DataFrame, cfg: TelemetryConfig = DEFAULT, keep_tie: bool = False) -> DataFrame:
-    """Key, time, the counters and the capacity gauge (sorting is left to the output)."""
-    cols = [cfg.key, cfg.time, *cfg.counters, cfg.capacity]
+def project_analysis_columns(
+    df: DataFrame, cfg: TelemetryConfig = DEFAULT, keep_tie: bool = False, also: tuple[str, ...] = ()
+) -> DataFrame:
+    """Key, time, the counters and the capacity gauge (sorting is left to the output); ``also`` are kept beside them."""
+    cols = [cfg.key, cfg.time, *cfg.counters, cfg.capacity, *also]
     if keep_tie and cfg.tie and cfg.tie in df.columns and cfg.tie not in cols:
         cols.append(cfg.tie)
     return df.select(*cols)
@@ -88,14 +90,16 @@ def add_time_of_day(df: DataFrame, cfg: TelemetryConfig = DEFAULT) -> DataFrame:
     return df.withColumn(fixed.TIME_OF_DAY, labels.time_of_day(fixed.SEASON, F.hour(cfg.time)))
 
 
-def derive_all(df: DataFrame, cfg: TelemetryConfig = DEFAULT, keep_tie: bool = False, bounded: bool = False) -> DataFrame:
+def derive_all(
+    df: DataFrame, cfg: TelemetryConfig = DEFAULT, keep_tie: bool = False, bounded: bool = False, also: tuple[str, ...] = ()
+) -> DataFrame:
     """P1 -> W1 -> P8 -> D1 -> D2 -> D3 -> D4 -> D5.
 
     The deltas follow (time, tie); ``keep_tie`` keeps the tie column in the
     result, so that later windows stay deterministic too on readings that share
-    a timestamp.
+    a timestamp. ``also`` names further columns to keep.
     """
-    out = project_analysis_columns(df, cfg, keep_tie=True)
+    out = project_analysis_columns(df, cfg, keep_tie=True, also=also)
     out = fill_null_deltas(counter_deltas(out, cfg, bounded=bounded), cfg)
     if not keep_tie and cfg.tie not in (cfg.key, cfg.time, *cfg.counters, cfg.capacity, None):
         out = out.drop(cfg.tie)

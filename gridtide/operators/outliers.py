@@ -19,7 +19,7 @@ from dataclasses import dataclass, replace
 from fractions import Fraction
 from math import ceil
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, FloatType
 
@@ -142,6 +142,54 @@ def exact_quantiles(
     return {c: [result[(c, p)] for p in probs] for c in columns}
 
 
+def _total_of(counted: DataFrame, parts: int) -> list:
+    """The value ranges of rows (x, n), in order: how often their values count in all, how many values they hold."""
+    ranged = counted.repartitionByRange(parts, "x").groupBy(F.spark_partition_id().alias("part"))
+    return sorted(ranged.agg(F.min("x").alias("lo"), F.max("x").alias("hi"), F.sum("n").alias("n"), F.count("*").alias("rows")).collect())
+
+
+def exact_weighted_quantiles(
+    df: DataFrame,
+    columns: Sequence[str],
+    times: str,
+    probs: Sequence[float] = fixed.IQR_QUANTILES,
+    band_limit: int = 1_000_000,
+) -> dict[str, list]:
+    """:func:`exact_quantiles` of rows that count as often as the column ``times`` says.
+
+    Equal values are counted together and cut into ranges; the range that holds
+    the rank is cut again until it has at most ``band_limit`` different values,
+    which one running sum reads in order. A few rows per range reach the driver.
+    """
+    columns = _check_names(columns)
+    parts = max(8, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    result: dict[str, list] = {}
+    for c in columns:
+        x = _usable(df, c)
+        counted = df.select(x.alias("x"), F.col(times).alias("n")).where(F.col("x").isNotNull() & (F.col("n") > 0))
+        counted = counted.groupBy("x").agg(F.sum("n").alias("n"))
+        ranges = _total_of(counted, parts)
+        total = sum(r["n"] for r in ranges)
+        result[c] = []
+        for p in probs:
+            rank, here, held = max(1, ceil(Fraction(str(p)) * total)), ranges, counted
+            while total:
+                for r in here:
+                    if rank <= r["n"]:
+                        break
+                    rank -= r["n"]
+                held = counted.where(F.col("x").between(F.lit(r["lo"]), F.lit(r["hi"])))
+                if r["rows"] <= band_limit:
+                    break
+                here = _total_of(held, parts)
+            if not total:
+                result[c].append(None)
+                continue
+            upto = held.withColumn("upto", F.sum("n").over(Window.orderBy("x")))
+            result[c].append(upto.where(F.col("upto") >= rank).agg(F.min("x").alias("x")).first()["x"])
+    return result
+
+
 def iqr_fences(
     df: DataFrame,
     columns: Sequence[str],
@@ -185,9 +233,9 @@ def _fence_subquery(df: DataFrame, columns, accuracy) -> Column:
     return quart.scalar()
 
 
-def _fence_literals(df: DataFrame, columns) -> Column:
+def _fence_literals(df: DataFrame, columns, times: str | None) -> Column:
     """Exact quartiles as a literal struct (computed by :func:`exact_quantiles`)."""
-    qs = exact_quantiles(df, columns)
+    qs = exact_quantiles(df, columns) if times is None else exact_weighted_quantiles(df, columns, times)
     return F.struct(
         *[
             F.array(F.lit(qs[c][0]).cast("double"), F.lit(qs[c][1]).cast("double")).alias(c)
@@ -245,6 +293,7 @@ def replace_outliers(
     materialize: bool | StageStore = False,
     previous_ready: bool = False,
     bounded: bool = False,
+    times: str | None = None,
 ) -> DataFrame:
     """A value outside ``[q1 - m*iqr, q3 + m*iqr]`` takes the previous value.
 
@@ -254,6 +303,7 @@ def replace_outliers(
     Only the tested column changes. ``previous_ready`` means the input already
     carries ``__prev_<c>`` columns (e.g. from the fused repair pass). A device
     too long for one task is read in chunks, unless ``bounded`` says that none can be.
+    ``times`` names a column that says how often a row counts for the fences.
 
     The previous values are computed first (in the same window pass as any
     upstream per-device step). With ``materialize`` the rows are then written
@@ -283,7 +333,12 @@ def replace_outliers(
         tested = staged = materialize.table(staged, "outliers")
     elif materialize:
         tested = staged = checkpoint_table(staged, "outliers")
-    fences_value = _fence_literals(tested, columns) if exact else _fence_subquery(tested, columns, accuracy)
+    if exact:
+        fences_value = _fence_literals(tested, columns, times)
+    else:
+        if times is not None:
+            tested = tested.select(*columns, F.explode(F.sequence(F.lit(1).cast("long"), F.col(times))))
+        fences_value = _fence_subquery(tested, columns, accuracy)
     staged = staged.withColumn("__fences", fences_value)
     fences = F.col("__fences")
 

@@ -326,7 +326,7 @@ def q_season_rule_report(spark, sf):
     """Flagship: readings -> generic checks -> one-year calendar -> derive ->
     rules -> repairs -> outliers -> per-season rule report."""
     res = chain.run_chain(_telemetry(spark, sf), FLAGSHIP, exact=True)
-    return chain.season_rule_report(res.cleaned, FLAGSHIP)
+    return chain.season_rule_report(res.counted, FLAGSHIP, times=chain.SLOTS)
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {

@@ -4,7 +4,11 @@ validated -> repaired -> report.
 Exchanges of the readings, in order: by (key, slot), where the generic checks
 and the slots are read off the same sorted rows, and by the device key.
 Calendar completion, derivation, validation and cleansing all run on that last
-partitioning. With ``materialize`` (the default) the repaired rows are written
+partitioning, on stretches of slots with equal values instead of on each slot:
+behind the first rows of a stretch (as many as the repairs read back) all rows
+have the values of the rows before them and zero deltas. No rule and no repair
+tells such rows apart -- those that read the time of day need a delta above or
+below zero -- so one row with its number of slots speaks for them. With ``materialize`` (the default) the repaired rows are written
 once, so that the fences read stored data; building the chain then runs it up
 to there. ``failed`` is a plan of its own, computed only if it is used.
 """
@@ -25,11 +29,17 @@ from gridtide.operators.outliers import replace_outliers
 from gridtide.session import StageStore
 
 
+#: Number of slots that a row stands for.
+SLOTS = "__slot_count"
+
+
 @dataclass
 class ChainResult:
     cleaned: DataFrame
     failed: DataFrame
     quarantined: DataFrame
+    #: ``cleaned`` with equal rows of a device's month as one, which :data:`SLOTS` counts.
+    counted: DataFrame
 
 
 def run_chain(
@@ -50,20 +60,29 @@ def run_chain(
         flagged = store.table(quality.flag_generic(tagged, cfg, counted=tagged.where(usable)), "flagged")
         valid, failed = quality.split_valid_failed(flagged.where(usable).drop(quality.QUARANTINE_REASON))
         quarantined = flagged.where(~usable).select(*raw.columns, quality.QUARANTINE_REASON)
-        return ChainResult(_clean(calendar.complete_series(valid, cfg), cfg, scope, accuracy, exact, store), failed, quarantined)
+        cleaned, counted = _clean(calendar.series_stretches(valid, cfg), cfg, scope, accuracy, exact, store)
+        return ChainResult(cleaned, failed, quarantined, counted)
     df, quarantined = quality.quarantine(nan_to_null(raw), cfg)
     failed = quality.generic_validation(df, cfg)[1]
-    full = calendar.complete_series(df, cfg, raw=True)
-    return ChainResult(_clean(full, cfg, scope, accuracy, exact, materialize), failed, quarantined)
+    cleaned, counted = _clean(calendar.series_stretches(df, cfg, raw=True), cfg, scope, accuracy, exact, materialize)
+    return ChainResult(cleaned, failed, quarantined, counted)
 
 
-def _clean(full: DataFrame, cfg: TelemetryConfig, scope: str, accuracy: int | None, exact: bool, materialize) -> DataFrame:
-    """Completed series -> derived -> checked -> repaired -> outliers replaced."""
-    derived = derive.derive_all(full, cfg, bounded=True)
+def _clean(
+    series: DataFrame, cfg: TelemetryConfig, scope: str, accuracy: int | None, exact: bool, materialize
+) -> tuple[DataFrame, DataFrame]:
+    """Completed series (its stretches) -> derived -> checked -> repaired -> outliers replaced: the rows of all
+    slots, and the same with equal rows counted."""
+    by_device = scope == "device"
+    # the previous row of all devices may be any slot's
+    rows = calendar.leading_rows(series, cfg, cleanse.reach(cfg) + 1) if by_device else calendar.expand(series, cfg)
+    if by_device:
+        rows = rows.withColumn(SLOTS, calendar.slot_count(cfg))
+    derived = derive.derive_all(rows, cfg, bounded=True, also=(calendar.LAST, SLOTS) if by_device else ())
     checked = validate.validate_rows(derived, cfg)
-    fused_previous = cfg.outlier_columns if scope == "device" else ()
+    fused_previous = cfg.outlier_columns if by_device else ()
     repaired = cleanse.repair_rule_failures(checked, cfg, previous_of=fused_previous, bounded=True)
-    return replace_outliers(
+    out = replace_outliers(
         repaired,
         cfg,
         cfg.outlier_columns,
@@ -74,7 +93,12 @@ def _clean(full: DataFrame, cfg: TelemetryConfig, scope: str, accuracy: int | No
         materialize=materialize,
         previous_ready=bool(fused_previous),
         bounded=True,
+        times=SLOTS if by_device else None,
     )
+    if not by_device:
+        return out, out.withColumn(SLOTS, F.lit(1).cast("long"))
+    # the rows of a stretch differ in their time of day
+    return derive.add_time_of_day(calendar.expand(out, cfg).drop(SLOTS), cfg), out.drop(calendar.LAST)
 
 
 def rule_columns() -> list[tuple[str, str]]:
@@ -82,14 +106,22 @@ def rule_columns() -> list[tuple[str, str]]:
     return [(f"rule_{i:02d}", r.message) for i, r in enumerate(default_rules(), start=1)]
 
 
-def season_rule_report(checked: DataFrame, cfg: TelemetryConfig = TelemetryConfig()) -> DataFrame:
+def season_rule_report(
+    checked: DataFrame, cfg: TelemetryConfig = TelemetryConfig(), times: str | None = None
+) -> DataFrame:
     """Per season: rows, valid rows, rows breaking each rule, and the sums of the
-    (repaired) counters and deltas."""
+    (repaired) counters and deltas. A row counts as often as the column ``times`` says."""
+    n = F.lit(1).cast("long") if times is None else F.col(times)
+    held = F.col if times is None else lambda c: F.col(c) * n
+
+    def rows(cond):
+        return F.coalesce(F.sum(F.when(cond, n)), F.lit(0).cast("long"))
+
     aggs = [
-        F.count(F.lit(1)).alias("n_rows"),
-        F.count_if(F.col(fixed.IS_VALID)).alias("n_valid"),
-        *[F.count_if(has_error(msg)).alias(name) for name, msg in rule_columns()],
-        *[F.sum(c).alias(f"sum_{c}") for c in cfg.counters],
-        *[F.sum(d).alias(f"sum_{d}") for d in cfg.deltas],
+        F.sum(n).alias("n_rows"),
+        rows(F.col(fixed.IS_VALID)).alias("n_valid"),
+        *[rows(has_error(msg)).alias(name) for name, msg in rule_columns()],
+        *[F.sum(held(c)).alias(f"sum_{c}") for c in cfg.counters],
+        *[F.sum(held(d)).alias(f"sum_{d}") for d in cfg.deltas],
     ]
     return checked.groupBy(fixed.SEASON).agg(*aggs)

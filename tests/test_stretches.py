@@ -4,9 +4,12 @@ import random
 from datetime import datetime, timedelta
 
 import pytest
+from pyspark.sql import functions as F
 
+from gridtide import fixed
 from gridtide.config import TelemetryConfig
-from gridtide.operators import calendar
+from gridtide.operators import calendar, cleanse, derive, outliers, validate
+from gridtide.plans import chain
 from tests.helpers import READING_SCHEMA
 
 CFG = TelemetryConfig(calendar_start="2022-07-01 00:00:00", calendar_days=150, step_minutes=120, attributes=("site_name",), min_rows=2)
@@ -60,3 +63,30 @@ def test_series_of_stretches_equal_the_single_operators(spark, start):
     _same(calendar.complete_series(df, cfg), calendar.complete_series_stepwise(df, cfg))
     slots = df.select(cfg.key).distinct().count() * cfg.slots
     assert calendar.series_stretches(df, cfg).count() < slots / 4
+
+
+@pytest.mark.parametrize("exact", [True, False])
+def test_chain_on_stretches_equals_the_operators_on_all_slots(spark, exact):
+    df = _readings(spark, _rows(4) + [(f"E{r[0]}", *r[1:]) for r in _rows(5)]).cache()
+    res = chain.run_chain(df, CFG, exact=exact, accuracy=10_000)
+    valid = df.join(df.groupBy(CFG.key).count().where("count >= 2").select(CFG.key), CFG.key, "left_semi").select(*df.columns)
+    checked = validate.validate_rows(derive.derive_all(calendar.complete_series_stepwise(valid, CFG), CFG), CFG)
+    repaired = cleanse.repair_rule_failures_stepwise(checked, CFG)
+    want = outliers.replace_outliers(repaired, CFG, CFG.outlier_columns, CFG.iqr_multiplier, exact=exact, accuracy=10_000).cache()
+    assert want.select(fixed.ERROR_MESSAGE).distinct().count() > 8
+    flat = lambda d: d.drop(fixed.VALIDATION_RESULT)
+    _same(flat(res.cleaned), flat(want))
+    assert res.counted.count() < want.count() / 2
+    _same(chain.season_rule_report(res.counted, CFG, times=chain.SLOTS), chain.season_rule_report(want, CFG))
+
+
+@pytest.mark.parametrize("band_limit", [2, 50, 1_000_000])
+def test_weighted_quantiles_equal_those_of_the_repeated_rows(spark, band_limit):
+    rnd = random.Random(7)
+    rows = [(rnd.choice([None, float("nan"), float("inf"), 0.0, -0.0, rnd.randint(-40, 40) / 4]), rnd.randint(0, 30)) for _ in range(600)]
+    df = spark.createDataFrame(rows, "x double, n long")
+    probs = (0.0, 0.01, 0.25, 0.5, 0.75, 0.99, 1.0)
+    repeated = df.select("x", F.explode(F.expr("array_repeat(1, int(n))")))
+    want = outliers.exact_quantiles(repeated, ["x"], probs)["x"]
+    assert outliers.exact_weighted_quantiles(df, ["x"], "n", probs, band_limit)["x"] == want
+    assert outliers.exact_weighted_quantiles(df.limit(0), ["x"], "n", probs)["x"] == [None] * len(probs)
