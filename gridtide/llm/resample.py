@@ -45,9 +45,11 @@ PERCENT = 10
 #: Characters of a text that are read at once (whole words).
 _READ = 1 << 20
 #: Cells of the count table of the texts that are weighed at once.
-_CELLS = 4_000_000
+_CELLS = 500_000
 #: Words whose bucket a worker remembers.
-_CACHE = 300_000
+_CACHE = 100_000
+#: Texts that Spark hands a worker at once.
+_BATCH_ROWS = 1000
 
 #: A-Z in lower case; bytes that belong to no word become blanks.
 _WORD_BYTES = bytes(
@@ -184,6 +186,8 @@ def scores(
                     n = np.array([len(b) for _, b in found], np.int64)
                     cells = np.concatenate([b + i * size for i, (_, b) in enumerate(found)])
                     counts = np.bincount(cells, minlength=len(found) * size).reshape(len(found), size)
+                    # the planes are cut from the narrowest numbers that hold the counts
+                    counts = counts.astype(np.min_scalar_type(int(counts.max(initial=0))))
                     weight = np.where(n > 0, held.sums(counts) // np.maximum(n, 1), 0)
                     ids = some.column("doc_id").to_pylist()
                     noise = np.array([gumbel(d, seed) for d in ids], np.int64)
@@ -255,8 +259,9 @@ def resample(
     least_words: int = LEAST_WORDS,
 ) -> DataFrame:
     """Every row of ``docs`` weighed by how much its words resemble ``target``, and the drawn ones ranked."""
-    gains = bucket_gains(bucket_totals(docs, text, buckets, longest), bucket_totals(target, text, buckets, longest))
-    return draw(scores(docs, gains, text, key, longest, seed), percent, least_words)
+    with util.arrow_rows(docs.sparkSession, _BATCH_ROWS):
+        gains = bucket_gains(bucket_totals(docs, text, buckets, longest), bucket_totals(target, text, buckets, longest))
+        return draw(scores(docs, gains, text, key, longest, seed), percent, least_words)
 
 
 def op13(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -11,6 +11,7 @@ import io
 import uuid
 import zipfile
 from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 from pathlib import Path
 
 import pyarrow as pa
@@ -103,6 +104,18 @@ def per_text(
     return kept.mapInArrow(run, schema)
 
 
+@contextmanager
+def arrow_rows(spark: SparkSession, rows: int) -> Iterator[None]:
+    """The jobs that run inside hand their Python workers at most ``rows`` rows at once."""
+    setting = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(setting)
+    spark.conf.set(setting, str(rows))
+    try:
+        yield
+    finally:
+        spark.conf.set(setting, before)
+
+
 def stored(df: DataFrame, name: str = "llm") -> DataFrame:
     """``df`` written once under the shared checkpoint folder and read back.
 

@@ -100,3 +100,26 @@ def test_empty_tables(spark):
     assert resample.resample(none, none).collect() == []
     few = spark.createDataFrame([(1, "a b"), (2, None)], "doc_id long, text string")
     assert {(r.doc_id, r["rank"]) for r in resample.resample(few, none).collect()} == {(1, None), (2, None)}
+
+
+def test_a_worker_weighs_texts_in_little_memory(spark, monkeypatch):
+    """Tables of counts of a few texts at a time, in narrow numbers: a worker's arrays stay small."""
+    import tracemalloc
+
+    import pyarrow as pa
+
+    caught = {}
+    frame = spark.createDataFrame([(1, "a")], "doc_id long, text string")
+    monkeypatch.setattr(type(frame), "mapInArrow", lambda self, f, schema: caught.setdefault("run", f))
+    gains = np.arange(resample.BUCKETS, dtype=np.int64) % 4001 - 2000
+    resample.scores(frame, gains)
+    texts = [" ".join(f"w{(i * 31 + j * j) % 3000}" for j in range(300)) for i in range(1000)]
+    batch = pa.RecordBatch.from_arrays([pa.array(range(len(texts)), pa.int64()), pa.array(texts)], names=["doc_id", "text"])
+    tracemalloc.start()
+    weights = [w for part in caught["run"](iter([batch])) for w in part.column("weight").to_pylist()]
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 30_000_000
+    known = resample.Buckets(resample.BUCKETS)
+    plain = [gains[resample.bucket_numbers(t, known)[1]] for t in texts]
+    assert weights == [int(g.sum() // len(g)) for g in plain]
