@@ -20,8 +20,8 @@ import os
 import re
 import unicodedata
 import uuid
-from collections.abc import Iterator
-from functools import cache
+from collections.abc import Iterable, Iterator
+from functools import cache, partial
 from pathlib import Path
 
 import numpy as np
@@ -39,8 +39,10 @@ from gridtide.session import checkpoint_dir
 SHARD_TOKENS = 1 << 20
 #: Bits between two entries of a rank directory.
 STEP = 512
-#: Words after which a worker's cache starts anew (bounds its memory).
-CACHE = 700_000
+#: Words after which a worker's cache keeps only those of the texts at hand (bounds its memory).
+CACHE = 500_000
+#: Bytes of documents whose words are looked up together, and what a document counts besides its text.
+GROUP_BYTES, ROW_BYTES = 16_000_000, 64
 #: Texts that Spark hands a worker at once while shards are written.
 BATCH_ROWS = 1000
 _CLOSING = ".,;:!?"
@@ -192,12 +194,34 @@ def _simple_points() -> np.ndarray:
     return out
 
 
+def _cells(ids: np.ndarray, ends: np.ndarray) -> pa.LargeBinaryArray:
+    """The runs of ``ids`` that end before each of ``ends``, as the bytes of their ids."""
+    offsets = np.append(0, ends).astype(np.int64) * 4
+    return pa.Array.from_buffers(pa.large_binary(), len(ends), [None, pa.py_buffer(offsets), pa.py_buffer(ids)])
+
+
+def _parts_of(cells: pa.LargeBinaryArray) -> tuple[np.ndarray, bytes]:
+    """Offsets of the values, from 0, and the bytes of all of them."""
+    _, offsets, data = cells.buffers()
+    at = np.frombuffer(offsets, np.int64, len(cells) + 1, cells.offset * 8)
+    return at - at[0], data.slice(int(at[0]), int(at[-1] - at[0])).to_pybytes() if data else b""
+
+
+def _encoded(library, texts: list[str]) -> Iterator:
+    """The library's encodings, of a bounded number of texts at a time: they take far more room than the ids."""
+    for i in range(0, len(texts), 128):
+        yield from library.encode_batch_fast(texts[i : i + 128], add_special_tokens=False)
+
+
 class WordEncoder:
     """The tokenizers library behind a cache of words.
 
     The vocabulary drops white space and never merges across it, nor across
     letters, digits and signs. Texts of simple characters are cut there in bulk,
     and each distinct piece that is new to the worker goes to the library once.
+    Their cache is a dictionary of Arrow: encoding the known words and all pieces
+    with one dictionary numbers the pieces and appends the new ones, and ``pool``
+    holds each word's ids, so no Python object is made for a known word.
     Other texts are cut at blanks only; the pieces new to the worker go to the
     library together, with a special token between them.
     """
@@ -205,11 +229,15 @@ class WordEncoder:
     def __init__(self, tokenizer_json: str):
         # a task has one core: the library's threads would each hold memory of their own
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        from tokenizers import Tokenizer
+        from tokenizers import Tokenizer, pre_tokenizers
 
         self.library = Tokenizer.from_str(tokenizer_json)
         self.library.no_truncation()
         self.library.no_padding()
+        # the same model for words that the normalizer leaves as they are: cut at blanks, no patterns
+        self.plain = Tokenizer(self.library.model)
+        as_bytes = pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)
+        self.plain.pre_tokenizer = pre_tokenizers.Sequence([pre_tokenizers.WhitespaceSplit(), as_bytes])
         added = self.library.get_added_tokens_decoder()
         mark = next(iter(added.items()))
         self.mark_id, self.mark = mark[0], mark[1].content
@@ -218,6 +246,12 @@ class WordEncoder:
         self.ends_word = np.zeros(max(vocabulary.values()) + 1, bool)
         self.ends_word[[i for token, i in vocabulary.items() if token.endswith("</w>")]] = True
         self.cache: dict[str, bytes] = {}
+        self._forget()
+
+    def _forget(self) -> None:
+        """The empty word alone, which has no ids, as the cache of simple texts."""
+        self.known = pa.array([""], pa.string())
+        self.pool = pa.array([b""], pa.large_binary())
 
     def learn(self, found: list[str]) -> None:
         """Put the ids of the pieces into the cache.
@@ -241,40 +275,38 @@ class WordEncoder:
                     rest.add(tail)
             else:
                 rest.add(p)
-        self._words(list(words))
-        self._marked(list(rest))
         cache = self.cache
+        for new, encode in ((list(words), partial(self._words, self.library)), (list(rest), self._marked)):
+            cache.update(zip(new, encode(new).to_pylist(), strict=True))
         for p, low, tail in plan:
             cache[p] = cache[low] + cache[tail]
 
-    def _words(self, words: list[str]) -> None:
-        """Words of letters: each ends with the only token of it that ends a word."""
+    def _words(self, library, words: list[str]) -> pa.LargeBinaryArray:
+        """Ids of words of letters: each ends with the only token of it that ends a word."""
         runs = [words[i : i + 64] for i in range(0, len(words), 64)]
-        encoded = self.library.encode_batch_fast([" ".join(run) for run in runs], add_special_tokens=False)
-        for run, e in zip(runs, encoded, strict=True):
+        out = []
+        for run, e in zip(runs, _encoded(library, [" ".join(run) for run in runs]), strict=True):
             ids = np.array(e.ids, "<u4")
-            ends = ((np.flatnonzero(self.ends_word[ids]) + 1) * 4).tolist()
-            if len(ends) != len(run):  # a letter that the normalizer takes apart
-                self._marked(run)
-                continue
-            data = ids.tobytes()
-            self.cache.update((w, data[a:b]) for w, a, b in zip(run, [0, *ends], ends, strict=False))
-
-    def _marked(self, found: list[str]) -> None:
-        """Any pieces, with a special token between them; those that hold it themselves go one by one."""
-        alone = [p for p in found if self.mark in p]
-        found = [p for p in found if self.mark not in p]
-        for p, e in zip(alone, self.library.encode_batch_fast(alone, add_special_tokens=False), strict=True):
-            self.cache[p] = np.array(e.ids, "<u4").tobytes()
-        runs = [found[i : i + 64] for i in range(0, len(found), 64)]
-        encoded = self.library.encode_batch_fast([self.mark.join(run) for run in runs], add_special_tokens=False)
-        for run, e in zip(runs, encoded, strict=True):
+            ends = np.flatnonzero(self.ends_word[ids]) + 1
+            # else a letter that the normalizer takes apart
+            out.append(_cells(ids, ends) if len(ends) == len(run) else self._marked(run))
+        return pa.concat_arrays(out or [self.pool[:0]])
+
+    def _marked(self, found: list[str]) -> pa.LargeBinaryArray:
+        """Ids of any pieces, with a special token between them; those that hold it themselves go one by one."""
+        alone = [i for i, p in enumerate(found) if self.mark in p]
+        joined = sorted(set(range(len(found))).difference(alone)) if alone else range(len(found))
+        runs = [[found[i] for i in joined[k : k + 64]] for k in range(0, len(joined), 64)]
+        texts = [self.mark.join(run) + self.mark for run in runs]
+        out = []
+        for e in _encoded(self.library, texts):
             ids = np.array(e.ids, "<u4")
-            cuts = np.flatnonzero(ids == self.mark_id)
-            data = ids.tobytes()
-            low = [0, *((cuts + 1) * 4).tolist()]
-            high = [*(cuts * 4).tolist(), len(data)]
-            self.cache.update((p, data[a:b]) for p, a, b in zip(run, low, high, strict=True))
+            mark = ids == self.mark_id
+            out.append(_cells(ids[~mark], np.flatnonzero(mark) - np.arange(np.count_nonzero(mark))))
+        for e in _encoded(self.library, [found[i] for i in alone]):
+            out.append(_cells(np.array(e.ids, "<u4"), np.array([len(e.ids)])))
+        cells = pa.concat_arrays(out or [self.pool[:0]])
+        return cells.take(pa.array(np.argsort([*joined, *alone]))) if alone else cells
 
     def _lowered(self, text: str) -> str | None:
         """The text in lower case, if it may be cut at letters, digits and signs."""
@@ -285,37 +317,88 @@ class WordEncoder:
             return None
         return low
 
-    def _simple(self, texts: list[str]) -> list[bytes]:
-        """Texts that are cut in bulk: each distinct piece once, then by position."""
-        out = [b""] * len(texts)
-        for owners, some in pieces.parts(texts):
-            found = pieces.cut(some)
-            # by way of numpy: Arrow's own lists take seven times as long
-            units = pc.utf8_ltrim(found.words, " ").to_numpy(zero_copy_only=False).tolist()
-            ids = list(map(self.cache.get, units))
-            new = {u for u, x in zip(units, ids, strict=True) if x is None}
-            if new:
-                self._words([u for u in new if u.isalpha()])
-                self._marked(list(new.difference(self.cache)))
-                ids = [self.cache[u] if x is None else x for u, x in zip(units, ids, strict=True)]
-            sizes = np.fromiter(map(len, ids), np.int64, len(ids)) // 4
-            places, each = pieces.gather(np.cumsum(sizes) - sizes, sizes, found.index)
-            data = np.frombuffer(b"".join(ids), "<u4")[places].tobytes()
-            ends = (np.cumsum(pieces.total(each, found.counts)) * 4).tolist()
+    def _simple(self, texts: Iterable[str]) -> dict[int, bytes]:
+        """Ids, by number, of texts that are cut in bulk: each distinct piece once, then by position."""
+        out = {}
+        cuts = [(owners, pieces.cut(some)) for owners, some in pieces.parts(texts)]
+        if not cuts:
+            return out
+        units = [pc.utf8_ltrim(found.words, " ") for _, found in cuts]
+        coded = pa.chunked_array([self.known, *units]).dictionary_encode().chunks[1:]
+        self._learn_units(coded[0].dictionary)
+        numbers = [part.indices.to_numpy() for part in coded]
+        for (owners, found), number in zip(cuts, numbers, strict=True):
+            offsets, data = _parts_of(self.pool.take(pa.array(number[found.index])))
+            ends = offsets[np.cumsum(found.counts)].tolist()
             for i, a, b in zip(owners, [0, *ends], ends, strict=False):
-                out[i] = out[i] + data[a:b] if out[i] else data[a:b]
+                out[i] = out[i] + data[a:b] if i in out else data[a:b]
+        if len(self.known) > CACHE:
+            self._keep(pa.array(np.unique(np.concatenate(numbers))))
         return out
 
-    def __call__(self, texts: list[str | None]) -> list[bytes]:
+    def _learn_units(self, words: pa.StringArray) -> None:
+        """``words`` are the known ones and then new ones, whose ids join the pool."""
+        new = words[len(self.known) :].to_numpy(zero_copy_only=False).tolist()
+        letters = np.fromiter(map(str.isalpha, new), bool, len(new))
+        first, rest = np.flatnonzero(letters).tolist(), np.flatnonzero(~letters).tolist()
+        cells = pa.concat_arrays([self._words(self.plain, [new[i] for i in first]), self._marked([new[i] for i in rest])])
+        order = np.empty(len(new), np.int64)
+        order[first + rest] = np.arange(len(new))
+        self.pool = pa.concat_arrays([self.pool, cells.take(pa.array(order))])
+        self.known = words
+
+    def _keep(self, used: pa.Array) -> None:
+        """Only the words with the given numbers stay in the cache, or none if they are too many themselves."""
+        if len(used) > CACHE:
+            self._forget()
+        else:
+            self.known, self.pool = self.known.take(used), self.pool.take(used)
+
+    def __call__(self, texts: Iterable[str | None]) -> list[bytes]:
+        n, others = 0, {}
+
+        def lowered() -> Iterator[str]:
+            nonlocal n
+            for t in texts:
+                low = self._lowered(t or "")
+                if low is None:
+                    others[n] = t
+                n += 1
+                yield low or ""
+
+        out = self._simple(lowered())
+        some, size = [], 0
+        for i, t in others.items():
+            some.append(i)
+            size += len(t)
+            if size > util.SLICE_BYTES // 4:
+                out |= zip(some, self._at_blanks([others[k] for k in some]), strict=True)
+                some, size = [], 0
+        out |= zip(some, self._at_blanks([others[k] for k in some]), strict=True)
+        return [out.get(i, b"") for i in range(n)]
+
+    def _at_blanks(self, texts: list[str]) -> list[bytes]:
+        """Texts that are cut at blanks only: the pieces new to the worker go to the library together."""
         if len(self.cache) > CACHE:
             self.cache = {}
-        low = [self._lowered(t or "") for t in texts]
-        out = iter(self._simple([t for t in low if t is not None]))
-        split = [(t or "").replace("\n", " ").split(" ") if x is None else [] for t, x in zip(texts, low, strict=True)]
+        split = [t.replace("\n", " ").split(" ") for t in texts]
         self.learn([p for p in set().union(*split) if p not in self.cache])
-        return [
-            b"".join(map(self.cache.__getitem__, ps)) if x is None else next(out) for ps, x in zip(split, low, strict=True)
-        ]
+        return [b"".join(map(self.cache.__getitem__, ps)) for ps in split]
+
+
+def _groups(batches: Iterator[pa.RecordBatch]) -> Iterator[list[pa.RecordBatch]]:
+    """Slices of the batches, about ``GROUP_BYTES`` of documents at a time (or one longer text)."""
+    held, size = [], 0
+    for batch in batches:
+        for piece in util.slices(batch, "text"):
+            n = (pc.sum(pc.binary_length(piece.column("text"))).as_py() or 0) + ROW_BYTES * piece.num_rows
+            if held and size + n > GROUP_BYTES:
+                yield held
+                held, size = [], 0
+            held.append(piece)
+            size += n
+    if held:
+        yield held
 
 
 _workers: dict[int, WordEncoder] = {}
@@ -329,7 +412,8 @@ def write_shards(
     """Encode every text, append ``end_id``, and write the shards in ascending ``doc_id``.
 
     Documents are range-partitioned by ``doc_id``: a partition's shards follow
-    those of the partition before it, and no task holds more than one shard.
+    those of the partition before it, and no task holds more than one shard and
+    one group of texts.
     """
     spark = docs.sparkSession
     vocabulary = spark.sparkContext.broadcast(Path(tokenizer_path).read_text(encoding="utf-8"))
@@ -354,18 +438,17 @@ def write_shards(
                 names=["part", "seq", "before", "tokens", "doc_ids", "ends", "blob"],
             )
 
-        for batch in batches:
-            for piece in util.slices(batch, "text"):
-                gc.disable()
-                encoded = encode(piece.column("text").to_pylist())
-                gc.enable()
-                for doc_id, x in zip(piece.column("doc_id").to_pylist(), encoded, strict=True):
-                    held.append(x + end)
-                    ids.append(doc_id)
-                    tokens += len(x) // 4 + 1
-                    if tokens >= shard_tokens:
-                        yield close()
-                        seq, before, held, ids, tokens = seq + 1, before + tokens, [], [], 0
+        for group in _groups(batches):
+            gc.disable()
+            encoded = encode(t for piece in group for t in piece.column("text").to_pylist())
+            gc.enable()
+            for doc_id, x in zip((d for piece in group for d in piece.column("doc_id").to_pylist()), encoded, strict=True):
+                held.append(x + end)
+                ids.append(doc_id)
+                tokens += len(x) // 4 + 1
+                if tokens >= shard_tokens:
+                    yield close()
+                    seq, before, held, ids, tokens = seq + 1, before + tokens, [], [], 0
         if held:
             yield close()
 
@@ -384,19 +467,22 @@ def read_documents(spark: SparkSession, path: str) -> DataFrame:
         for batch in batches:
             for row in range(batch.num_rows):
                 one = batch.slice(row, 1)
-                data = Shard(one.column("blob")[0].as_py()).unpack().astype("<u4").tobytes()
-                ends = np.array(one.column("ends")[0].as_py(), np.int64)
+                data = pa.py_buffer(Shard(one.column("blob")[0].as_py()).unpack().astype("<u4"))
+                ends = one.column("ends")[0].values.to_numpy()
                 starts = np.concatenate(([0], ends[:-1]))
-                ids = one.column("doc_ids")[0].as_py()
+                ids = one.column("doc_ids")[0].values
                 first = one.column("before")[0].as_py()
                 for i in range(0, len(ends), 2000):
                     a, b = starts[i : i + 2000], ends[i : i + 2000]
+                    at = ((np.append(a, b[-1]) - a[0]) * 4).astype(np.int32)
                     yield pa.RecordBatch.from_arrays(
                         [
                             pa.array([one.column("part")[0].as_py()] * len(a), pa.int32()),
-                            pa.array(ids[i : i + 2000], pa.int64()),
+                            ids[i : i + 2000],
                             pa.array(a + first, pa.int64()),
-                            pa.array([data[x * 4 : y * 4] for x, y in zip(a.tolist(), b.tolist(), strict=True)], pa.binary()),
+                            pa.Array.from_buffers(
+                                pa.binary(), len(a), [None, pa.py_buffer(at), data.slice(int(a[0]) * 4, int(b[-1] - a[0]) * 4)]
+                            ),
                         ],
                         names=["part", "doc_id", "at", "ids"],
                     )

@@ -173,3 +173,77 @@ def test_words_cut_in_bulk_have_the_librarys_ids():
     for t, ids in zip(texts, encoder(texts)):
         assert list(memoryview(ids).cast("I")) == library.encode(t or "", add_special_tokens=False).ids, t
     assert sum(encoder._lowered(t or "") is not None for t in texts) > len(texts) / 3
+
+
+class _Counting:
+    """A library that notes the words it is given."""
+
+    def __init__(self, library, seen):
+        self.library, self.seen = library, seen
+
+    def encode_batch_fast(self, texts, **options):
+        self.seen.extend(w for t in texts for w in t.split())
+        return self.library.encode_batch_fast(texts, **options)
+
+
+def test_a_full_word_cache_keeps_the_words_in_use(monkeypatch):
+    from gridtide.llm import wavelet
+
+    monkeypatch.setattr(wavelet, "CACHE", 300)
+    path = wavelet._default_path()
+    encoder, library = wavelet.WordEncoder(open(path, encoding="utf-8").read()), Tokenizer.from_file(path)
+    seen = []
+    for name in ("library", "plain"):
+        if hasattr(encoder, name):
+            setattr(encoder, name, _Counting(getattr(encoder, name), seen))
+    # ten rounds: the same 100 words and, each time, 100 others
+    letters = str.maketrans("0123456789", "abcdefghij")
+    word = lambda n: f"w{n}q".translate(letters)
+    for k in range(10):
+        texts = [" ".join(word(n) for n in [*range(100), *range(1000 + 100 * k, 1100 + 100 * k)]), None, "", "\n", "A 1!"]
+        for t, ids in zip(texts, encoder(texts), strict=True):
+            assert list(memoryview(ids).cast("I")) == library.encode(t or "", add_special_tokens=False).ids
+        assert len(encoder.known) <= 300
+    assert max(sum(w == word(n) for w in seen) for n in range(100)) == 1
+    # a single call with more words than the cache may hold
+    text = " ".join(map(word, range(5000, 6000)))
+    assert [list(memoryview(x).cast("I")) for x in encoder([text, text])] == [library.encode(text, add_special_tokens=False).ids] * 2
+    assert len(encoder.known) == 1
+
+
+def test_word_lookups_are_shared_by_a_group_of_texts(monkeypatch):
+    import pyarrow as pa
+
+    from gridtide.llm import util, wavelet
+
+    rows = [(1, "ab"), (None, None), (3, ""), (4, "x" * 50), (5, "c d"), (6, "e")]
+    batches = [pa.RecordBatch.from_pydict({"doc_id": [d for d, _ in rows[i : i + 2]], "text": pa.array([t for _, t in rows[i : i + 2]], pa.string())}) for i in (0, 2, 4)]
+    flat = lambda group: [(r["doc_id"], r["text"]) for piece in group for r in piece.to_pylist()]
+    assert [flat(g) for g in wavelet._groups(iter(batches))] == [rows]
+    assert list(wavelet._groups(iter([]))) == []
+    # a text longer than a group stands alone; rows keep their order
+    monkeypatch.setattr(wavelet, "GROUP_BYTES", 20)
+    monkeypatch.setattr(wavelet, "ROW_BYTES", 1)
+    monkeypatch.setattr(util.slices, "__defaults__", (5,))
+    groups = [flat(g) for g in wavelet._groups(iter(batches))]
+    assert [r for g in groups for r in g] == rows
+    assert len(groups) > 1 and all(sum(len(t or "") + 1 for _, t in g) <= 20 or len(g) == 1 for g in groups)
+    # documents without text count too
+    monkeypatch.setattr(wavelet, "ROW_BYTES", 10)
+    empty = [pa.RecordBatch.from_pydict({"doc_id": [i], "text": pa.array([None], pa.string())}) for i in range(9)]
+    assert [len(g) for g in wavelet._groups(iter(empty))] == [2, 2, 2, 2, 1]
+
+
+def test_long_texts_in_parts_have_the_librarys_ids(monkeypatch):
+    from gridtide.llm import pieces, util, wavelet
+
+    monkeypatch.setattr(pieces.parts, "__defaults__", (20,))
+    monkeypatch.setattr(util, "SLICE_BYTES", 400)
+    path = wavelet._default_path()
+    encoder, library = wavelet.WordEncoder(open(path, encoding="utf-8").read()), Tokenizer.from_file(path)
+    r = random.Random(5)
+    words = ["the", "it's", "été", "<|endoftext|>", "中文", "1234", "!?", "\n", "", "Z", "straße", "and'", "of"]
+    texts = [" ".join(r.choices(words, k=r.randint(0, 40))) for _ in range(300)] + ["", None, "the " * 100, "a b"]
+    for _ in range(2):  # the second time every word is known
+        for t, ids in zip(texts, encoder(iter(texts)), strict=True):
+            assert list(memoryview(ids).cast("I")) == library.encode(t or "", add_special_tokens=False).ids, t
